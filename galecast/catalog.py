@@ -8,7 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from galecast.functions import plausibility, risk
-from galecast.functions.coerce import fits, run_in, run_of, run_time, strict_date, strict_double
+from galecast.functions.coerce import (
+    fits,
+    once,
+    run_in,
+    run_of,
+    run_time,
+    store_as,
+    strict_date,
+    strict_double,
+)
 from galecast.model import FilterSpec
 from galecast.operators import batches, merge, quality
 from galecast.operators.flatten import explode_arrays
@@ -22,6 +31,7 @@ from galecast.sources.driver_tables import (
     forecasts,
     table,
     weather,
+    with_prop_k,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,38 +153,22 @@ def silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def coerce_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.get_json_object("props", "$.k")
-    number = _cases(
-        F.concat(F.lit(" "), k, F.lit(" ")),
-        F.concat(k, F.lit("e2")),
-        F.concat(F.lit("abc"), k),
-        F.concat(k, F.lit("d")),
-        F.concat(F.lit("0x"), k),
-        F.concat(k, F.lit("_000")),
-        F.lit(""),
-        F.concat(F.lit("-"), k, F.lit(".5")),
-    )
-    day = F.date_format("ts", "yyyy-MM-dd")
-    date = _cases(
-        day,
-        F.concat(day, F.lit("T05:00")),
-        F.date_format("ts", "dd/MM/yyyy"),
-        F.concat(F.date_format("ts", "yyyy"), F.lit("-02-30")),
+    """Numbers and dates in eight and four spellings, some of which are no number or date."""
+    spelt = with_prop_k(table(spark, sf_dir, "events")).selectExpr(
+        "event_id",
+        """CASE event_id % 8 WHEN 0 THEN concat(' ', k, ' ') WHEN 1 THEN concat(k, 'e2')
+                WHEN 2 THEN concat('abc', k) WHEN 3 THEN concat(k, 'd') WHEN 4 THEN concat('0x', k)
+                WHEN 5 THEN concat(k, '_000') WHEN 6 THEN '' ELSE concat('-', k, '.5') END AS number""",
+        """CASE event_id % 4 WHEN 0 THEN date_format(ts, 'yyyy-MM-dd')
+                WHEN 1 THEN concat(date_format(ts, 'yyyy-MM-dd'), 'T05:00')
+                WHEN 2 THEN date_format(ts, 'dd/MM/yyyy')
+                ELSE concat(date_format(ts, 'yyyy'), '-02-30') END AS day""",
     )
-    events = table(spark, sf_dir, "events")
-    return events.select(
-        "event_id", strict_double(number).alias("number"), strict_date(date).alias("day")
+    return once(spelt, "text", F.col("number")).select(
+        "event_id", strict_double(F.col("text")).alias("number"), strict_date(F.col("day")).alias("day")
     )
 
 
-def _cases(*values):
-    """The event number picks one of the given spellings."""
-    chosen = values[-1]
-    for i, value in enumerate(values[:-1]):
-        chosen = F.when(F.col("event_id") % len(values) == i, value).otherwise(chosen)
-    return chosen
-
-
 def json_extract_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = F.from_json("props", "k int")
     return table(spark, sf_dir, "events").select("event_id", parsed["k"].alias("weather_code"))
@@ -200,21 +194,15 @@ def batch_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def envelope_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payloads of one object, a list of one, a list of two, and one that is cut off."""
-    props = F.col("props")
-    payload = _cases(
-        props,
-        F.concat(F.lit("["), props, F.lit("]")),
-        F.concat(F.lit(" ["), props, F.lit(", "), props, F.lit("] ")),
-        F.concat(F.lit("["), props),
+    payload = F.expr(
+        """CASE event_id % 4 WHEN 0 THEN props WHEN 1 THEN concat('[', props, ']')
+                WHEN 2 THEN concat(' [', props, ', ', props, '] ') ELSE concat('[', props) END"""
     )
-    responses = batches.envelope(payload)
-    events = table(spark, sf_dir, "events").select("event_id", responses.alias("responses"))
-    return events.select(
+    events = once(table(spark, sf_dir, "events"), "responses", batches.envelope(payload))
+    return events.selectExpr(
         "event_id",
-        F.coalesce(F.size("responses"), F.lit(-1)).cast("int").alias("n_responses"),
-        F.coalesce(
-            F.get_json_object(F.get("responses", F.lit(0)), "$.k").cast("int"), F.lit(-1)
-        ).alias("first_k"),
+        "CAST(coalesce(size(responses), -1) AS INT) AS n_responses",
+        "coalesce(CAST(get_json_object(get(responses, 0), '$.k') AS INT), -1) AS first_k",
     )
 
 
@@ -359,12 +347,11 @@ def fact_insert_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def numeric_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices at warehouse precision; what does not fit is flagged and stays empty."""
-    price = F.col("l_extendedprice")
     return table(spark, sf_dir, "lineitem").select(
         *LINE_KEY,
-        F.coalesce(price.try_cast("decimal(6,2)").cast("string"), F.lit("")).alias("price"),
-        F.col("l_quantity").cast("decimal(5,2)").cast("string").alias("quantity"),
-        fits(price, "decimal(6,2)").alias("fits"),
+        F.coalesce(store_as("l_extendedprice", "decimal(6,2)").cast("string"), F.lit("")).alias("price"),
+        store_as("l_quantity", "decimal(5,2)").cast("string").alias("quantity"),
+        fits("l_extendedprice", "decimal(6,2)").alias("fits"),
     )
 
 
@@ -388,13 +375,7 @@ def serving_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dash_options(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Options of both filters in one relation."""
-    fact = forecasts(spark, sf_dir)
-    names = serving.city_options(fact, cities(spark, sf_dir))
-    dates = serving.date_options(fact)
-    return names.select(F.lit("city").alias("filter"), F.col("city").alias("option")).unionByName(
-        dates.select(F.lit("date").alias("filter"), F.col("date_prevision").cast("string").alias("option"))
-    )
+    return serving.filter_options(forecasts(spark, sf_dir), cities(spark, sf_dir))
 
 
 def _view(current: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:

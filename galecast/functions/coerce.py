@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from galecast.model import NA_TOKENS, RUN_FORMAT, RUN_PATTERN
@@ -12,6 +14,15 @@ NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 BLANKS = " \t\n\r\f\x0b"
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a costly expression that later filters and projections share.
+
+    As the single element of an exploded array it is computed once per row. A plain column would be
+    copied into each filter pushed below it and computed again there.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def na_to_null(text: Column) -> Column:
     """NULL where the raw text is one of the missing-value tokens."""
     return F.when(~text.isin(*NA_TOKENS), text)
@@ -33,9 +44,25 @@ def strict_date(text: Column) -> Column:
     return F.try_to_date(text, "yyyy-MM-dd")
 
 
-def fits(value: Column, kind: str) -> Column:
-    """False where a present value cannot be stored as ``kind``."""
-    return value.isNull() | value.try_cast(kind).isNotNull()
+def _decimal(kind: str) -> tuple[int, int] | None:
+    found = re.fullmatch(r"decimal\((\d+),(\d+)\)", kind)
+    return (int(found[1]), int(found[2])) if found else None
+
+
+def fits(name: str, kind: str) -> Column:
+    """False where a present double cannot be stored as ``kind`` ("decimal(p,s)" or "int").
+
+    A range test: the first value too large is the one that rounds up to the next power of ten.
+    """
+    shape = _decimal(kind)
+    limit = f"{10 ** (shape[0] - shape[1]) - 1}.{'9' * shape[1]}5D" if shape else "2147483647.5D"
+    return F.expr(f"{name} IS NULL OR abs({name}) < {limit}")
+
+
+def store_as(name: str, kind: str) -> Column:
+    """The double as ``kind``, NULL where it does not fit. Decimals round half away from zero."""
+    value = F.col(name) if _decimal(kind) else F.rint(name)
+    return F.when(fits(name, kind), value).cast(kind)
 
 
 def run_of(moment: Column) -> Column:

@@ -8,35 +8,32 @@ from pyspark.sql import functions as F
 from galecast.model import Bounds
 
 
-def _outside(name: str, bounds: tuple[float, float]) -> Column:
+def _within(name: str, bounds: tuple[float, float]) -> str:
     low, high = bounds
-    return (F.col(name) < F.lit(low)) | (F.col(name) > F.lit(high))
+    return f"{name} IS NULL OR {name} BETWEEN {float(low)!r}D AND {float(high)!r}D"
 
 
-def broken_rules(bounds: Bounds = Bounds()) -> dict[str, Column]:
-    """Rule name -> predicate that is true where the rule is broken."""
+def rules(bounds: Bounds = Bounds()) -> dict[str, str]:
+    """Rule name -> SQL condition a plausible row meets; never NULL, and pushed to the scan."""
     return {
-        "temperature_order": F.col("temperature_min") > F.col("temperature_max"),
-        "temperature_max": _outside("temperature_max", bounds.temperature),
-        "temperature_min": _outside("temperature_min", bounds.temperature),
-        "precipitation_sum": _outside("precipitation_sum", bounds.precipitation),
-        "wind_speed_max": _outside("wind_speed_max", bounds.wind),
-        "wind_gusts_max": _outside("wind_gusts_max", bounds.wind),
+        "temperature_order": "temperature_min IS NULL OR temperature_max IS NULL"
+        " OR temperature_min <= temperature_max",
+        "temperature_max": _within("temperature_max", bounds.temperature),
+        "temperature_min": _within("temperature_min", bounds.temperature),
+        "precipitation_sum": _within("precipitation_sum", bounds.precipitation),
+        "wind_speed_max": _within("wind_speed_max", bounds.wind),
+        "wind_gusts_max": _within("wind_gusts_max", bounds.wind),
     }
 
 
 def is_plausible(bounds: Bounds = Bounds()) -> Column:
-    verdict = F.lit(True)
-    for broken in broken_rules(bounds).values():
-        verdict = verdict & ~F.coalesce(broken, F.lit(False))
-    return verdict
+    return F.expr(" AND ".join(f"({condition})" for condition in rules(bounds).values()))
 
 
 def violations(bounds: Bounds = Bounds()) -> Column:
     """Names of the broken rules, empty for a plausible row."""
-    return F.array_compact(
-        F.array(*(F.when(broken, F.lit(rule)) for rule, broken in broken_rules(bounds).items()))
-    )
+    names = (f"CASE WHEN NOT ({met}) THEN '{rule}' END" for rule, met in rules(bounds).items())
+    return F.expr(f"array_compact(array({', '.join(names)}))")
 
 
 def plausible(df: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
@@ -44,9 +41,9 @@ def plausible(df: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
 
 
 def reject_counts(df: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
-    """Rows broken per rule, rows rejected and rows accepted: one pass, no shuffle of rows."""
+    """Rows broken per rule, rows rejected and rows accepted, in one pass."""
     totals = df.agg(
-        *(F.count_if(broken).alias(rule) for rule, broken in broken_rules(bounds).items()),
+        *(F.expr(f"count_if(NOT ({met}))").alias(rule) for rule, met in rules(bounds).items()),
         F.count_if(~is_plausible(bounds)).alias("rejected"),
         F.count_if(is_plausible(bounds)).alias("accepted"),
     )

@@ -14,43 +14,41 @@ from pyspark.sql import functions as F
 from galecast.model import HIGH, LEVEL_COLOURS, LEVELS, LOW, MEDIUM, Ramp, RiskModel
 
 
-def ramp(value: Column, shape: Ramp) -> Column:
-    """Linear rescale to 0..100, clamped at both ends."""
-    scaled = (value - F.lit(shape.zero)) / F.lit(shape.full - shape.zero) * F.lit(100.0)
-    return F.greatest(F.lit(0.0), F.least(F.lit(100.0), scaled))
+def _double(value: float) -> str:
+    return f"{float(value)!r}D"
 
 
-def temperature_risk(model: RiskModel) -> Column:
-    return F.greatest(
-        ramp(F.col("temperature_max"), model.heat), ramp(F.col("temperature_min"), model.cold)
-    )
-
+def _ramp(measure: str, shape: Ramp) -> str:
+    """SQL for a linear rescale to 0..100, clamped at both ends."""
+    scaled = f"({measure} - {_double(shape.zero)}) / {_double(shape.full - shape.zero)} * 100D"
+    return f"greatest(0D, least(100D, {scaled}))"
 
-def precipitation_risk(model: RiskModel) -> Column:
-    return ramp(F.col("precipitation_sum"), model.rain)
 
-
-def wind_risk(model: RiskModel) -> Column:
-    return ramp(F.col("wind_gusts_max"), model.gust)
+def _factors(model: RiskModel) -> dict[str, str]:
+    heat, cold = _ramp("temperature_max", model.heat), _ramp("temperature_min", model.cold)
+    return {
+        "temperature_risk": f"greatest({heat}, {cold})",
+        "precipitation_risk": _ramp("precipitation_sum", model.rain),
+        "wind_risk": _ramp("wind_gusts_max", model.gust),
+    }
 
 
 def risk_score(model: RiskModel = RiskModel()) -> Column:
     """Weighted blend of the three factors, pulled up by the worst one; rounded half to even."""
-    factors = (temperature_risk(model), precipitation_risk(model), wind_risk(model))
+    factors = _factors(model).values()
     weights = (model.temperature_weight, model.rain_weight, model.wind_weight)
-    temperature, rain, wind = (f * F.lit(w) for f, w in zip(factors, weights))
-    blend = temperature + rain + wind
-    worst = F.greatest(*factors)
-    return F.rint(blend * F.lit(model.blend_weight) + worst * F.lit(model.worst_weight)).cast("int")
+    blend = " + ".join(f"{factor} * {_double(w)}" for factor, w in zip(factors, weights))
+    worst = f"greatest({', '.join(factors)})"
+    score = f"({blend}) * {_double(model.blend_weight)} + {worst} * {_double(model.worst_weight)}"
+    return F.expr(f"CAST(rint({score}) AS INT)")
 
 
-def three_bins(value: Column, cuts: Sequence[float]) -> Column:
+def three_bins(value: str, cuts: Sequence[float]) -> Column:
     """Closed-left bins below, between and from the two cuts on; missing stays missing."""
     low, high = cuts
-    return (
-        F.when(value < F.lit(low), F.lit(LOW))
-        .when((value >= F.lit(low)) & (value < F.lit(high)), F.lit(MEDIUM))
-        .when(value >= F.lit(high), F.lit(HIGH))
+    return F.expr(
+        f"CASE WHEN {value} < {low} THEN '{LOW}' WHEN {value} < {high} THEN '{MEDIUM}'"
+        f" WHEN {value} >= {high} THEN '{HIGH}' END"
     )
 
 
@@ -69,24 +67,18 @@ def level_colour(level: Column) -> Column:
 def with_categories(df: DataFrame, model: RiskModel = RiskModel()) -> DataFrame:
     return df.withColumns(
         {
-            "temperature_category": three_bins(F.col("temperature_max"), model.temperature_cuts),
-            "precipitation_category": three_bins(F.col("precipitation_sum"), model.rain_cuts),
-            "wind_category": three_bins(F.col("wind_gusts_max"), model.gust_cuts),
+            "temperature_category": three_bins("temperature_max", model.temperature_cuts),
+            "precipitation_category": three_bins("precipitation_sum", model.rain_cuts),
+            "wind_category": three_bins("wind_gusts_max", model.gust_cuts),
         }
     )
 
 
 def with_subscores(df: DataFrame, model: RiskModel = RiskModel()) -> DataFrame:
-    return df.withColumns(
-        {
-            "temperature_risk": temperature_risk(model),
-            "precipitation_risk": precipitation_risk(model),
-            "wind_risk": wind_risk(model),
-        }
-    )
+    return df.withColumns({name: F.expr(sql) for name, sql in _factors(model).items()})
 
 
 def with_risk(df: DataFrame, model: RiskModel = RiskModel()) -> DataFrame:
     """Adds ``risk_score`` and ``risk_level``."""
     scored = df.withColumn("risk_score", risk_score(model))
-    return scored.withColumn("risk_level", three_bins(F.col("risk_score"), model.level_cuts))
+    return scored.withColumn("risk_level", three_bins("risk_score", model.level_cuts))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from galecast.functions.coerce import once
 from galecast.model import BATCH_SIZE, DAILY_VARIABLES, FORECAST_DAYS, MAX_ATTEMPTS, TIMEZONE
 from galecast.operators.ordering import pick_one
 
@@ -66,9 +67,8 @@ def accepted_responses(
     ``payloads`` has batch_no, attempt, payload. A batch without such an attempt fails as a whole
     and has no row here.
     """
-    decoded = payloads.where(F.col("attempt") <= max_attempts).withColumn(
-        "responses", envelope(F.col("payload"))
-    )
+    tried = payloads.where(F.col("attempt") <= max_attempts)
+    decoded = once(tried, "responses", envelope(F.col("payload")))
     complete = decoded.join(plan.select("batch_no", "n_cities"), "batch_no").where(
         F.size("responses") == F.col("n_cities")
     )

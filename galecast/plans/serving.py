@@ -40,13 +40,18 @@ def serving_view(current: DataFrame, cities: DataFrame) -> DataFrame:
     return _located(current, cities).select(*VIEW_COLUMNS).orderBy(DAY, "city")
 
 
-def city_options(fact: DataFrame, cities: DataFrame) -> DataFrame:
-    """Sorted names of the cities that have a forecast, in whatever version."""
-    return with_city_name(fact.select(CITY).distinct(), cities).select("city").orderBy("city")
+def filter_options(fact: DataFrame, cities: DataFrame) -> DataFrame:
+    """Sorted options of the city and the date filter, from one pass over the forecasts.
 
-
-def date_options(fact: DataFrame) -> DataFrame:
-    return fact.select(DAY).distinct().orderBy(DAY)
+    Every version counts: a city and date that occur at all also have a latest version.
+    """
+    sets = fact.groupingSets([[CITY], [DAY]], CITY, DAY).agg(F.grouping(CITY).alias("_by_date"))
+    dates = sets.where("_by_date = 1").select(
+        F.lit("date").alias("filter"), F.col(DAY).cast("string").alias("option")
+    )
+    names = with_city_name(sets.where("_by_date = 0").select(CITY), cities)
+    options = names.select(F.lit("city").alias("filter"), F.col("city").alias("option"))
+    return options.unionByName(dates.where("option IS NOT NULL")).orderBy("filter", "option")
 
 
 def chosen_cities(fact: DataFrame, cities: DataFrame, names: Sequence[str] | DataFrame) -> DataFrame:

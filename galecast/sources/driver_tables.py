@@ -7,46 +7,51 @@ multipliers that are exact in binary, so that values fall exactly on the thresho
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from galecast.functions.coerce import once
 from galecast.functions.plausibility import plausible
 from galecast.functions.risk import with_risk
+from galecast.operators.batches import with_batch
+from galecast.operators.ordering import key_position
 
 VERSION = ("retrieved_at", "event_id")
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema is read from the files once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
-def prop_k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
+def with_prop_k(events: DataFrame) -> DataFrame:
+    """Adds the number in ``props`` as ``k``, parsed once per row."""
+    return once(events, "k", F.expr("CAST(get_json_object(props, '$.k') AS INT)"))
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One forecast version per event, before any cleaning."""
-    events = table(spark, sf_dir, "events").withColumn("k", prop_k())
-    k, kind = F.col("k"), F.col("event_type")
-    storm = k == 29
-    spread = ((k * 37) % 100).cast("double")
-    return events.select(
+    return with_prop_k(table(spark, sf_dir, "events")).selectExpr(
         "event_id",
-        F.col("user_id").alias("ville_id"),
-        F.to_date("ts").alias("date_prevision"),
-        F.col("ts").alias("retrieved_at"),
-        F.when((kind == "error") & (k % 5 == 0), None)
-        .otherwise(k * F.lit(0.75) - F.lit(12.5))
-        .alias("temperature_max"),
-        (k * F.lit(0.75) - F.lit(12.5) - F.lit(12.0) + F.col("event_id") % 16).alias("temperature_min"),
-        F.when((kind == "signup") & (k % 7 == 0), None)
-        .when((kind == "error") & (k % 11 == 0), F.lit(-1.0))
-        .otherwise(F.col("value") / F.lit(16.0))
-        .alias("precipitation_sum"),
-        ((k * 7) % 101).cast("double").alias("precipitation_probability_max"),
-        F.when(storm, F.lit(130.0)).otherwise(spread * F.lit(0.375)).alias("wind_speed_max"),
-        F.when(storm, F.lit(255.0)).otherwise(spread * F.lit(0.75)).alias("wind_gusts_max"),
-        k.alias("weather_code"),
+        "user_id AS ville_id",
+        "CAST(ts AS DATE) AS date_prevision",
+        "ts AS retrieved_at",
+        "CASE WHEN event_type = 'error' AND k % 5 = 0 THEN NULL ELSE k * 0.75D - 12.5D END AS temperature_max",
+        "k * 0.75D - 12.5D - 12D + event_id % 16 AS temperature_min",
+        """CASE WHEN event_type = 'signup' AND k % 7 = 0 THEN NULL
+                WHEN event_type = 'error' AND k % 11 = 0 THEN -1D
+                ELSE value / 16D END AS precipitation_sum""",
+        "CAST((k * 7) % 101 AS DOUBLE) AS precipitation_probability_max",
+        "CASE WHEN k = 29 THEN 130D ELSE ((k * 37) % 100) * 0.375D END AS wind_speed_max",
+        "CASE WHEN k = 29 THEN 255D ELSE ((k * 37) % 100) * 0.75D END AS wind_gusts_max",
+        "k AS weather_code",
     )
 
 
@@ -57,20 +62,17 @@ def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The city dimension without region: a customer is a city, placed by balance and nation."""
-    return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("id"),
-        F.col("c_name").alias("city"),
-        F.col("c_acctbal").alias("latitude"),
-        F.col("c_nationkey").cast("double").alias("longitude"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS id", "c_name AS city", "c_acctbal AS latitude", "CAST(c_nationkey AS DOUBLE) AS longitude"
     )
 
 
 def cities_with_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with the region's name; nation and region are fixed tables of 25 and 5 rows."""
     nations = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+        table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey")
     )
-    named = nations.select(F.col("n_nationkey").cast("double").alias("longitude"), F.col("r_name").alias("region"))
+    named = nations.selectExpr("CAST(n_nationkey AS DOUBLE) AS longitude", "r_name AS region")
     return cities(spark, sf_dir).join(named, "longitude").select(
         "id", "city", "latitude", "longitude", "region"
     )
@@ -78,7 +80,4 @@ def cities_with_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def batched_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers in key order, as positions for request batches."""
-    from galecast.operators.batches import with_batch
-    from galecast.operators.ordering import key_position
-
     return with_batch(key_position(cities(spark, sf_dir), "id"))
