@@ -106,14 +106,12 @@ FACT_TEXT_LIMITS = {
 }
 FACT_KEY = ("ville_id", "date_prevision", "retrieved_at")
 
-CITY_SCHEMA = (
-    "id bigint, city string, latitude decimal(9,6), longitude decimal(9,6), region string"
-)
+CITY_SCHEMA = "id bigint, city string, latitude decimal(9,6), longitude decimal(9,6), region string"
 FACT_SCHEMA = (
     "ville_id bigint, date_prevision date, "
     + ", ".join(f"{name} {kind}" for name, kind in FACT_PRECISION.items())
     + ", temperature_category string, precipitation_category string, wind_category string, "
-    "risk_score int, risk_level string, retrieved_at timestamp_ntz"
+    "risk_score int, risk_level string, retrieved_at timestamp_ntz, run_ts string"
 )
 
 # Every daily array is read as text, so that one bad value costs that value and not the document.
@@ -122,22 +120,25 @@ FORECAST_SCHEMA = (
     f"city string, lat string, lng string, weather_raw struct<daily:{DAILY_TYPE}>"
 )
 
+# Source order of a flattened row: input split, record inside it, day inside the record.
 ORDINAL = ("source_split", "source_row", "day_index")
-SILVER_SCHEMA = (
-    "city string, latitude double, longitude double, date_prevision date, retrieved_at timestamp_ntz, "
+_ROW = (
+    "city string, latitude double, longitude double, date_prevision date, "
     + ", ".join(f"{m} double" for m in MEASURES)
-    + ", source_split string, source_row bigint, day_index int, region string, population double, "
-    "violations array<string>, run_ts string, verdict string"
+    + ", source_split string, source_row bigint, day_index int, retrieved_at timestamp_ntz, "
+    "region string, population double, "
 )
-GOLD_SCHEMA = (
-    "city string, latitude double, longitude double, date_prevision date, retrieved_at timestamp_ntz, "
-    + ", ".join(f"{m} double" for m in MEASURES)
-    + ", source_split string, source_row bigint, day_index int, region string, population double, "
+SILVER_SCHEMA = _ROW + "violations array<string>, accepted boolean, run_ts string"
+GOLD_SCHEMA = _ROW + (
     "temperature_category string, precipitation_category string, wind_category string, "
     "risk_score int, risk_level string, run_ts string"
 )
 
 
+def column_names(schema: str) -> list[str]:
+    return [column.split(" ")[0] for column in schema.split(", ")]
+
+
 @dataclass(frozen=True)
 class FilterSpec:
     """A dashboard selection. An empty tuple means no filter, for cities, dates and levels alike.

@@ -16,8 +16,8 @@ def with_batch(df: DataFrame, position: str = "position", size: int = BATCH_SIZE
     """Adds the 1-based ``batch_no`` and the 0-based ``pos`` inside the batch."""
     return df.withColumns(
         {
-            "batch_no": F.floor(F.col(position) / size).cast("bigint") + 1,
-            "pos": (F.col(position) % size).cast("int"),
+            "batch_no": F.expr(f"{position} div {size} + 1"),
+            "pos": F.expr(f"CAST({position} % {size} AS INT)"),
         }
     )
 

@@ -77,7 +77,7 @@ def key_position(df: DataFrame, key: str, name: str = "position", bits: int = 21
     inside = F.row_number().over(Window.partitionBy("_middle").orderBy(key)) - 1
 
     buckets = df.groupBy(middle.alias("_middle")).agg(F.count(F.lit(1)).alias("_size"))
-    buckets = buckets.withColumn("_upper", upper)
+    buckets = buckets.withColumn("_upper", upper).where("_middle IS NOT NULL AND _upper IS NOT NULL")
     groups = buckets.groupBy("_upper").agg(F.sum("_size").alias("_size"))
     groups = groups.select("_upper", _rows_before("_upper", "_size").alias("_groups_before"))
     starts = (

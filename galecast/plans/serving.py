@@ -46,12 +46,13 @@ def filter_options(fact: DataFrame, cities: DataFrame) -> DataFrame:
     Every version counts: a city and date that occur at all also have a latest version.
     """
     sets = fact.groupingSets([[CITY], [DAY]], CITY, DAY).agg(F.grouping(CITY).alias("_by_date"))
-    dates = sets.where("_by_date = 1").select(
-        F.lit("date").alias("filter"), F.col(DAY).cast("string").alias("option")
+    named = sets.join(cities.select(F.col("id").alias(CITY), "city"), CITY, "left")
+    by_date = F.col("_by_date") == 1
+    options = named.select(
+        F.when(by_date, "date").otherwise("city").alias("filter"),
+        F.when(by_date, F.col(DAY).cast("string")).otherwise(F.col("city")).alias("option"),
     )
-    names = with_city_name(sets.where("_by_date = 0").select(CITY), cities)
-    options = names.select(F.lit("city").alias("filter"), F.col("city").alias("option"))
-    return options.unionByName(dates.where("option IS NOT NULL")).orderBy("filter", "option")
+    return options.where("option IS NOT NULL").orderBy("filter", "option")
 
 
 def chosen_cities(fact: DataFrame, cities: DataFrame, names: Sequence[str] | DataFrame) -> DataFrame:

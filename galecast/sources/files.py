@@ -7,30 +7,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from galecast.functions.coerce import na_to_null, run_in, strict_double
-from galecast.model import FORECAST_SCHEMA
-from galecast.operators.ordering import keep_first, require_rows
+from galecast.model import FORECAST_SCHEMA, RUN_PATTERN
+from galecast.operators.ordering import keep_first
 
+CITY_COLUMNS = ("city", "lat", "lng", "admin_name", "population")
 
-def runs_in(spark: SparkSession, path: str) -> DataFrame:
-    """Distinct run identifiers below a path or glob; lists files without reading them."""
-    listed = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
-    )
-    return listed.select(run_in(F.col("path")).alias("run_ts")).where("run_ts IS NOT NULL").distinct()
 
+def values_in_names(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """Distinct values that ``pattern`` finds in the file names below ``path``.
 
-def latest_common_run(spark: SparkSession, *paths: str) -> str:
-    """The latest run that every path holds; an error if there is none."""
-    runs = None
+    Lists the files without reading them. A path that does not exist holds none.
+    """
     try:
-        for path in paths:
-            found = runs_in(spark, path)
-            runs = found if runs is None else runs.join(found, "run_ts", "left_semi")
-        latest = runs.agg(F.max("run_ts").alias("run_ts")).first()["run_ts"]
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
             raise
-        latest = None
+        return spark.createDataFrame([], "value string")
+    found = files.select(F.regexp_extract("path", pattern, 1).alias("value"))
+    return found.where("value != ''").distinct()
+
+
+def latest_common_run(spark: SparkSession, *paths: str) -> str:
+    """The latest run that every path holds; an error if there is none."""
+    runs = values_in_names(spark, paths[0], RUN_PATTERN)
+    for path in paths[1:]:
+        runs = runs.join(values_in_names(spark, path, RUN_PATTERN), "value", "left_semi")
+    latest = runs.agg(F.max("value").alias("run_ts")).first()["run_ts"]
     if latest is None:
         raise FileNotFoundError(f"no run in {', '.join(paths)}")
     return latest
@@ -42,25 +45,27 @@ def _with_ordinal(df: DataFrame) -> DataFrame:
     The generated id alone is not the source order, as Spark packs files into tasks by size; inside
     one block it is.
     """
-    split = F.concat_ws(
-        "#", "_metadata.file_path", F.lpad(F.col("_metadata.file_block_start").cast("string"), 19, "0")
-    )
+    start = F.lpad(F.col("_metadata.file_block_start").cast("string"), 19, "0")
     return df.select(
-        *(c for c in df.columns if c != "run_ts"),
+        *df.columns,
         run_in(F.col("_metadata.file_path")).alias("run_ts"),
-        split.alias("source_split"),
+        F.concat_ws("#", "_metadata.file_path", start).alias("source_split"),
         F.monotonically_increasing_id().alias("source_row"),
     )
 
 
-def read_cities(spark: SparkSession, path: str) -> DataFrame:
-    """City lists (CSV with header, columns found by name), values as raw text."""
+def read_raw_cities(spark: SparkSession, path: str) -> DataFrame:
+    """A city list (CSV with header) with all its columns as text."""
     raw = spark.read.option("header", True).option("escape", '"').csv(path)
-    wanted = ("city", "lat", "lng", "admin_name", "population")
-    absent = [c for c in wanted if c not in raw.columns]
+    absent = [c for c in CITY_COLUMNS if c not in raw.columns]
     if absent:
-        raise ValueError(f"city list lacks {', '.join(absent)}")
-    return _with_ordinal(raw).select(*wanted, "run_ts", "source_split", "source_row")
+        raise ValueError(f"the city list lacks {', '.join(absent)}")
+    return raw
+
+
+def read_cities(spark: SparkSession, path: str) -> DataFrame:
+    """The used columns of a city list, found by name, with run and source order."""
+    return _with_ordinal(read_raw_cities(spark, path).select(*CITY_COLUMNS))
 
 
 def city_reference(cities: DataFrame) -> DataFrame:
@@ -95,8 +100,3 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
         if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
             raise
         return spark.createDataFrame([], schema)
-
-
-def require_cities(cities: DataFrame) -> DataFrame:
-    require_rows(cities, "the city list is empty")
-    return cities

@@ -1,0 +1,297 @@
+"""File-level behaviour from stored payloads to the dashboard, on small fixtures."""
+
+import datetime
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from galecast.functions.coerce import run_in, run_time
+from galecast.model import DAILY_VARIABLES, GOLD_SCHEMA, FilterSpec
+from galecast.operators import batches
+from galecast.plans import analytics, pipeline, serving, warehouse
+from galecast.plans.warehouse import Lake
+from galecast.sources.files import latest_common_run, read_cities, read_forecasts
+
+RUN = "20260103_060000"
+LATER = "20260104_060000"
+
+
+def daily(days, **series):
+    values = {v: [0.0] * len(days) for v in DAILY_VARIABLES}
+    values.update(
+        temperature_2m_max=[30.0] * len(days), temperature_2m_min=[20.0] * len(days)
+    )
+    values.update(series)
+    return {"daily": {"time": days, **values}}
+
+
+def record(city, days, lat=1.0, lng=2.0, **series):
+    return {"city": city, "lat": lat, "lng": lng, "weather_raw": daily(days, **series)}
+
+
+def put(root, run, cities, records, lines=True):
+    """Bronze files under the reference's file names."""
+    (root / "bronze/villes").mkdir(parents=True, exist_ok=True)
+    (root / "bronze/meteo").mkdir(parents=True, exist_ok=True)
+    text = "city,lat,lng,country,admin_name,population\n"
+    text += "".join(f"{c},{a},{o},Morocco,{r},{p}\n" for c, a, o, r, p in cities)
+    (root / f"bronze/villes/villes_{run}.csv").write_text(text, encoding="utf-8")
+    body = "\n".join(json.dumps(r, ensure_ascii=False) for r in records)
+    if not lines:
+        body = json.dumps(records, ensure_ascii=False, indent=2)
+    (root / f"bronze/meteo/meteo_{run}.json").write_text(body, encoding="utf-8")
+    return Lake(str(root))
+
+
+DAYS = ["2026-01-03", "2026-01-04"]
+CITIES = [("A", 1, 2, "R1", 100), ("Fès", 3, 4, "R2", "")]
+
+
+def rows(df, *columns):
+    return [tuple(r) for r in df.select(*columns).collect()]
+
+
+def test_whole_document_and_lines_give_the_same_silver(spark, tmp_path):
+    records = [record("A", DAYS), record("Fès", DAYS, 3.0, 4.0)]
+    seen = []
+    for lines in (True, False):
+        lake = put(tmp_path / str(lines), RUN, CITIES, records, lines)
+        assert pipeline.build_silver(spark, lake, whole_document=not lines) == {
+            "accepted": 4, "rejected": 0, "broken": 0,
+        }
+        silver = pipeline.read_silver(spark, lake, RUN)
+        seen.append(sorted(rows(silver, "city", "date_prevision", "region", "temperature_max", "retrieved_at")))
+    assert seen[0] == seen[1]
+    assert seen[0][0] == ("A", datetime.date(2026, 1, 3), "R1", 30.0, datetime.datetime(2026, 1, 3, 6))
+
+
+def test_first_homonym_wins_for_attributes_and_every_date(spark, tmp_path):
+    cities = [("A", 1, 2, "R1", 1), ("A", 8, 9, "R2", 2)]
+    records = [record("A", DAYS, 1.0, 2.0), record("A", DAYS, 8.0, 9.0)]
+    lake = put(tmp_path, RUN, cities, records)
+    pipeline.build_silver(spark, lake)
+    silver = pipeline.read_silver(spark, lake, RUN)
+    assert set(rows(silver, "city", "latitude", "region", "population")) == {("A", 1.0, "R1", 1.0)}
+    assert silver.count() == 2
+    report = {r["metric"]: r["n_rows"] for r in pipeline.silver_report(spark, lake, RUN).collect()}
+    assert (report["cities_present"], report["cities_expected"], report["cities_expected_distinct"]) == (1, 2, 1)
+
+
+def test_implausible_first_duplicate_does_not_make_way(spark, tmp_path):
+    records = [
+        record("A", DAYS[:1], temperature_2m_max=[99.0]),
+        record("A", DAYS[:1]),
+        record("B", DAYS[:1]),
+    ]
+    lake = put(tmp_path, RUN, CITIES, records)
+    assert pipeline.build_silver(spark, lake) == {"accepted": 1, "rejected": 1, "broken": 0}
+    assert rows(pipeline.read_silver(spark, lake, RUN), "city") == [("B",)]
+    assert rows(pipeline.cities_without_region(spark, lake, RUN), "city") == [("B",)]
+
+
+def test_source_order_spans_files_of_unequal_size(spark, tmp_path):
+    folder = tmp_path / "m" / f"run_ts={RUN}"
+    folder.mkdir(parents=True)
+    (folder / "a.json").write_text(json.dumps(record("A", DAYS, 1.0)))
+    (folder / "b.json").write_text("\n".join(json.dumps(record("A", DAYS, 5.0)) for _ in range(50)))
+    cities = tmp_path / "c" / f"villes_{RUN}.csv"
+    cities.parent.mkdir()
+    cities.write_text("city,lat,lng,admin_name,population\nA,1,2,R,3\n")
+    from galecast.sources.files import city_reference
+
+    silver = pipeline.clean(
+        read_forecasts(spark, str(folder)), city_reference(read_cities(spark, str(cities)))
+    )
+    assert set(rows(silver, "latitude")) == {(1.0,)}
+
+
+def test_bad_text_becomes_missing_and_scores_worst(spark, tmp_path):
+    records = [
+        record(
+            "A",
+            ["2026-02-28", "2026-03-01", "2026-03-02", "2026-03-03", "2026-03-04"],
+            precipitation_sum=["abc", "1d", " 2 ", "1e2", float("nan")],
+        )
+    ]
+    lake = put(tmp_path, RUN, CITIES, records)
+    pipeline.build_silver(spark, lake)
+    pipeline.build_gold(spark, lake)
+    gold = spark.read.schema(GOLD_SCHEMA).parquet(lake.gold).orderBy("date_prevision")
+    assert rows(gold, "precipitation_sum") == [(None,), (None,), (2.0,), (100.0,), (None,)]
+    assert rows(gold, "precipitation_category") == [(None,), (None,), ("faible",), ("élevé",), (None,)]
+    assert [s for (s,) in rows(gold, "risk_score")][0] == rows(gold, "risk_score")[3][0]
+
+
+def test_unusable_records_are_set_aside(spark, tmp_path):
+    short = record("C", DAYS, weather_code=[0.0])
+    surplus = record("D", DAYS, weather_code=[0.0, 1.0, 2.0])
+    records = [record("A", DAYS), short, {"city": "B", "lat": 1, "lng": 2, "weather_raw": {}}, surplus]
+    lake = put(tmp_path, RUN, CITIES, records)
+    assert pipeline.build_silver(spark, lake) == {"accepted": 4, "rejected": 0, "broken": 2}
+    assert sorted(rows(spark.read.parquet(lake.broken_records), "city")) == [("B",), ("C",)]
+    assert sorted(set(rows(pipeline.read_silver(spark, lake, RUN), "city"))) == [("A",), ("D",)]
+
+
+def test_empty_forecasts_raise(spark, tmp_path):
+    lake = put(tmp_path, RUN, CITIES, [], lines=False)
+    with pytest.raises(ValueError, match="Silver table is empty"):
+        pipeline.build_silver(spark, lake, whole_document=True)
+
+
+def test_empty_city_list_and_missing_run_raise(spark, tmp_path):
+    lake = put(tmp_path, RUN, [], [])
+    with pytest.raises(ValueError, match="city list is empty"):
+        pipeline.store_cities(spark, f"{lake.bronze_cities}/villes_{RUN}.csv", Lake(str(tmp_path / "x")), RUN)
+    with pytest.raises(FileNotFoundError):
+        pipeline.build_silver(spark, Lake(str(tmp_path / "nowhere")))
+
+
+def test_latest_run_is_the_latest_in_both_inputs(spark, tmp_path):
+    lake = put(tmp_path, RUN, CITIES, [record("A", DAYS)])
+    (tmp_path / f"bronze/villes/villes_{LATER}.csv").write_text("city,lat,lng,admin_name,population\n")
+    assert latest_common_run(spark, lake.bronze_cities, lake.bronze_forecasts) == RUN
+    assert latest_common_run(spark, lake.bronze_cities) == LATER
+
+
+def test_run_identifier_in_names(spark):
+    names = [(f"bronze/villes/villes_{RUN}.csv",), (f"silver/run_ts={RUN}/part-0.parquet",), ("x.csv",)]
+    df = spark.createDataFrame(names, "p string").select(run_in(F.col("p")).alias("r"))
+    assert rows(df, "r") == [(RUN,), (RUN,), (None,)]
+    assert rows(df.select(run_time(F.col("r")).alias("t")), "t")[0] == (datetime.datetime(2026, 1, 3, 6),)
+
+
+def test_load_is_idempotent_and_versions_are_kept(spark, tmp_path):
+    lake = put(tmp_path, RUN, CITIES, [record("A", DAYS), record("Fès", DAYS, 3.0, 4.0)])
+    first = pipeline.run_all(spark, lake)
+    assert (first["inserted"], first["rejected"]) == (4, 0)
+    ids = dict(rows(warehouse.current_cities(spark, lake), "city", "id"))
+    assert ids == {"A": 1, "Fès": 2}
+    again = pipeline.run_all(spark, lake)
+    assert again["inserted"] == 0
+    assert dict(rows(warehouse.current_cities(spark, lake), "city", "id")) == ids
+
+    later = [("B", 5, 6, "R3", 1), ("A", 1.5, 2, "", 100)]
+    put(tmp_path, LATER, later, [record("B", DAYS, 5.0, 6.0), record("A", DAYS, 1.5, 2.0, precipitation_sum=[20.0, 20.0])])
+    assert pipeline.run_all(spark, lake)["inserted"] == 4
+    cities = {r["city"]: r for r in warehouse.current_cities(spark, lake).collect()}
+    assert {c: r["id"] for c, r in cities.items()} == {"A": 1, "Fès": 2, "B": 3}
+    assert (float(cities["A"]["latitude"]), cities["A"]["region"]) == (1.5, None)
+    assert cities["Fès"]["region"] == "R2"
+
+    facts = warehouse.facts(spark, lake)
+    assert facts.count() == 8
+    current = analytics.latest(facts)
+    assert current.count() == 6
+    wet = rows(analytics.wettest_cities(current, warehouse.current_cities(spark, lake)), "city", "precipitation_max_observee")
+    assert (wet[0][0], float(wet[0][1])) == ("A", 20.0)
+
+    warehouse.register_views(spark, lake)
+    newest = spark.sql(
+        """SELECT v.city, count(*) AS n FROM villes v JOIN
+           (SELECT *, row_number() OVER (PARTITION BY ville_id, date_prevision ORDER BY retrieved_at DESC) AS r
+            FROM previsions) p ON p.ville_id = v.id WHERE p.r = 1 GROUP BY v.city ORDER BY v.city"""
+    )
+    assert rows(newest, "city", "n") == [("A", 2), ("B", 2), ("Fès", 2)]
+
+
+def test_unloadable_rows_are_rejected_with_reasons(spark, tmp_path):
+    records = [
+        record("A", ["2026-02-30", "2026-01-03T05:00", "2026-01-05"]),
+        record("NA", DAYS[:1]),
+        record("Far", DAYS[:1], lat=12345.0),
+        record("Odd", DAYS[:1], precipitation_probability_max=[1000.0]),
+        record("L" * 151, DAYS[:1]),
+    ]
+    lake = put(tmp_path, RUN, CITIES, records)
+    counts = pipeline.run_all(spark, lake)
+    # Two unparsed dates of one city share the missing date, so the first of them stays.
+    assert (counts["gold"], counts["inserted"], counts["rejected"]) == (6, 1, 5)
+    blamed = {tuple(p) for (p,) in rows(spark.read.parquet(lake.rejects), "problems")}
+    assert blamed == {
+        ("date_prevision",), ("city",), ("latitude",), ("precipitation_probability_max",),
+    }
+
+
+def test_warehouse_is_typed_before_the_first_load(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    warehouse.register_views(spark, lake)
+    assert spark.table("previsions").schema["temperature_max"].dataType.simpleString() == "decimal(5,2)"
+    assert spark.table("villes").isEmpty()
+    cities, none = spark.table("villes"), analytics.latest(spark.table("previsions"))
+    for panel in (serving.kpis, serving.map_rows, serving.top_cities, serving.detail, serving.riskiest_city):
+        assert panel(none, cities).isEmpty()
+
+
+def payload(n, **extra):
+    return json.dumps([daily(DAYS, **extra) for _ in range(n)], indent=1)
+
+
+def test_payloads_are_matched_by_position_and_bad_batches_fail_whole(spark, tmp_path):
+    source = tmp_path / "cities.csv"
+    lines = [f"C{i:03d},{i}.5,-{i}.25,R,{i}" for i in range(205)]
+    source.write_text("city,lat,lng,admin_name,population\n" + "\n".join(lines) + "\n")
+    lake = Lake(str(tmp_path / "lake"))
+    pipeline.store_cities(spark, str(source), lake, RUN)
+    batched = pipeline.plan_requests(spark, lake, RUN)
+    plan = sorted(rows(batches.batch_plan(batched), "batch_no", "first_row", "last_row", "n_cities"))
+    assert plan == [(1, 0, 99, 100), (2, 100, 199, 100), (3, 200, 204, 5)]
+    params = {r["batch_no"]: r for r in batches.batch_params(batched).collect()}
+    assert params[3]["latitude"] == "200.5,201.5,202.5,203.5,204.5"
+    assert params[3]["longitude"].startswith("-200.25,")
+    assert params[1]["daily"] == ",".join(DAILY_VARIABLES)
+
+    one = json.dumps(daily(DAYS))
+    answers = [
+        (1, 1, payload(99)), (1, 2, "{not json"), (1, 3, payload(100)),
+        (2, 1, payload(99)), (2, 2, one), (2, 3, payload(101)), (2, 4, payload(100)),
+        (3, 1, payload(5, precipitation_sum=[7.0, 8.0])), (3, 2, payload(5)),
+    ]
+    payloads = spark.createDataFrame(answers, "batch_no bigint, attempt int, payload string")
+    counts = pipeline.store_forecasts(spark, payloads, lake, RUN)
+    assert counts == {"requested": 205, "received": 105}
+    failed = spark.read.json(lake.failed_requests)
+    assert sorted(rows(failed, "city")) == [(f"C{i:03d}",) for i in range(100, 200)]
+
+    counts = pipeline.run_all(spark, lake)
+    assert counts["inserted"] == 210
+    silver = pipeline.read_silver(spark, lake, RUN)
+    assert set(rows(silver.where("precipitation_sum > 6"), "city")) == {(f"C{i}",) for i in range(200, 205)}
+    assert rows(silver.where("city = 'C007'"), "latitude", "longitude")[0] == (7.5, -7.25)
+    ids = rows(warehouse.current_cities(spark, lake).orderBy("id"), "city", "id")
+    assert [i for _, i in ids] == list(range(1, 106))
+    assert ids[:2] == [("C000", 1), ("C001", 2)] and ids[100] == ("C200", 101)
+    with pytest.raises(Exception, match="(?i)already exists"):
+        pipeline.store_cities(spark, str(source), lake, RUN)
+
+
+def test_single_object_counts_as_a_list_of_one(spark):
+    one = json.dumps(daily(DAYS))
+    df = spark.createDataFrame([(one,), (f"[{one}]",), ("3",), ("{",), (None,)], "payload string")
+    sizes = df.select(F.size(batches.envelope(F.col("payload"))).alias("n"))
+    assert [n for (n,) in rows(sizes, "n")][:2] == [1, 1]
+    assert all(n in (None, -1) for (n,) in rows(sizes, "n")[2:])
+
+
+def test_raw_response_text_survives(spark, tmp_path):
+    raw = '{"daily": {"time": ["2026-01-03"],\n "x": 1.50, "é": "ü"}}'
+    df = spark.createDataFrame([("Fès", "1", "NA", raw)], "city string, lat string, lng string, weather_raw string")
+    (line,) = rows(pipeline.record_lines(df), "value")[0]
+    assert line.startswith('{"city":"Fès","lat":1.0,"lng":null,"weather_raw":{"daily"')
+    assert "1.50" in line and "é" in line and "\n" not in line
+
+
+def test_command_line_answers(spark, tmp_path, capsys):
+    from galecast.__main__ import main
+
+    lake = put(tmp_path, RUN, CITIES, [record("A", DAYS), record("Fès", DAYS, precipitation_sum=[20.0, 0.0])])
+    main(["run", str(tmp_path)])
+    for argv in (["query", str(tmp_path), "q5"], ["panel", str(tmp_path), "map", "--city", "Fès", "--days", "3"]):
+        capsys.readouterr()
+        main(argv)
+        assert "Fès" in capsys.readouterr().out
+    main(["sql", str(tmp_path), "SELECT count(*) AS n FROM previsions"])
+    assert "4" in capsys.readouterr().out
+    spec = FilterSpec(cities=("A",), period_days=3)
+    chosen = serving.select_forecasts(warehouse.facts(spark, lake), warehouse.current_cities(spark, lake), spec)
+    assert chosen.count() == 2
