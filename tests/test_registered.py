@@ -18,7 +18,7 @@ def test_query_equals_sql(spark, connection, name):
     df = entry.queries()[name](spark, SF)
     assert compare(df, connection, entry.oracle_sql()[name]) == ""
     text = df._jdf.queryExecution().executedPlan().toString()
-    for costly in ("Python", "CartesianProduct", "NestedLoopJoin", "InMemory"):
+    for costly in ("Python", "CartesianProduct", "NestedLoopJoin", "InMemoryTableScan"):
         assert costly not in text
 
 
