@@ -20,12 +20,6 @@ QUESTIONS = {
     "q5": analytics.worst_day_by_city,
     "q6": analytics.cities_above_average,
 }
-PANELS = {
-    "kpis": lambda current, cities: serving.kpi_labels(serving.kpis(current, cities)),
-    "map": serving.map_rows,
-    "top": serving.top_cities,
-    "detail": serving.detail,
-}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -45,6 +39,8 @@ def parser() -> argparse.ArgumentParser:
     stored.add_argument("--payloads", required=True, help="JSON lines: batch_no, attempt, payload")
     for name in ("silver", "run"):
         sub = command(name, "clean a run" if name == "silver" else "silver, gold and load")
+        if name == "run":
+            sub.add_argument("--pending", action="store_true", help="every run that has no Gold yet")
         sub.add_argument("--whole-document", action="store_true", help="Bronze holds one JSON array per file")
     command("gold", "score a run")
     command("load", "load a run into the warehouse")
@@ -52,7 +48,7 @@ def parser() -> argparse.ArgumentParser:
     sql = command("sql", "run SQL over villes and previsions")
     sql.add_argument("text")
     panel = command("panel", "show a dashboard panel under a selection")
-    panel.add_argument("panel", choices=PANELS)
+    panel.add_argument("panel", choices=serving.PANELS)
     panel.add_argument("--city", action="append", default=[])
     panel.add_argument("--days", type=int, choices=(3, 7))
     panel.add_argument("--date", action="append", default=[])
@@ -71,7 +67,7 @@ def answer(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> DataFra
     if facts.isEmpty():
         raise ValueError("the warehouse holds no forecasts")
     spec = FilterSpec(tuple(args.city), args.days, tuple(args.date), tuple(args.level))
-    return PANELS[args.panel](serving.select_forecasts(facts, cities, spec), cities)
+    return serving.PANELS[args.panel](serving.select_forecasts(facts, cities, spec), cities)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -94,6 +90,8 @@ def main(argv: list[str] | None = None) -> None:
         print(pipeline.build_gold(spark, lake, args.run))
     elif args.command == "load":
         print(pipeline.load_warehouse(spark, lake, args.run))
+    elif args.command == "run" and args.pending:
+        print(pipeline.run_pending(spark, lake, args.whole_document))
     elif args.command == "run":
         print(pipeline.run_all(spark, lake, args.run, args.whole_document))
     else:

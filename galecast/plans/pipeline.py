@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from galecast.functions.coerce import na_to_null, run_time, strict_double
 from galecast.functions.plausibility import violations
 from galecast.functions.risk import with_categories, with_risk
-from galecast.model import GOLD_SCHEMA, ORDINAL, SILVER_SCHEMA, column_names
+from galecast.model import GOLD_SCHEMA, ORDINAL, RUN_PATTERN, SILVER_SCHEMA, column_names
 from galecast.operators import batches, quality
 from galecast.operators.flatten import flatten_forecasts, has_complete_days
 from galecast.operators.merge import enrich, unmatched_keys
@@ -29,6 +29,7 @@ from galecast.sources.files import (
     read_forecasts,
     read_raw_cities,
     read_table,
+    values_in_names,
 )
 
 log = logging.getLogger(__name__)
@@ -94,14 +95,13 @@ def store_forecasts(
     return counts
 
 
-def clean(records: DataFrame, reference: DataFrame) -> DataFrame:
-    """Silver rows from Bronze records and the city reference.
+def clean(rows: DataFrame, reference: DataFrame) -> DataFrame:
+    """Silver rows from flattened forecasts and the city reference.
 
-    Flatten, type, keep the first row of each (run, city, date), then judge it: a first row that is
-    implausible does not make way for a later duplicate. City attributes are joined last, to the
-    fewest rows; nothing before depends on them.
+    Keeps the first row of each (run, city, date), then judges it: a first row that is implausible
+    does not make way for a later duplicate. City attributes are joined last, to the fewest rows;
+    nothing before depends on them.
     """
-    rows = flatten_forecasts(records.where(has_complete_days()))
     first = keep_first(rows, ["run_ts", "city", "date_prevision"], ORDINAL)
     judged = first.withColumn("retrieved_at", run_time(F.col("run_ts"))).withColumn(
         "violations", violations()
@@ -112,24 +112,31 @@ def clean(records: DataFrame, reference: DataFrame) -> DataFrame:
 def build_silver(
     spark: SparkSession, lake: Lake, run_ts: str | None = None, whole_document: bool = False
 ) -> dict[str, int]:
-    """Silver for one run (the latest by default), accepted and rejected rows side by side."""
+    """Silver for one run (the latest by default), accepted and rejected rows side by side.
+
+    One job reads, cleans, counts and writes; records without complete days are read again only if
+    there are any.
+    """
     run_ts = run_ts or latest_common_run(spark, lake.bronze_cities, lake.bronze_forecasts)
     cities = read_cities(spark, f"{lake.bronze_cities}/*{run_ts}*")
     records = read_forecasts(spark, f"{lake.bronze_forecasts}/*{run_ts}*", whole_document)
     complete = has_complete_days()
-    records, seen = counted(records, broken=F.count_if(~complete))
-    silver = clean(records, city_reference(cities)).select(*column_names(SILVER_SCHEMA))
-    watched, watch = counted(
-        silver, accepted=F.count_if("accepted"), rejected=F.count_if(~F.col("accepted"))
+    received, records_seen = counted(records, broken=F.count_if(~complete))
+    rows, rows_seen = counted(flatten_forecasts(received.where(complete)), flattened=F.count(F.lit(1)))
+    silver, judged_seen = counted(
+        clean(rows, city_reference(cities)).select(*column_names(SILVER_SCHEMA)),
+        accepted=F.count_if("accepted"),
+        rejected=F.count_if(~F.col("accepted")),
     )
-    replace_run(watched, lake.silver)
-    counts = {**watch.get, **seen.get}
+    replace_run(silver, lake.silver)
+    counts = {**records_seen.get, **rows_seen.get, **judged_seen.get}
     if counts["broken"]:
         kept = records.where(~complete).withColumn("weather_raw", F.to_json("weather_raw"))
         replace_audit(kept, lake.broken_records, run_ts)
     if counts["accepted"] == 0:
         raise ValueError("the Silver table is empty")
-    for name in ("rejected", "broken"):
+    counts["duplicates"] = counts["flattened"] - counts["accepted"] - counts["rejected"]
+    for name in ("broken", "duplicates", "rejected"):
         if counts[name]:
             log.warning("run %s: %d %s", run_ts, counts[name], name)
     return counts
@@ -149,6 +156,12 @@ def silver_report(spark: SparkSession, lake: Lake, run_ts: str) -> DataFrame:
     figures = {row["metric"]: row["n_rows"] for row in report.collect()}
     if figures["cities_present"] < figures["cities_expected"]:
         log.warning("%d of %d cities present", figures["cities_present"], figures["cities_expected"])
+    repeated = figures["cities_expected"] - figures["cities_expected_distinct"]
+    if repeated:
+        log.warning("%d repeated or unnamed cities in the list; the first of a name counts", repeated)
+    unmatched = cities_without_region(spark, lake, run_ts).count()
+    if unmatched:
+        log.warning("%d cities without a region", unmatched)
     for column in REQUIRED:
         if figures[f"missing_{column}"]:
             log.warning("%d missing values in %s", figures[f"missing_{column}"], column)
@@ -188,3 +201,13 @@ def run_all(
     silver_report(spark, lake, run_ts)
     counts["gold"] = build_gold(spark, lake, run_ts)
     return counts | load_warehouse(spark, lake, run_ts)
+
+
+def run_pending(spark: SparkSession, lake: Lake, whole_document: bool = False) -> dict[str, dict[str, int]]:
+    """Silver, Gold and load for every Bronze run that has no Gold yet, oldest first."""
+    pending = values_in_names(spark, lake.bronze_cities, RUN_PATTERN).join(
+        values_in_names(spark, lake.bronze_forecasts, RUN_PATTERN), "value", "left_semi"
+    )
+    pending = pending.join(values_in_names(spark, lake.gold, RUN_PATTERN), "value", "left_anti")
+    runs = [row["value"] for row in pending.orderBy("value").collect()]
+    return {run_ts: run_all(spark, lake, run_ts, whole_document) for run_ts in runs}

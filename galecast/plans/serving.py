@@ -6,7 +6,8 @@ per city id before names are joined. On an empty selection every panel is empty.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -136,10 +137,10 @@ def kpis(current: DataFrame, cities: DataFrame) -> DataFrame:
 
 
 def kpi_labels(figures: DataFrame) -> DataFrame:
-    """The figures as displayed."""
+    """The figures as displayed; an exact tie in the second decimal goes to the even digit."""
 
     def shown(name: str, unit: str) -> Column:
-        return F.when(F.col(name).isNotNull(), F.format_string(f"%.1f {unit}", F.col(name)))
+        return F.expr(f"format_number(CAST({name} AS DOUBLE), '0.0') || ' {unit}'")
 
     return figures.select(
         F.col("n_cities").cast("string").alias("n_cities"),
@@ -191,3 +192,23 @@ def level_distribution(rows: DataFrame) -> DataFrame:
     return counted.select(
         level_rank(F.col("risk_level")).alias("level_rank"), "risk_level", "n_rows"
     ).orderBy("level_rank")
+
+
+PANELS = {
+    "kpis": lambda current, cities: kpi_labels(kpis(current, cities)),
+    "map": map_rows,
+    "top": top_cities,
+    "detail": detail,
+}
+
+
+@contextmanager
+def dashboard(
+    fact: DataFrame, cities: DataFrame, spec: FilterSpec = FilterSpec()
+) -> Iterator[dict[str, DataFrame]]:
+    """All panels of one selection, which is chosen once and kept while the panels are read."""
+    current = select_forecasts(fact, cities, spec).persist()
+    try:
+        yield {name: panel(current, cities) for name, panel in PANELS.items()}
+    finally:
+        current.unpersist()

@@ -130,6 +130,15 @@ def test_rounding_differs_between_question_and_chart(spark):
     assert serving.top_cities(current, cities).first().risk_score == 45.2
 
 
+def test_labels_round_like_python(spark):
+    values = [12.25, 0.15, 0.35, 40.75, 31.4, -0.04, 1234.56]
+    schema = "n_cities bigint, temperature_max double, precipitation_max decimal(6,2), n_high_risk bigint, riskiest_city string"
+    df = spark.createDataFrame([(1, v, None, 2, "A") for v in values], schema)
+    labels = serving.kpi_labels(df).collect()
+    assert [r.temperature_max for r in labels] == [f"{v:.1f} °C" for v in values]
+    assert {r.precipitation_max for r in labels} == {None}
+
+
 SPECS = [
     FilterSpec(),
     FilterSpec(cities=("V7", "V4", "nowhere")),

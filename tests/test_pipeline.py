@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from galecast.functions.coerce import run_in, run_time
 from galecast.model import DAILY_VARIABLES, GOLD_SCHEMA, FilterSpec
 from galecast.operators import batches
+from galecast.operators.flatten import flatten_forecasts
 from galecast.plans import analytics, pipeline, serving, warehouse
 from galecast.plans.warehouse import Lake
-from galecast.sources.files import latest_common_run, read_cities, read_forecasts
+from galecast.sources.files import city_reference, latest_common_run, read_cities, read_forecasts
 
 RUN = "20260103_060000"
 LATER = "20260104_060000"
@@ -58,7 +59,7 @@ def test_whole_document_and_lines_give_the_same_silver(spark, tmp_path):
     for lines in (True, False):
         lake = put(tmp_path / str(lines), RUN, CITIES, records, lines)
         assert pipeline.build_silver(spark, lake, whole_document=not lines) == {
-            "accepted": 4, "rejected": 0, "broken": 0,
+            "broken": 0, "flattened": 4, "accepted": 4, "rejected": 0, "duplicates": 0,
         }
         silver = pipeline.read_silver(spark, lake, RUN)
         seen.append(sorted(rows(silver, "city", "date_prevision", "region", "temperature_max", "retrieved_at")))
@@ -85,7 +86,9 @@ def test_implausible_first_duplicate_does_not_make_way(spark, tmp_path):
         record("B", DAYS[:1]),
     ]
     lake = put(tmp_path, RUN, CITIES, records)
-    assert pipeline.build_silver(spark, lake) == {"accepted": 1, "rejected": 1, "broken": 0}
+    assert pipeline.build_silver(spark, lake) == {
+        "broken": 0, "flattened": 3, "accepted": 1, "rejected": 1, "duplicates": 1,
+    }
     assert rows(pipeline.read_silver(spark, lake, RUN), "city") == [("B",)]
     assert rows(pipeline.cities_without_region(spark, lake, RUN), "city") == [("B",)]
 
@@ -98,11 +101,8 @@ def test_source_order_spans_files_of_unequal_size(spark, tmp_path):
     cities = tmp_path / "c" / f"villes_{RUN}.csv"
     cities.parent.mkdir()
     cities.write_text("city,lat,lng,admin_name,population\nA,1,2,R,3\n")
-    from galecast.sources.files import city_reference
-
-    silver = pipeline.clean(
-        read_forecasts(spark, str(folder)), city_reference(read_cities(spark, str(cities)))
-    )
+    rows_of_files = flatten_forecasts(read_forecasts(spark, str(folder)))
+    silver = pipeline.clean(rows_of_files, city_reference(read_cities(spark, str(cities))))
     assert set(rows(silver, "latitude")) == {(1.0,)}
 
 
@@ -128,7 +128,8 @@ def test_unusable_records_are_set_aside(spark, tmp_path):
     surplus = record("D", DAYS, weather_code=[0.0, 1.0, 2.0])
     records = [record("A", DAYS), short, {"city": "B", "lat": 1, "lng": 2, "weather_raw": {}}, surplus]
     lake = put(tmp_path, RUN, CITIES, records)
-    assert pipeline.build_silver(spark, lake) == {"accepted": 4, "rejected": 0, "broken": 2}
+    counts = pipeline.build_silver(spark, lake)
+    assert (counts["accepted"], counts["broken"]) == (4, 2)
     assert sorted(rows(spark.read.parquet(lake.broken_records), "city")) == [("B",), ("C",)]
     assert sorted(set(rows(pipeline.read_silver(spark, lake, RUN), "city"))) == [("A",), ("D",)]
 
@@ -295,3 +296,16 @@ def test_command_line_answers(spark, tmp_path, capsys):
     spec = FilterSpec(cities=("A",), period_days=3)
     chosen = serving.select_forecasts(warehouse.facts(spark, lake), warehouse.current_cities(spark, lake), spec)
     assert chosen.count() == 2
+
+
+def test_pending_runs_are_caught_up_in_order(spark, tmp_path):
+    put(tmp_path, LATER, CITIES, [record("A", DAYS, precipitation_sum=[9.0, 9.0])])
+    lake = put(tmp_path, RUN, CITIES, [record("A", DAYS)])
+    assert list(pipeline.run_pending(spark, lake)) == [RUN, LATER]
+    assert pipeline.run_pending(spark, lake) == {}
+    facts, cities = warehouse.facts(spark, lake), warehouse.current_cities(spark, lake)
+    assert facts.count() == 4
+    with serving.dashboard(facts, cities) as panels:
+        assert panels["kpis"].first().precipitation_max == "9.0 mm"
+        assert panels["detail"].count() == 2
+        assert panels["map"].count() == panels["top"].count() == 1
