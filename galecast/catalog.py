@@ -28,6 +28,7 @@ from galecast.sources.driver_tables import (
     batched_customers,
     cities,
     cities_with_region,
+    forecast_keys,
     forecasts,
     table,
     weather,
@@ -84,8 +85,7 @@ def q6_above_average(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = weather(spark, sf_dir).select("event_id", *KEY, "retrieved_at")
-    return latest_versions(rows, KEY, VERSION)
+    return latest_versions(forecast_keys(spark, sf_dir), KEY, VERSION)
 
 
 def latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -335,13 +335,9 @@ def dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_insert_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All event types but sign-ups are stored; then the whole feed is sent again."""
-    feed = weather(spark, sf_dir).select("event_id", *KEY, "retrieved_at")
+    feed = forecast_keys(spark, sf_dir)
     stored = table(spark, sf_dir, "events").where(F.col("event_type") != "signup")
-    stored = stored.select(
-        F.col("user_id").alias("ville_id"),
-        F.to_date("ts").alias("date_prevision"),
-        F.col("ts").alias("retrieved_at"),
-    )
+    stored = stored.selectExpr("user_id AS ville_id", "CAST(ts AS DATE) AS date_prevision", "ts AS retrieved_at")
     return merge.absent_facts(feed, stored, (*KEY, "retrieved_at"), ["event_id"])
 
 

@@ -17,6 +17,7 @@ from galecast.model import HIGH, FilterSpec
 from galecast.operators.ordering import worst_day
 from galecast.plans.analytics import CITY, DAY, SCORE, latest, with_city_name
 
+# The columns of the view and of the detail table.
 VIEW_COLUMNS = (
     "city", "latitude", "longitude", "date_prevision",
     "temperature_max", "temperature_min", "precipitation_sum", "precipitation_probability_max",

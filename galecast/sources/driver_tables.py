@@ -17,6 +17,7 @@ from galecast.functions.risk import with_risk
 from galecast.operators.batches import with_batch
 from galecast.operators.ordering import key_position
 
+KEYS = ("event_id", "user_id AS ville_id", "CAST(ts AS DATE) AS date_prevision", "ts AS retrieved_at")
 VERSION = ("retrieved_at", "event_id")
 
 
@@ -36,13 +37,15 @@ def with_prop_k(events: DataFrame) -> DataFrame:
     return once(events, "k", F.expr("CAST(get_json_object(props, '$.k') AS INT)"))
 
 
+def forecast_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """City, date and version of every event, without reading the measures."""
+    return table(spark, sf_dir, "events").selectExpr(*KEYS)
+
+
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One forecast version per event, before any cleaning."""
     return with_prop_k(table(spark, sf_dir, "events")).selectExpr(
-        "event_id",
-        "user_id AS ville_id",
-        "CAST(ts AS DATE) AS date_prevision",
-        "ts AS retrieved_at",
+        *KEYS,
         "CASE WHEN event_type = 'error' AND k % 5 = 0 THEN NULL ELSE k * 0.75D - 12.5D END AS temperature_max",
         "k * 0.75D - 12.5D - 12D + event_id % 16 AS temperature_min",
         """CASE WHEN event_type = 'signup' AND k % 7 = 0 THEN NULL

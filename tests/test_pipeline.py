@@ -32,7 +32,7 @@ def record(city, days, lat=1.0, lng=2.0, **series):
 
 
 def put(root, run, cities, records, lines=True):
-    """Bronze files under the reference's file names."""
+    """Bronze files, one per input, with the run in their names."""
     (root / "bronze/villes").mkdir(parents=True, exist_ok=True)
     (root / "bronze/meteo").mkdir(parents=True, exist_ok=True)
     text = "city,lat,lng,country,admin_name,population\n"
