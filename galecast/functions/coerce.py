@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from galecast.model import NA_TOKENS, RUN_FORMAT, RUN_PATTERN
 
-# A plain decimal number. Spark's own cast also takes '1d', DuckDB's also takes '1_000'.
-NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
-BLANKS = " \t\n\r\f\x0b"
+# A plain decimal number between blanks. Spark's own cast, which ignores blanks too, also takes '1d',
+# DuckDB's also takes '1_000'.
+NUMBER_PATTERN = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -35,8 +35,7 @@ def nan_to_null(value: Column) -> Column:
 
 def strict_double(text: Column) -> Column:
     """A double from plain decimal text, surrounded by blanks at most."""
-    trimmed = F.btrim(text, F.lit(BLANKS))
-    return F.when(trimmed.rlike(NUMBER_PATTERN), trimmed.try_cast("double"))
+    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
 def strict_date(text: Column) -> Column:

@@ -7,6 +7,9 @@ snapshot that is being read is never overwritten; the highest number is current.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,20 +63,29 @@ def counted(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
     return df.observe(watch, *(c.cast("bigint").alias(n) for n, c in counts.items())), watch
 
 
-def _problems(required: list[str], kinds: dict[str, str], limits: dict[str, int]) -> Column:
-    """Names of the columns a row cannot be loaded for."""
+def _tests(required: list[str], kinds: dict[str, str], limits: dict[str, int]) -> list[tuple[str, Column]]:
+    """Column name and the condition under which its value cannot be loaded; never NULL."""
     tests = [(c, F.col(c).isNull()) for c in required]
     tests += [(c, ~fits(c, kind)) for c, kind in kinds.items()]
-    tests += [(c, F.length(c) > limit) for c, limit in limits.items()]
-    return F.array_distinct(F.array_compact(F.array(*(F.when(t, F.lit(c)) for c, t in tests))))
+    return tests + [(c, F.coalesce(F.length(c) > n, F.lit(False))) for c, n in limits.items()]
+
+
+def _city_tests() -> list[tuple[str, Column]]:
+    return _tests(["city", "latitude", "longitude"], CITY_PRECISION, CITY_TEXT_LIMITS)
 
 
-def city_problems() -> Column:
-    return _problems(["city", "latitude", "longitude"], CITY_PRECISION, CITY_TEXT_LIMITS)
+def _fact_tests() -> list[tuple[str, Column]]:
+    return _tests(["date_prevision", "retrieved_at"], FACT_PRECISION, FACT_TEXT_LIMITS)
 
 
-def fact_problems() -> Column:
-    return _problems(["date_prevision", "retrieved_at"], FACT_PRECISION, FACT_TEXT_LIMITS)
+def _passes(tests: list[tuple[str, Column]]) -> Column:
+    return reduce(and_, (~failed for _, failed in tests))
+
+
+def problems() -> Column:
+    """Names of the columns a row cannot be loaded for."""
+    blamed = (F.when(failed, F.lit(name)) for name, failed in _city_tests() + _fact_tests())
+    return F.array_distinct(F.array_compact(F.array(*blamed)))
 
 
 def _snapshot(spark: SparkSession, lake: Lake) -> int:
@@ -101,7 +113,7 @@ def load_cities(spark: SparkSession, lake: Lake, gold: DataFrame) -> DataFrame:
     The first row of a city, in source order, carries its attributes; new cities are numbered in
     source order.
     """
-    usable = gold.where(F.size(city_problems()) == 0).select(
+    usable = gold.where(_passes(_city_tests())).select(
         "city",
         *(store_as(c, kind).alias(c) for c, kind in CITY_PRECISION.items()),
         "region",
@@ -121,7 +133,7 @@ def load_cities(spark: SparkSession, lake: Lake, gold: DataFrame) -> DataFrame:
 
 def load_facts(spark: SparkSession, lake: Lake, gold: DataFrame, cities: DataFrame, run_ts: str) -> int:
     """Append the run's forecasts that are not stored yet; returns how many were."""
-    loadable = gold.where((F.size(city_problems()) == 0) & (F.size(fact_problems()) == 0))
+    loadable = gold.where(_passes(_city_tests() + _fact_tests()))
     typed = attach_ids(loadable, cities, how="inner").select(
         "ville_id",
         "date_prevision",
@@ -141,8 +153,8 @@ def load_facts(spark: SparkSession, lake: Lake, gold: DataFrame, cities: DataFra
 
 def write_rejects(lake: Lake, gold: DataFrame, run_ts: str) -> int:
     """Keep the Gold rows that cannot be loaded, with the columns that are to blame."""
-    judged = gold.withColumn("problems", F.array_union(city_problems(), fact_problems()))
-    watched, watch = counted(judged.where(F.size("problems") > 0), rejected=F.count(F.lit(1)))
+    bad = gold.where(~_passes(_city_tests() + _fact_tests())).withColumn("problems", problems())
+    watched, watch = counted(bad, rejected=F.count(F.lit(1)))
     replace_audit(watched, lake.rejects, run_ts)
     return watch.get["rejected"]
 
