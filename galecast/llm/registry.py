@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from galecast.llm import langid, mix, quality, shard, urls
+from galecast.llm import langid, mix, quality, shard, simhash, tokens, urls
 from galecast.llm.text import documents
 
 
@@ -14,6 +14,10 @@ def op1_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predicted_documents(documents(spark, sf_dir))
 
 
+def op4_addressable_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.encoded_documents(documents(spark, sf_dir))
+
+
 def op5_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.with_quality(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
 
@@ -26,11 +30,15 @@ def op7_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.sharded_documents(documents(spark, sf_dir))
 
 
+def op8_deletion_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op9_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.with_verdicts(documents(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_output_codes, op5_compression_bands, op6_cube_mix, op7_interleaved_shards, op9_url_automaton)
+    f.__name__: f for f in (op1_output_codes, op4_addressable_codes, op5_compression_bands, op6_cube_mix, op7_interleaved_shards, op8_deletion_variants, op9_url_automaton)
 }
 ORACLE: dict[str, str] = {}
