@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from galecast.llm import langid, mix, quality, shard, simhash, tokens, urls
+from galecast.llm import langid, lm, mix, quality, shard, simhash, substrings, tokens, urls
 from galecast.llm.text import documents
 
 
@@ -14,6 +14,10 @@ def op1_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predicted_documents(documents(spark, sf_dir))
 
 
+def op2_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored_documents(documents(spark, sf_dir))
+
+
 def op4_addressable_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encoded_documents(documents(spark, sf_dir))
 
@@ -38,7 +42,11 @@ def op9_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.with_verdicts(documents(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
 
 
+def op10_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_documents(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_output_codes, op4_addressable_codes, op5_compression_bands, op6_cube_mix, op7_interleaved_shards, op8_deletion_variants, op9_url_automaton)
+    f.__name__: f for f in (op1_output_codes, op2_stupid_backoff, op4_addressable_codes, op5_compression_bands, op6_cube_mix, op7_interleaved_shards, op8_deletion_variants, op9_url_automaton, op10_block_anchors)
 }
 ORACLE: dict[str, str] = {}
