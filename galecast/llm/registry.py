@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from galecast.llm import langid, lm, mix, quality, shard, simhash, substrings, tokens, urls
+from galecast.llm import decontam, langid, lm, mix, quality, shard, simhash, substrings, tokens, urls
 from galecast.llm.text import documents
 
 
@@ -18,6 +18,10 @@ def op2_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scored_documents(documents(spark, sf_dir))
 
 
+def op3_template_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.checked_documents(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
 def op4_addressable_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encoded_documents(documents(spark, sf_dir))
 
@@ -47,6 +51,6 @@ def op10_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_output_codes, op2_stupid_backoff, op4_addressable_codes, op5_compression_bands, op6_cube_mix, op7_interleaved_shards, op8_deletion_variants, op9_url_automaton, op10_block_anchors)
+    f.__name__: f for f in (op1_output_codes, op2_stupid_backoff, op3_template_windows, op4_addressable_codes, op5_compression_bands, op6_cube_mix, op7_interleaved_shards, op8_deletion_variants, op9_url_automaton, op10_block_anchors)
 }
 ORACLE: dict[str, str] = {}
