@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from galecast.llm import decontam, langid, lm, mix, quality, shard, simhash, substrings, tokens, urls
+from galecast.llm.oracle import ORACLE
 from galecast.llm.text import documents
 
 
@@ -15,7 +17,8 @@ def op1_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.scored_documents(documents(spark, sf_dir))
+    scores = lm.scored_documents(documents(spark, sf_dir))
+    return scores.select("doc_id", "n_words", F.round("log_score", 3).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score"), "n_backed_off")
 
 
 def op3_template_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,4 +56,5 @@ def op10_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_output_codes, op2_stupid_backoff, op3_template_windows, op4_addressable_codes, op5_compression_bands, op6_cube_mix, op7_interleaved_shards, op8_deletion_variants, op9_url_automaton, op10_block_anchors)
 }
-ORACLE: dict[str, str] = {}
+
+__all__ = ["ORACLE", "QUERIES"]

@@ -25,7 +25,7 @@ SEPARATOR = 0xFF
 HOST_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 #: Patterns on the canonical form that block where no host rule fits.
 BLOCKED_GLOBS = ("*casino*|*", "*free-bets*|*", "*cheap-pills*|*", "*ads-track*|*", "*|*/ads/*", "*|*.exe", "*|*tracker?.gif")
-COLUMNS = "host string, path string, rule string, verdict string, glob string"
+COLUMNS = "host string, path string, rule string, verdict string, pattern string"
 #: URLs stepped together; bounds the memory of a pass.
 PASS_URLS = 16384
 
