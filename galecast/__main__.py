@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import argparse
 import logging
+import sys
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from galecast.model import LEVELS, FilterSpec
 from galecast.operators.batches import batch_params
@@ -22,6 +24,28 @@ QUESTIONS = {
 }
 
 
+def show(names: list[str], rows: Iterable[Row]) -> None:
+    """Tab-separated lines, written as they arrive."""
+    print(*names, sep="\t")
+    for row in rows:
+        print(*("" if value is None else value for value in row), sep="\t")
+
+
+def deliver(df: DataFrame, out: str | None, limit: int | None) -> None:
+    """All rows in their order, streamed partition by partition to the screen or written as CSV.
+
+    Only an explicit limit cuts them, and says how many it leaves out.
+    """
+    if limit is not None:
+        left = max(df.count() - limit, 0)
+        df = df.limit(limit)
+        print(f"{left} more rows are left out", file=sys.stderr)
+    if out:
+        df.write.mode("errorifexists").csv(out, header=True)
+    else:
+        show(df.columns, df.toLocalIterator(prefetchPartitions=True))
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="galecast", description=__doc__)
     commands = top.add_subparsers(dest="command", required=True)
@@ -40,15 +64,23 @@ def parser() -> argparse.ArgumentParser:
     for name in ("silver", "run"):
         sub = command(name, "clean a run" if name == "silver" else "silver, gold and load")
         if name == "run":
-            sub.add_argument("--pending", action="store_true", help="every run that has no Gold yet")
+            sub.add_argument("--pending", action="store_true", help="every run that is not loaded yet")
         sub.add_argument("--whole-document", action="store_true", help="Bronze holds one JSON array per file")
     command("gold", "score a run")
     command("load", "load a run into the warehouse")
-    command("query", "answer one of the six questions").add_argument("question", choices=QUESTIONS)
-    sql = command("sql", "run SQL over villes and previsions")
+
+    def reading(name: str, help_text: str) -> argparse.ArgumentParser:
+        sub = command(name, help_text)
+        sub.add_argument("--out", help="folder for the whole answer (CSV) instead of the screen")
+        sub.add_argument("--limit", type=int, help="at most so many rows")
+        return sub
+
+    reading("check", "list what breaks the constraints of the stored tables")
+    reading("query", "answer one of the six questions").add_argument("question", choices=QUESTIONS)
+    sql = reading("sql", "run SQL over villes and previsions")
     sql.add_argument("text")
-    panel = command("panel", "show a dashboard panel under a selection")
-    panel.add_argument("panel", choices=serving.PANELS)
+    panel = reading("panel", "show a dashboard panel under a selection")
+    panel.add_argument("panel", choices=[*serving.PANELS, "options"])
     panel.add_argument("--city", action="append", default=[])
     panel.add_argument("--days", type=int, choices=(3, 7))
     panel.add_argument("--date", action="append", default=[])
@@ -61,22 +93,26 @@ def answer(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> DataFra
     cities, facts = warehouse.current_cities(spark, lake), warehouse.facts(spark, lake)
     if args.command == "query":
         return QUESTIONS[args.question](analytics.latest(facts), cities)
+    if args.command == "check":
+        return warehouse.constraint_report(spark, lake)
     if args.command == "sql":
         warehouse.register_views(spark, lake)
         return spark.sql(args.text)
     if facts.isEmpty():
         raise ValueError("the warehouse holds no forecasts")
+    if args.panel == "options":
+        return serving.filter_options(facts, cities)
     spec = FilterSpec(tuple(args.city), args.days, tuple(args.date), tuple(args.level))
     return serving.PANELS[args.panel](serving.select_forecasts(facts, cities, spec), cities)
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s [%(levelname)s] %(message)s")
+    logging.basicConfig(level=logging.INFO, format="%(levelname)s %(name)s: %(message)s")
     spark = SparkSession.builder.appName("galecast").getOrCreate()
     lake = Lake(args.root)
     if args.command == "requests":
-        run = args.run or pipeline.new_run(spark)
+        run = args.run or pipeline.new_run()
         pipeline.store_cities(spark, args.cities, lake, run)
         batch_params(pipeline.plan_requests(spark, lake, run)).write.json(args.out)
         print(run)
@@ -95,7 +131,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "run":
         print(pipeline.run_all(spark, lake, args.run, args.whole_document))
     else:
-        answer(spark, lake, args).show(100, truncate=False)
+        deliver(answer(spark, lake, args), args.out, args.limit)
 
 
 if __name__ == "__main__":

@@ -20,20 +20,22 @@ from galecast.functions.coerce import (
 )
 from galecast.model import FilterSpec
 from galecast.operators import batches, merge, quality
-from galecast.operators.flatten import explode_arrays
-from galecast.operators.ordering import keep_first, key_position, latest_versions
-from galecast.plans import analytics, serving
+from galecast.operators.flatten import explode_arrays, flatten_forecasts, has_complete_days
+from galecast.operators.ordering import keep_first, key_position, latest_run_rows, latest_versions
+from galecast.plans import analytics, pipeline, serving
 from galecast.sources.driver_tables import (
     VERSION,
     batched_customers,
     cities,
     cities_with_region,
+    forecast_documents,
     forecast_keys,
     forecasts,
     table,
     weather,
     with_prop_k,
 )
+from galecast.sources.files import parse_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,11 +93,8 @@ def latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 def latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the last run; a run is a day of events here."""
     day = F.date_trunc("day", F.col("ts")).cast("timestamp_ntz")
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
-    last = events.agg(F.date_trunc("day", F.max("ts")).cast("timestamp_ntz")).scalar()
-    return events.where(F.col("ts") >= last).select(
-        "event_id", F.col("user_id").alias("ville_id"), run_of(day).alias("run_ts")
-    )
+    events = table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("ville_id"), run_of(day).alias("run_ts"))
+    return latest_run_rows(events)
 
 
 def risk_subscores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,6 +173,24 @@ def json_extract_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", parsed["k"].alias("weather_code"))
 
 
+def documents_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecast documents through the reader's parsing, flattening and cleaning, judged but not filtered."""
+    records = parse_records(forecast_documents(spark, sf_dir))
+    places = cities_with_region(spark, sf_dir).selectExpr("'20240101_000000' AS run_ts", "CAST(id AS STRING) AS city", "region", "latitude AS population")
+    rows = pipeline.clean(flatten_forecasts(records.where(has_complete_days())), places)
+    return rows.select(
+        "city", "date_prevision", "temperature_max", "temperature_min", "precipitation_sum", "wind_gusts_max", "weather_code",
+        F.coalesce("region", F.lit("-")).alias("region"), "accepted", F.array_join("violations", ",").alias("violations"),
+    )
+
+
+def documents_set_aside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records without complete days, with their text as received."""
+    return pipeline.broken_records(parse_records(forecast_documents(spark, sf_dir))).select(
+        F.col("source_row").alias("user_id"), "source_split", "text"
+    )
+
+
 def flatten_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     component = F.col("embedding")
@@ -424,7 +441,7 @@ QUERIES: dict[str, Query] = {
         q1_max_temp, q2_max_precip, q3_avg_risk, q4_risk_by_day, q5_worst_day, q6_above_average,
         latest_version, latest_run, risk_subscores, risk_score, weather_categories,
         risk_level_distribution, plausibility_filter, plausibility_reject, reject_reasons,
-        dedup_first, silver_rows, coerce_types, json_extract_measures, flatten_arrays,
+        dedup_first, silver_rows, coerce_types, json_extract_measures, documents_clean, documents_set_aside, flatten_arrays,
         batch_plan, batch_params, envelope_normalise, batch_validation, dead_letter, positional_join,
         dq_duplicates, dq_unique, dq_report, dq_not_null, dq_text_length, dq_stage_counts,
         dq_referential, enrich_left_join, unmatched_keys, surrogate_lookup, dim_upsert,

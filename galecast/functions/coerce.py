@@ -70,8 +70,13 @@ def run_of(moment: Column) -> Column:
 
 
 def run_time(run_ts: Column) -> Column:
-    """The timestamp (without zone) of a run identifier, NULL if it is none."""
-    return F.try_to_timestamp(run_ts, F.lit(RUN_FORMAT)).cast("timestamp_ntz")
+    """The timestamp (without zone) of a run identifier, NULL if it is none.
+
+    The identifier is rewritten as ISO text, so that no time zone takes part.
+    """
+    parts = r"^(\d{4})(\d{2})(\d{2})_(\d{2})(\d{2})(\d{2})$"
+    iso = F.regexp_replace(run_ts, parts, "$1-$2-$3 $4:$5:$6")
+    return F.when(run_ts.rlike(parts), iso.try_cast("timestamp_ntz"))
 
 
 def run_in(path: Column) -> Column:

@@ -32,7 +32,9 @@ DAILY_VARIABLES = (
 FORECAST_DAYS = 7
 TIMEZONE = "auto"
 BATCH_SIZE = 100
-MAX_ATTEMPTS = 3
+
+# One row for each stage and run that ended: done, or failed with the reason.
+RUNS_SCHEMA = "outcome string, reason string, counts map<string,bigint>, stage string, run_ts string"
 
 # Run identifiers are UTC seconds, e.g. 20260103_060000.
 RUN_FORMAT = "yyyyMMdd_HHmmss"
@@ -106,7 +108,8 @@ FACT_TEXT_LIMITS = {
 }
 FACT_KEY = ("ville_id", "date_prevision", "retrieved_at")
 
-CITY_SCHEMA = "id bigint, city string, latitude decimal(9,6), longitude decimal(9,6), region string"
+# The last column is the run that last set a city's attributes.
+CITY_SCHEMA = "id bigint, city string, latitude decimal(9,6), longitude decimal(9,6), region string, updated_by string"
 FACT_SCHEMA = (
     "ville_id bigint, date_prevision date, "
     + ", ".join(f"{name} {kind}" for name, kind in FACT_PRECISION.items())
@@ -116,9 +119,9 @@ FACT_SCHEMA = (
 
 # Every daily array is read as text, so that one bad value costs that value and not the document.
 DAILY_TYPE = "struct<time:array<string>," + ",".join(f"{v}:array<string>" for v in DAILY_VARIABLES) + ">"
-FORECAST_SCHEMA = (
-    f"city string, lat string, lng string, weather_raw struct<daily:{DAILY_TYPE}>"
-)
+WEATHER_TYPE = f"struct<daily:{DAILY_TYPE}>"
+# A record's response is read as text first, then as WEATHER_TYPE.
+RECORD_TYPE = "city string, lat string, lng string, weather_raw string"
 
 # Source order of a flattened row: input split, record inside it, day inside the record.
 ORDINAL = ("source_split", "source_row", "day_index")

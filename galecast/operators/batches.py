@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from galecast.functions.coerce import once
-from galecast.model import BATCH_SIZE, DAILY_VARIABLES, FORECAST_DAYS, MAX_ATTEMPTS, TIMEZONE
+from galecast.model import BATCH_SIZE, DAILY_VARIABLES, FORECAST_DAYS, TIMEZONE
 from galecast.operators.ordering import pick_one
 
 
@@ -59,16 +59,13 @@ def envelope(payload: Column) -> Column:
     return F.from_json(listed, "array<string>", {"mode": "PERMISSIVE"})
 
 
-def accepted_responses(
-    payloads: DataFrame, plan: DataFrame, max_attempts: int = MAX_ATTEMPTS
-) -> DataFrame:
+def accepted_responses(payloads: DataFrame, plan: DataFrame) -> DataFrame:
     """Per batch the first attempt that returned one response per requested city.
 
-    ``payloads`` has batch_no, attempt, payload. A batch without such an attempt fails as a whole
-    and has no row here.
+    ``payloads`` has batch_no, attempt, payload; any number of attempts. A batch without such an
+    attempt fails as a whole and has no row here.
     """
-    tried = payloads.where(F.col("attempt") <= max_attempts)
-    decoded = once(tried, "responses", envelope(F.col("payload")))
+    decoded = once(payloads, "responses", envelope(F.col("payload")))
     complete = decoded.join(plan.select("batch_no", "n_cities"), "batch_no").where(
         F.size("responses") == F.col("n_cities")
     )

@@ -32,27 +32,26 @@ def upsert_cities(
     number: Callable[[DataFrame], DataFrame],
     key: str = "city",
     attributes: Sequence[str] = CITY_ATTRIBUTES,
+    version: str | None = None,
 ) -> DataFrame:
-    """The dimension after ``incoming`` (one row per key): id, key, attributes.
+    """The dimension after ``incoming`` (one row per key): id, key, attributes (and version).
 
-    A known key keeps its id and takes every incoming attribute, NULL included. New keys get ids
-    after the largest known one, in the order in which ``number`` positions them (it adds a
-    0-based ``position`` column).
+    A known key keeps its id and takes every incoming attribute, NULL included; with a ``version``
+    column, only if the incoming version is not older. New keys get ids after the largest known one,
+    in the order in which ``number`` positions them (it adds a 0-based ``position`` column).
     """
-    wanted = incoming.select(key, *(F.col(a).alias(f"new_{a}") for a in attributes))
-    matched = existing.join(wanted.withColumn("_sent", F.lit(True)), key, "left")
-    kept = matched.select(
-        "id",
-        key,
-        *(
-            F.when(F.col("_sent"), F.col(f"new_{a}")).otherwise(F.col(a)).alias(a)
-            for a in attributes
-        ),
+    columns = [*attributes, *([version] if version else [])]
+    new = incoming.join(existing.select(key), key, "left_anti")
+    sent = incoming.select(key, F.struct(*columns).alias("_new"))
+    newer = F.col("_new").isNotNull()
+    if version:
+        newer &= F.coalesce(F.col(f"_new.{version}") >= F.col(version), F.lit(True))
+    kept = existing.join(sent, key, "left").select(
+        "id", key, *(F.when(newer, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in columns)
     )
     last_id = existing.agg(F.coalesce(F.max("id"), F.lit(0).cast("bigint"))).scalar()
-    new = incoming.join(existing.select(key), key, "left_anti")
     added = number(new).select(
-        (last_id + F.col("position") + 1).cast("bigint").alias("id"), key, *attributes
+        (last_id + F.col("position") + 1).cast("bigint").alias("id"), key, *columns
     )
     return kept.unionByName(added)
 
@@ -75,10 +74,10 @@ def attach_ids(df: DataFrame, cities: DataFrame, key: str = "city", how: str = "
 
 
 def orphans(fact: DataFrame, fact_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Keys without a parent row, with their row count; counted before the join."""
+    """Keys without a parent row, with their row count; both sides are reduced to one row a key first."""
     counted = (
         fact.where(F.col(fact_key).isNotNull())
         .groupBy(F.col(fact_key).alias("key"))
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
-    return counted.join(parent.select(F.col(parent_key).alias("key")), "key", "left_anti")
+    return counted.join(parent.select(F.col(parent_key).alias("key")).distinct(), "key", "left_anti")

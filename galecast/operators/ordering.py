@@ -32,6 +32,11 @@ def latest_versions(
     return pick_one(df, keys, [F.col(c).desc() for c in version])
 
 
+def latest_run_rows(df: DataFrame, run: str = "run_ts") -> DataFrame:
+    """The rows of the latest run; its name is one aggregate, so no rows are moved."""
+    return df.where(F.col(run) == df.agg(F.max(run)).scalar())
+
+
 def worst_day(
     df: DataFrame,
     key: str = "ville_id",
@@ -42,50 +47,60 @@ def worst_day(
     return pick_one(df, [key], [F.col(score).desc_nulls_last(), F.col(day).asc()])
 
 
-def _rows_before(bucket: str, size: str, within: str | None = None) -> Column:
-    """Total size of the smaller buckets (of the same ``within`` group)."""
-    window = Window.partitionBy(within) if within else Window.partitionBy()
-    earlier = window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(size).over(earlier), F.lit(0).cast("bigint"))
+def _rows_before(df: DataFrame, group: Sequence[str], digit: str) -> DataFrame:
+    """One row per group and digit with ``_size`` and ``_before``, the rows of its smaller digits."""
+    window = Window.partitionBy(*group).orderBy(digit).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = df.groupBy(*group, digit).agg(F.sum("_size").alias("_size"))
+    return sizes.withColumn("_before", F.coalesce(F.sum("_size").over(window), F.lit(0).cast("bigint")))
 
 
-def split_position(df: DataFrame, split: str, row: str, name: str = "position") -> DataFrame:
-    """0-based position in the order (split, row), for rows that know their input split.
+def key_position(df: DataFrame, key: str, name: str = "position", bits: int = 16) -> DataFrame:
+    """0-based position in the order of a unique, non-negative 64-bit integer key.
 
-    Rows are numbered inside their split, whose size the reader bounds; the running total is taken
-    over one row per split.
+    A running count over the whole table would be one task. Instead the key is read as digits of
+    ``bits`` bits. Rows are counted by prefix, from the longest to the shortest; on each level a
+    prefix adds the rows of its smaller siblings. As the key is unique, no window group holds more
+    than ``2 ** bits`` rows, however the keys are spread. A missing key is an error.
     """
-    inside = F.row_number().over(Window.partitionBy(split).orderBy(row)) - 1
-    sizes = df.groupBy(split).agg(F.count(F.lit(1)).alias("_size"))
-    starts = sizes.select(F.col(split), _rows_before(split, "_size").alias("_start"))
-    numbered = df.withColumn("_inside", inside).join(starts, split)
-    return numbered.withColumn(name, F.col("_start") + F.col("_inside")).select(*df.columns, name)
+    if not 2 <= bits <= 31:
+        raise ValueError("a digit has 2 to 31 bits")
+    present = F.when(F.col(key).isNull(), F.raise_error(F.lit(f"a row without {key} has no position"))).otherwise(F.col(key))
+    df = df.withColumn("_key", present.cast("bigint"))
+    shifts = range(bits, 63, bits)
+    inside = F.row_number().over(Window.partitionBy("_p0").orderBy("_key")) - 1
+    counts = df.groupBy(F.shiftright("_key", bits).alias("_p0")).agg(F.count(F.lit(1)).alias("_size"))
+    starts = counts.select("_p0", "_size", F.lit(0).cast("bigint").alias("_start"))
+    sizes = counts
+    for level, _ in enumerate(shifts):
+        here, above = f"_p{level}", f"_p{level + 1}"
+        sizes = sizes.select(here, F.shiftright(here, bits).alias(above), "_size")
+        before = _rows_before(sizes, [above], here).select(here, "_before")
+        starts = starts.join(before, here).withColumn("_start", F.col("_start") + F.col("_before")).drop("_before")
+        starts = starts.withColumn(above, F.shiftright(here, bits))
+        sizes = sizes.groupBy(above).agg(F.sum("_size").alias("_size"))
+    numbered = df.withColumn("_p0", F.shiftright("_key", bits)).withColumn("_inside", inside)
+    numbered = numbered.join(starts.select("_p0", "_start"), "_p0")
+    return numbered.withColumn(name, F.col("_start") + F.col("_inside")).select(*[c for c in df.columns if c != "_key"], name)
 
 
-def key_position(df: DataFrame, key: str, name: str = "position", bits: int = 21) -> DataFrame:
-    """0-based position in the order of a unique, non-negative 64-bit integer key.
+def split_position(df: DataFrame, split: str, row: str, name: str = "position") -> DataFrame:
+    """0-based position in the order (split, row), for rows that know their input split.
 
-    A running count over the whole table would be one task. Instead the key is read as three digits
-    of ``bits`` bits. Rows are numbered inside the bucket that shares the two upper digits; to that
-    come the smaller buckets with the same first digit, and the rows with a smaller first digit.
-    As the key is unique, no window group holds more than ``2 ** bits`` rows, however the keys are
-    spread.
+    Rows are numbered inside pieces of a split, cut by the row number's upper bits, so that a split
+    of any size, a whole file for instance, spreads over many tasks. What comes before a piece is
+    summed in two levels: within its split, and over the splits, one row each.
     """
-    if not 21 <= bits <= 31:
-        raise ValueError("three digits must cover a 63-bit key")
-    middle, upper = F.shiftright(F.col(key), bits), F.shiftright(F.col("_middle"), bits)
-    inside = F.row_number().over(Window.partitionBy("_middle").orderBy(key)) - 1
-
-    buckets = df.groupBy(middle.alias("_middle")).agg(F.count(F.lit(1)).alias("_size"))
-    buckets = buckets.withColumn("_upper", upper).where("_middle IS NOT NULL AND _upper IS NOT NULL")
-    groups = buckets.groupBy("_upper").agg(F.sum("_size").alias("_size"))
-    groups = groups.select("_upper", _rows_before("_upper", "_size").alias("_groups_before"))
-    starts = (
-        buckets.withColumn("_buckets_before", _rows_before("_middle", "_size", within="_upper"))
-        .join(groups, "_upper")
-        .select("_middle", (F.col("_groups_before") + F.col("_buckets_before")).alias("_start"))
-    )
-    numbered = df.withColumn("_middle", middle).withColumn("_inside", inside).join(starts, "_middle")
+    piece = F.shiftright(F.col(row), 16)
+    inside = F.row_number().over(Window.partitionBy(split, "_piece").orderBy(row)) - 1
+    sizes = df.groupBy(split, piece.alias("_piece")).agg(F.count(F.lit(1)).alias("_size"))
+    pieces = _rows_before(sizes, [split], "_piece").withColumnRenamed("_before", "_inner").drop("_size")
+    totals = sizes.groupBy(split).agg(F.sum("_size").alias("_size"))
+    files = totals.withColumn("_file", F.substring_index(split, "#", 1))
+    within = _rows_before(files, ["_file"], split).withColumnRenamed("_before", "_outer").drop("_size")
+    first = _rows_before(files.select("_file", "_size"), [], "_file").select("_file", "_before")
+    starts = pieces.join(within.join(first, "_file"), split)
+    starts = starts.select(split, "_piece", (F.col("_inner") + F.col("_outer") + F.col("_before")).alias("_start"))
+    numbered = df.withColumn("_piece", piece).withColumn("_inside", inside).join(starts, [split, "_piece"])
     return numbered.withColumn(name, F.col("_start") + F.col("_inside")).select(*df.columns, name)
 
 
@@ -99,4 +114,3 @@ def require_rows(df: DataFrame, message: str) -> None:
     """Raise if the relation is empty."""
     if df.isEmpty():
         raise ValueError(message)
-

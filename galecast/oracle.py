@@ -58,10 +58,10 @@ SCORED = f"{WX},{_scored('wx')}"
 def _latest(source: str, name: str = "latest") -> str:
     return f"""
 {name} AS (
-  SELECT * EXCLUDE (rang) FROM (
+  SELECT * EXCLUDE (place) FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY ville_id, date_prevision
-                                 ORDER BY retrieved_at DESC, event_id DESC) AS rang FROM {source})
-  WHERE rang = 1
+                                 ORDER BY retrieved_at DESC, event_id DESC) AS place FROM {source})
+  WHERE place = 1
 )"""
 
 
@@ -144,9 +144,9 @@ SELECT date_prevision, ROUND(AVG(risk_score), 1) AS risque_moyen_ce_jour,
 FROM latest GROUP BY date_prevision"""),
     "q5_worst_day": _with(WAREHOUSE, """
 SELECT city, date_prevision AS periode_la_plus_a_risque, risk_score, risk_level
-FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY ville_id ORDER BY risk_score DESC, date_prevision) AS rang
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY ville_id ORDER BY risk_score DESC, date_prevision) AS place
       FROM latest) JOIN villes ON id = ville_id
-WHERE rang = 1"""),
+WHERE place = 1"""),
     "q6_above_average": _with(WAREHOUSE, """
 SELECT city, ROUND(AVG(risk_score), 1) AS risque_moyen_ville
 FROM latest JOIN villes ON id = ville_id GROUP BY city
@@ -157,6 +157,33 @@ HAVING SUM(risk_score) * (SELECT COUNT(*) FROM latest) > (SELECT SUM(risk_score)
     "latest_run": """
 SELECT event_id, user_id AS ville_id, strftime(date_trunc('day', ts), '%Y%m%d_%H%M%S') AS run_ts FROM events
 WHERE strftime(ts, '%Y%m%d') = (SELECT MAX(strftime(ts, '%Y%m%d')) FROM events)""",
+    "documents_clean": f"""
+WITH d AS (SELECT user_id, event_id, CAST(ts AS DATE) AS day, k FROM (SELECT *, {K} AS k FROM events)
+           WHERE user_id % 7 <> 0 AND user_id % 11 <> 0),
+first AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, day ORDER BY event_id) AS place FROM d) WHERE place = 1),
+wx AS (SELECT user_id, day AS date_prevision, k - 10e0 AS temperature_max, k - 22e0 AS temperature_min, k - 1e0 AS precipitation_sum,
+       k * 2e0 AS wind_speed_max, k * 3e0 AS wind_gusts_max, CAST(k AS DOUBLE) AS weather_code FROM first)
+SELECT CAST(user_id AS VARCHAR) AS city, date_prevision, temperature_max, temperature_min, precipitation_sum, wind_gusts_max,
+  weather_code, COALESCE(r_name, '-') AS region, {PLAUSIBLE} AS accepted,
+  array_to_string(list_filter([{", ".join(f"CASE WHEN {broken} THEN '{name}' END" for name, broken in RULES.items())}],
+    lambda x: x IS NOT NULL), ',') AS violations
+FROM wx LEFT JOIN customer ON c_custkey = user_id LEFT JOIN nation ON n_nationkey = c_nationkey
+LEFT JOIN region ON r_regionkey = n_regionkey""",
+    "documents_set_aside": f"""
+WITH d AS (SELECT user_id, date_trunc('week', ts) AS week, event_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, {K} AS k FROM events),
+w AS (SELECT user_id, CAST(CAST(week AS DATE) AS VARCHAR) AS week, list(day ORDER BY event_id) AS days, list(k ORDER BY event_id) AS ks
+      FROM d GROUP BY ALL),
+t AS (SELECT *, '{{"city":"' || user_id || '","lat":1.5,"lng":-2.5,"weather_raw":{{"daily":{{"time":["' || array_to_string(days, '","') || '"]'
+  || ',"temperature_2m_max":[' || array_to_string(list_transform(ks, lambda k: k - 10), ',') || ']'
+  || ',"temperature_2m_min":[' || array_to_string(list_transform(ks, lambda k: k - 22), ',') || ']'
+  || ',"precipitation_sum":[' || array_to_string(list_transform(ks, lambda k: k - 1), ',') || ']'
+  || ',"precipitation_probability_max":[' || array_to_string(ks, ',') || ']'
+  || ',"wind_speed_10m_max":[' || array_to_string(list_transform(ks, lambda k: k * 2), ',') || ']'
+  || ',"wind_gusts_10m_max":[' || array_to_string(list_transform(ks, lambda k: k * 3), ',') || ']'
+  || ',"weather_code":[' || array_to_string(CASE WHEN user_id % 7 = 0 THEN ks[2:] ELSE ks END, ',') || ']}}}}}}' AS whole FROM w)
+SELECT user_id, week AS source_split,
+  CASE WHEN user_id % 11 = 0 THEN left(whole, length(whole) - 5) ELSE whole END AS text
+FROM t WHERE user_id % 7 = 0 OR user_id % 11 = 0""",
     "risk_subscores": _with(
         SCORED, "SELECT event_id, temperature_risk, precipitation_risk, wind_risk FROM parts"
     ),
@@ -190,15 +217,15 @@ FROM scored GROUP BY risk_level"""),
 SELECT event_id, concat_ws(',', {", ".join(f"CASE WHEN {b} THEN '{n}' END" for n, b in RULES.items())}) AS violations
 FROM wx WHERE NOT ({PLAUSIBLE})"""),
     "dedup_first": f"""
-SELECT * EXCLUDE (rang) FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {LINE_ORDER}) AS rang
+SELECT * EXCLUDE (place) FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {LINE_ORDER}) AS place
   FROM (SELECT * REPLACE (l_discount + 0e0 AS l_discount, l_tax + 0e0 AS l_tax) FROM lineitem))
-WHERE rang = 1""",
+WHERE place = 1""",
     "silver_rows": _with(f"""{WX},
 firsts AS (
-  SELECT * EXCLUDE (rang) FROM (
-    SELECT *, ROW_NUMBER() OVER (PARTITION BY ville_id, date_prevision ORDER BY event_id) AS rang FROM wx)
-  WHERE rang = 1
+  SELECT * EXCLUDE (place) FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY ville_id, date_prevision ORDER BY event_id) AS place FROM wx)
+  WHERE place = 1
 ),{_scored('firsts')}""", """
 SELECT event_id, ville_id, date_prevision,
        CASE WHEN temperature_max < 25 THEN 'faible' WHEN temperature_max < 40 THEN 'moyen'
@@ -295,13 +322,13 @@ GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1""",
         "n_rows",
         {
             "flattened": "COUNT(*)",
-            "deduplicated": "COUNT(*) FILTER (rang = 1)",
-            "accepted": f"COUNT(*) FILTER (rang = 1 AND {PLAUSIBLE})",
-            "rejected": f"COUNT(*) FILTER (rang = 1 AND NOT ({PLAUSIBLE}))",
+            "deduplicated": "COUNT(*) FILTER (place = 1)",
+            "accepted": f"COUNT(*) FILTER (place = 1 AND {PLAUSIBLE})",
+            "rejected": f"COUNT(*) FILTER (place = 1 AND NOT ({PLAUSIBLE}))",
         },
         f"""{WX},
 ranked AS (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY ville_id, date_prevision ORDER BY event_id) AS rang FROM wx
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY ville_id, date_prevision ORDER BY event_id) AS place FROM wx
 )""",
         "ranked",
     ),
@@ -337,8 +364,8 @@ SELECT COALESCE(e.id, (SELECT MAX(id) FROM existing) + a.n) AS id, COALESCE(e.ci
 FROM existing e FULL JOIN incoming i ON i.city = e.city LEFT JOIN added a ON a.city = i.city"""),
     "fact_insert_absent": _with(WX, """
 SELECT event_id, ville_id, date_prevision, retrieved_at FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY ville_id, date_prevision, retrieved_at ORDER BY event_id) AS rang FROM wx) n
-WHERE rang = 1 AND NOT EXISTS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY ville_id, date_prevision, retrieved_at ORDER BY event_id) AS place FROM wx) n
+WHERE place = 1 AND NOT EXISTS (
   SELECT 1 FROM events o WHERE o.event_type <> 'signup' AND o.user_id = n.ville_id AND o.ts = n.retrieved_at)"""),
     "numeric_cast": """
 SELECT l_orderkey, l_linenumber,
@@ -380,9 +407,9 @@ GROUP BY city ORDER BY mean_risk DESC, city LIMIT 1"""),
     "dash_map": _with(WAREHOUSE, """
 SELECT city, latitude, longitude, date_prevision, risk_score, risk_level,
        CASE risk_level WHEN 'faible' THEN '#2ecc71' WHEN 'moyen' THEN '#f39c12' ELSE '#e74c3c' END AS colour
-FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY ville_id ORDER BY risk_score DESC, date_prevision) AS rang
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY ville_id ORDER BY risk_score DESC, date_prevision) AS place
       FROM latest) JOIN villes ON id = ville_id
-WHERE rang = 1"""),
+WHERE place = 1"""),
     "dash_top10": _with(WAREHOUSE, """
 SELECT city, round_even(AVG(risk_score) * 10, 0) / 10 AS risk_score FROM latest JOIN villes ON id = ville_id
 GROUP BY city ORDER BY risk_score DESC, city LIMIT 10"""),

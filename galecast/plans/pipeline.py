@@ -7,6 +7,7 @@ after a failure.
 from __future__ import annotations
 
 import logging
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,44 +15,52 @@ from pyspark.sql import functions as F
 from galecast.functions.coerce import na_to_null, run_time, strict_double
 from galecast.functions.plausibility import violations
 from galecast.functions.risk import with_categories, with_risk
-from galecast.model import GOLD_SCHEMA, ORDINAL, RUN_PATTERN, SILVER_SCHEMA, column_names
+from galecast.model import GOLD_SCHEMA, ORDINAL, SILVER_SCHEMA, column_names
 from galecast.operators import batches, quality
 from galecast.operators.flatten import flatten_forecasts, has_complete_days
 from galecast.operators.merge import enrich, unmatched_keys
 from galecast.operators.ordering import keep_first, require_rows, split_position
 from galecast.plans import warehouse
-from galecast.plans.warehouse import Lake, counted, replace_audit, replace_run
+from galecast.plans.warehouse import Lake, commit, committed_run, counted, ended, replace_audit, replace_run
 from galecast.sources.files import (
     CITY_COLUMNS,
     city_reference,
+    common_runs,
     latest_common_run,
     read_cities,
     read_forecasts,
     read_raw_cities,
     read_table,
-    values_in_names,
 )
 
 log = logging.getLogger(__name__)
 
+# Columns whose missing values are reported.
 REQUIRED = ("city", "date_prevision", "latitude", "longitude", "region")
 
 
-def new_run(spark: SparkSession) -> str:
+def new_run() -> str:
     """A run identifier for now, in UTC."""
-    now = "date_format(to_utc_timestamp(now(), current_timezone()), 'yyyyMMdd_HHmmss')"
-    return spark.range(1).selectExpr(f"{now} AS run_ts").first()["run_ts"]
+    return datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
 
 
 def store_cities(spark: SparkSession, source: str, lake: Lake, run_ts: str) -> str:
-    """Keep a city list, all columns as received, under a run that must not exist yet."""
-    target = f"{lake.bronze_cities}/run_ts={run_ts}"
-    raw = read_raw_cities(spark, source)
-    require_rows(raw, "the city list is empty")
-    raw.write.mode("errorifexists").option("header", True).option("escape", '"').csv(target)
+    """Keep a city list, byte for byte, under a run that must not exist yet."""
+    target = f"{lake.bronze_cities}/villes_{run_ts}.csv"
+    require_rows(read_raw_cities(spark, source), "the city list is empty")
+    copy_file(spark, source, target)
     return target
 
 
+def copy_file(spark: SparkSession, source: str, target: str) -> None:
+    """A file to a new place on any of Hadoop's file systems."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    here, there = hadoop.Path(source), hadoop.Path(target)
+    if there.getFileSystem(conf).exists(there):
+        raise FileExistsError(f"{target} already exists")
+    hadoop.FileUtil.copy(here.getFileSystem(conf), here, there.getFileSystem(conf), there, False, False, conf)
+
+
 def plan_requests(spark: SparkSession, lake: Lake, run_ts: str) -> DataFrame:
     """The run's cities with their batch number and place in the batch, in file order."""
     cities = read_cities(spark, f"{lake.bronze_cities}/*{run_ts}*").select(
@@ -77,20 +86,19 @@ def store_forecasts(
 ) -> dict[str, int]:
     """Match stored payloads (batch_no, attempt, payload) to the planned cities.
 
-    Writes one record per line in city order, and the cities of failed batches where there are any.
+    Writes the cities of failed batches, then one record per line in city order. Both replace those of
+    an earlier attempt at the run.
     """
     batched = plan_requests(spark, lake, run_ts)
     accepted = batches.accepted_responses(payloads, batches.batch_plan(batched))
     records = batches.align(batched, accepted).orderBy("position")
     target = f"{lake.bronze_forecasts}/run_ts={run_ts}"
+    failed = batches.dead_letters(batched, accepted, ["city", "batch_no", "position"])
+    failed, unanswered = counted(failed.orderBy("position"), failed=F.count(F.lit(1)))
+    failed.write.mode("overwrite").json(f"{lake.failed_requests}/run_ts={run_ts}")
     watched, watch = counted(record_lines(records), received=F.count(F.lit(1)))
-    watched.write.mode("errorifexists").text(target)
-    counts = {"requested": read_cities(spark, f"{lake.bronze_cities}/*{run_ts}*").count(), **watch.get}
-    if counts["received"] < counts["requested"]:
-        failed = batches.dead_letters(batched, accepted, ["city", "batch_no", "position"])
-        failed.orderBy("position").write.mode("errorifexists").json(
-            f"{lake.failed_requests}/run_ts={run_ts}"
-        )
+    watched.write.mode("overwrite").text(target)
+    counts = {"requested": watch.get["received"] + unanswered.get["failed"], **watch.get}
     log.info("forecasts for %d of %d cities", counts["received"], counts["requested"])
     return counts
 
@@ -109,43 +117,49 @@ def clean(rows: DataFrame, reference: DataFrame) -> DataFrame:
     return enrich(judged.withColumn("accepted", F.size("violations") == 0), reference, ["run_ts", "city"])
 
 
+def broken_records(records: DataFrame) -> DataFrame:
+    """The records without complete days, with their text as received."""
+    return records.where(~has_complete_days()).select("city", "lat", "lng", "text", "source_split", "source_row", "run_ts")
+
+
 def build_silver(
     spark: SparkSession, lake: Lake, run_ts: str | None = None, whole_document: bool = False
 ) -> dict[str, int]:
     """Silver for one run (the latest by default), accepted and rejected rows side by side.
 
-    One job reads, cleans, counts and writes; records without complete days are read again only if
-    there are any.
+    The records set aside replace those of an earlier attempt. A run counts as cleaned only once it
+    is committed, and one without an accepted row is recorded as failed, so that no later stage
+    picks it. The counters are kept while rows are written; those of ``flattened`` and ``duplicates``
+    lie below a shuffle and may be too high where an executor was lost.
     """
     run_ts = run_ts or latest_common_run(spark, lake.bronze_cities, lake.bronze_forecasts)
     cities = read_cities(spark, f"{lake.bronze_cities}/*{run_ts}*")
     records = read_forecasts(spark, f"{lake.bronze_forecasts}/*{run_ts}*", whole_document)
-    complete = has_complete_days()
-    received, records_seen = counted(records, broken=F.count_if(~complete))
-    rows, rows_seen = counted(flatten_forecasts(received.where(complete)), flattened=F.count(F.lit(1)))
+    broken, broken_seen = counted(broken_records(records), broken=F.count(F.lit(1)))
+    replace_audit(broken, lake.broken_records, run_ts)
+    complete = flatten_forecasts(records.where(has_complete_days()))
+    rows, rows_seen = counted(complete, flattened=F.count(F.lit(1)))
     silver, judged_seen = counted(
         clean(rows, city_reference(cities)).select(*column_names(SILVER_SCHEMA)),
         accepted=F.count_if("accepted"),
         rejected=F.count_if(~F.col("accepted")),
     )
     replace_run(silver, lake.silver)
-    counts = {**records_seen.get, **rows_seen.get, **judged_seen.get}
-    if counts["broken"]:
-        kept = records.where(~complete).withColumn("weather_raw", F.to_json("weather_raw"))
-        replace_audit(kept, lake.broken_records, run_ts)
+    counts = {**broken_seen.get, **rows_seen.get, **judged_seen.get}
     if counts["accepted"] == 0:
+        commit(spark, lake, "silver", run_ts, counts, reason="the Silver table is empty")
         raise ValueError("the Silver table is empty")
     counts["duplicates"] = counts["flattened"] - counts["accepted"] - counts["rejected"]
     for name in ("broken", "duplicates", "rejected"):
         if counts[name]:
             log.warning("run %s: %d %s", run_ts, counts[name], name)
+    commit(spark, lake, "silver", run_ts, counts)
     return counts
 
 
 def read_silver(spark: SparkSession, lake: Lake, run_ts: str) -> DataFrame:
     """The accepted rows of a run."""
-    stored = read_table(spark, lake.silver, SILVER_SCHEMA)
-    return stored.where((F.col("run_ts") == run_ts) & F.col("accepted")).drop("accepted", "violations")
+    return read_table(spark, lake.silver, SILVER_SCHEMA, run_ts).where("accepted").drop("accepted", "violations")
 
 
 def silver_report(spark: SparkSession, lake: Lake, run_ts: str) -> DataFrame:
@@ -173,23 +187,32 @@ def cities_without_region(spark: SparkSession, lake: Lake, run_ts: str) -> DataF
 
 
 def build_gold(spark: SparkSession, lake: Lake, run_ts: str | None = None) -> int:
-    """Categories, score and level for one run of Silver; a narrow job."""
-    run_ts = run_ts or latest_common_run(spark, lake.silver)
+    """Categories, score and level for one committed run of Silver; a narrow job."""
+    run_ts = committed_run(spark, lake, "silver", run_ts)
     scored = with_risk(with_categories(read_silver(spark, lake, run_ts)))
     watched, watch = counted(scored.select(*column_names(GOLD_SCHEMA)), rows=F.count(F.lit(1)))
     replace_run(watched, lake.gold)
+    commit(spark, lake, "gold", run_ts, watch.get)
     return watch.get["rows"]
 
 
 def load_warehouse(spark: SparkSession, lake: Lake, run_ts: str | None = None) -> dict[str, int]:
-    """Upsert the cities, then insert the forecasts that are not stored yet."""
-    run_ts = run_ts or latest_common_run(spark, lake.gold)
-    gold = read_table(spark, lake.gold, GOLD_SCHEMA).where(F.col("run_ts") == run_ts)
+    """Upsert the cities, then insert the forecasts that are not stored yet.
+
+    Every Gold row is inserted, stored already, or rejected with its reason; a city that cannot be
+    found is an error.
+    """
+    run_ts = committed_run(spark, lake, "gold", run_ts)
+    gold = read_table(spark, lake.gold, GOLD_SCHEMA, run_ts)
     rejected = warehouse.write_rejects(lake, gold, run_ts)
     cities = warehouse.load_cities(spark, lake, gold)
     inserted = warehouse.load_facts(spark, lake, gold, cities, run_ts)
+    counts = {"inserted": inserted, "rejected": rejected, "stored_before": gold.count() - inserted - rejected}
+    if counts["stored_before"] < 0 or warehouse.missing_facts(spark, lake, gold, cities, run_ts):
+        raise ValueError(f"run {run_ts}: forecasts were lost on the way to the warehouse")
+    commit(spark, lake, "load", run_ts, counts)
     log.info("run %s: %d forecasts inserted, %d rejected", run_ts, inserted, rejected)
-    return {"inserted": inserted, "rejected": rejected}
+    return counts
 
 
 def run_all(
@@ -204,10 +227,22 @@ def run_all(
 
 
 def run_pending(spark: SparkSession, lake: Lake, whole_document: bool = False) -> dict[str, dict[str, int]]:
-    """Silver, Gold and load for every Bronze run that has no Gold yet, oldest first."""
-    pending = values_in_names(spark, lake.bronze_cities, RUN_PATTERN).join(
-        values_in_names(spark, lake.bronze_forecasts, RUN_PATTERN), "value", "left_semi"
-    )
-    pending = pending.join(values_in_names(spark, lake.gold, RUN_PATTERN), "value", "left_anti")
-    runs = [row["value"] for row in pending.orderBy("value").collect()]
-    return {run_ts: run_all(spark, lake, run_ts, whole_document) for run_ts in runs}
+    """Every Bronze run that is not loaded yet, oldest first, from the first stage it lacks.
+
+    A run that turns out empty is recorded as failed and left; the others go on.
+    """
+    done, failed = ended(spark, lake), ended(spark, lake, "failed").get("silver", set())
+    results = {}
+    for run_ts in common_runs(spark, lake.bronze_cities, lake.bronze_forecasts):
+        if run_ts in done.get("load", set()) | failed:
+            continue
+        if run_ts in done.get("gold", set()):
+            results[run_ts] = load_warehouse(spark, lake, run_ts)
+            continue
+        try:
+            results[run_ts] = run_all(spark, lake, run_ts, whole_document)
+        except ValueError as error:
+            if run_ts not in ended(spark, lake, "failed").get("silver", set()):
+                raise
+            log.warning("run %s: %s", run_ts, error)
+    return results

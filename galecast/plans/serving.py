@@ -27,9 +27,6 @@ DETAIL_COLUMNS = (
     "city", "date_prevision", "temperature_max", "temperature_min",
     "precipitation_sum", "wind_gusts_max", "risk_score", "risk_level",
 )
-# A list of names up to this length is sent to every task; names are unique in the dimension, so
-# it also bounds the ids.
-LISTED_NAMES = 10_000
 
 
 def _located(rows: DataFrame, cities: DataFrame) -> DataFrame:
@@ -68,8 +65,6 @@ def chosen_cities(fact: DataFrame, cities: DataFrame, names: Sequence[str] | Dat
     if not names:
         return fact
     ids = cities.where(F.col("city").isin(*names)).select(F.col("id").alias(CITY))
-    if len(names) <= LISTED_NAMES:
-        ids = F.broadcast(ids)
     return fact.join(ids, CITY, "left_semi")
 
 
@@ -124,6 +119,11 @@ def _city_means(current: DataFrame) -> DataFrame:
     )
 
 
+def _riskiest_first(mean: str) -> list[Column]:
+    """Sort keys: the highest mean first, the alphabetically first city on a tie, missing means last."""
+    return [F.col(mean).isNull().alias("none"), (-F.col(mean)).alias("falling"), F.col("city")]
+
+
 def kpis(current: DataFrame, cities: DataFrame) -> DataFrame:
     """Five figures in one row: cities, highest temperature and rain, high-risk rows, riskiest city."""
     per_city = with_city_name(_city_means(current), cities)
@@ -132,7 +132,7 @@ def kpis(current: DataFrame, cities: DataFrame) -> DataFrame:
         F.max("temperature_max").alias("temperature_max"),
         F.max("precipitation_max").alias("precipitation_max"),
         F.sum("n_high").cast("bigint").alias("n_high_risk"),
-        F.min_by("city", F.struct(-F.col("mean"), F.col("city"))).alias("riskiest_city"),
+        F.min_by("city", F.struct(*_riskiest_first("mean"))).alias("riskiest_city"),
     )
     return totals.where(F.col("n_cities") > 0)
 
@@ -155,7 +155,7 @@ def kpi_labels(figures: DataFrame) -> DataFrame:
 def riskiest_city(current: DataFrame, cities: DataFrame) -> DataFrame:
     """The city with the highest mean; the alphabetically first one on a tie."""
     means = with_city_name(current.groupBy(CITY).agg(F.avg(SCORE).alias("mean_risk")), cities)
-    return means.select("city", "mean_risk").orderBy(F.desc("mean_risk"), "city").limit(1)
+    return means.select("city", "mean_risk").orderBy(*_riskiest_first("mean_risk")).limit(1)
 
 
 def map_rows(current: DataFrame, cities: DataFrame) -> DataFrame:

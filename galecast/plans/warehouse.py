@@ -1,12 +1,14 @@
 """Table layout and the writes of each stage.
 
-Silver, Gold and the facts are Parquet partitioned by run; a stage that is run again replaces its
-run's partition when the job commits. The city dimension is written as numbered snapshots, so a
+Silver and Gold are Parquet partitioned by run; a stage that is run again replaces its run's
+partition when the job commits. Facts are partitioned by target date. A small table says which
+stages ended for which run. The city dimension is written as numbered snapshots, so a
 snapshot that is being read is never overwritten; the highest number is current.
 """
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from operator import and_
 
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 
 from galecast.functions.coerce import fits, store_as
 from galecast.model import (
+    RUNS_SCHEMA,
     CITY_PRECISION,
     CITY_SCHEMA,
     CITY_TEXT_LIMITS,
@@ -24,11 +27,14 @@ from galecast.model import (
     FACT_TEXT_LIMITS,
     ORDINAL,
 )
-from galecast.operators.merge import absent_facts, attach_ids, upsert_cities
+from galecast.operators.merge import absent_facts, attach_ids, orphans, upsert_cities
 from galecast.operators.ordering import keep_first, split_position
-from galecast.sources.files import read_table, values_in_names
+from galecast.operators.quality import duplicated_keys, missing_counts, overlong_counts
+from galecast.sources.files import names_in, read_table
 
-SNAPSHOT_PATTERN = r"/snapshot=(\d+)/"
+
+# Files that a load writes for a date at most, so that one date does not land in one task.
+FILES_PER_DAY = 16
 
 
 class Lake:
@@ -44,6 +50,31 @@ class Lake:
         self.cities = f"{root}/entrepot/villes"
         self.facts = f"{root}/entrepot/previsions"
         self.rejects = f"{root}/entrepot/rejets"
+        self.runs = f"{root}/runs"
+
+
+def commit(spark: SparkSession, lake: Lake, stage: str, run_ts: str, counts: dict[str, int], reason: str = "") -> None:
+    """Record, after everything else of a stage is written, that it ended for a run."""
+    outcome = "failed" if reason else "done"
+    row = spark.createDataFrame([(outcome, reason, counts)], "outcome string, reason string, counts map<string,bigint>")
+    row.coalesce(1).write.mode("overwrite").parquet(f"{lake.runs}/stage={stage}/run_ts={run_ts}")
+
+
+def ended(spark: SparkSession, lake: Lake, outcome: str = "done") -> dict[str, set[str]]:
+    """The runs of each stage that ended so: one row per stage and run, not the files of the tables."""
+    found: dict[str, set[str]] = {}
+    for row in read_table(spark, lake.runs, RUNS_SCHEMA).where(F.col("outcome") == outcome).select("stage", "run_ts").collect():
+        found.setdefault(row["stage"], set()).add(row["run_ts"])
+    return found
+
+
+def committed_run(spark: SparkSession, lake: Lake, stage: str, run_ts: str | None = None) -> str:
+    """The given run, or the latest, if the stage ended for it; an error otherwise."""
+    runs = ended(spark, lake).get(stage, set())
+    wanted = run_ts or max(runs, default=None)
+    if wanted not in runs:
+        raise FileNotFoundError(f"{stage} holds no run {run_ts or ''}".rstrip())
+    return wanted
 
 
 def replace_run(df: DataFrame, path: str) -> None:
@@ -89,8 +120,8 @@ def problems() -> Column:
 
 
 def _snapshot(spark: SparkSession, lake: Lake) -> int:
-    numbers = values_in_names(spark, lake.cities, SNAPSHOT_PATTERN)
-    return numbers.agg(F.max(F.col("value").cast("int")).alias("n")).first()["n"] or 0
+    found = (re.fullmatch(r"snapshot=(\d+)", name) for name in names_in(spark, lake.cities))
+    return max((int(match[1]) for match in found if match), default=0)
 
 
 def read_snapshot(spark: SparkSession, lake: Lake, number: int) -> DataFrame:
@@ -110,13 +141,15 @@ def facts(spark: SparkSession, lake: Lake) -> DataFrame:
 def load_cities(spark: SparkSession, lake: Lake, gold: DataFrame) -> DataFrame:
     """Upsert the cities of loadable Gold rows and return the new snapshot.
 
-    The first row of a city, in source order, carries its attributes; new cities are numbered in
-    source order.
+    The first row of a city, in source order, carries its attributes, unless a later run has set
+    them already; new cities are numbered in source order. Each load writes a full copy; those but
+    the last two are no longer read and may be removed.
     """
     usable = gold.where(_passes(_city_tests())).select(
         "city",
         *(store_as(c, kind).alias(c) for c, kind in CITY_PRECISION.items()),
         "region",
+        F.col("run_ts").alias("updated_by"),
         *ORDINAL,
     )
     incoming = keep_first(usable, ["city"], ORDINAL)
@@ -125,6 +158,7 @@ def load_cities(spark: SparkSession, lake: Lake, gold: DataFrame) -> DataFrame:
         read_snapshot(spark, lake, number),
         incoming,
         lambda new: split_position(new, "source_split", "source_row"),
+        version="updated_by",
     )
     writer = merged.withColumn("snapshot", F.lit(number + 1)).write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy("snapshot").parquet(lake.cities)
@@ -132,9 +166,16 @@ def load_cities(spark: SparkSession, lake: Lake, gold: DataFrame) -> DataFrame:
 
 
 def load_facts(spark: SparkSession, lake: Lake, gold: DataFrame, cities: DataFrame, run_ts: str) -> int:
-    """Append the run's forecasts that are not stored yet; returns how many were."""
+    """Append the run's forecasts that are not stored yet; returns how many were.
+
+    Every loadable row must find its city: the dimension was just loaded from the same rows. The facts
+    are partitioned by date and sorted by city, for questions and panels; a batch is compared with
+    the facts of its own dates.
+    """
     loadable = gold.where(_passes(_city_tests() + _fact_tests()))
-    typed = attach_ids(loadable, cities, how="inner").select(
+    known = attach_ids(loadable, cities)
+    known = known.withColumn("ville_id", F.coalesce("ville_id", F.raise_error(F.concat(F.lit("no such city: "), F.col("city")))))
+    typed = known.select(
         "ville_id",
         "date_prevision",
         *(store_as(c, kind).alias(c) for c, kind in FACT_PRECISION.items()),
@@ -144,13 +185,47 @@ def load_facts(spark: SparkSession, lake: Lake, gold: DataFrame, cities: DataFra
         "run_ts",
         *ORDINAL,
     )
-    stored = facts(spark, lake).where(F.col("run_ts") == run_ts)
+    days = [row[0] for row in loadable.select("date_prevision").distinct().collect()]
+    stored = facts(spark, lake).where(F.col("date_prevision").isin(days) & (F.col("run_ts") == run_ts))
     new = absent_facts(typed, stored, FACT_KEY, ORDINAL).drop(*ORDINAL)
-    watched, watch = counted(new, inserted=F.count(F.lit(1)))
-    watched.write.mode("append").partitionBy("run_ts").parquet(lake.facts)
+    by_day = new.repartition("date_prevision", F.col("ville_id") % FILES_PER_DAY).sortWithinPartitions("date_prevision", "ville_id")
+    watched, watch = counted(by_day, inserted=F.count(F.lit(1)))
+    watched.write.mode("append").partitionBy("date_prevision").parquet(lake.facts)
     return watch.get["inserted"]
 
 
+def missing_facts(spark: SparkSession, lake: Lake, gold: DataFrame, cities: DataFrame, run_ts: str) -> bool:
+    """Whether a loadable row of a run has no fact."""
+    loadable = gold.where(_passes(_city_tests() + _fact_tests()))
+    keyed = attach_ids(loadable.select("city", "date_prevision", "retrieved_at"), cities).select(*FACT_KEY)
+    days = [row[0] for row in keyed.select("date_prevision").distinct().collect()]
+    stored = facts(spark, lake).where(F.col("date_prevision").isin(days) & (F.col("run_ts") == run_ts))
+    return not keyed.join(stored.select(*FACT_KEY), list(FACT_KEY), "left_anti").isEmpty()
+
+
+def constraint_report(spark: SparkSession, lake: Lake) -> DataFrame:
+    """What breaks the constraints of the two stored tables: check, column and number of keys or rows."""
+    cities, stored = current_cities(spark, lake), facts(spark, lake)
+
+    def line(check: str, column: str, broken: DataFrame) -> DataFrame:
+        return broken.agg(F.count(F.lit(1)).alias("n")).select(F.lit(check).alias("check"), F.lit(column).alias("column"), "n")
+
+    lines = [
+        line("unique", "villes.id", duplicated_keys(cities, ["id"])),
+        line("unique", "villes.city", duplicated_keys(cities, ["city"])),
+        line("unique", "previsions." + "+".join(FACT_KEY), duplicated_keys(stored, FACT_KEY)),
+        line("reference", "previsions.ville_id", orphans(stored, "ville_id", cities, "id")),
+    ]
+    for name, table, required, limits in (
+        ("villes", cities, ("id", "city", "latitude", "longitude"), CITY_TEXT_LIMITS),
+        ("previsions", stored, FACT_KEY, FACT_TEXT_LIMITS),
+    ):
+        prefix = F.concat(F.lit(f"{name}."), F.col("column_name")).alias("column")
+        lines.append(missing_counts(table, required).select(F.lit("not null").alias("check"), prefix, F.col("n_missing").alias("n")))
+        lines.append(overlong_counts(table, limits).select(F.lit("width").alias("check"), prefix, F.col("n_too_long").alias("n")))
+    return reduce(DataFrame.unionByName, lines).where("n > 0")
+
+
 def write_rejects(lake: Lake, gold: DataFrame, run_ts: str) -> int:
     """Keep the Gold rows that cannot be loaded, with the columns that are to blame."""
     bad = gold.where(~_passes(_city_tests() + _fact_tests())).withColumn("problems", problems())
@@ -161,5 +236,5 @@ def write_rejects(lake: Lake, gold: DataFrame, run_ts: str) -> int:
 
 def register_views(spark: SparkSession, lake: Lake) -> None:
     """Expose the warehouse to SQL as ``villes`` and ``previsions``, typed even when empty."""
-    current_cities(spark, lake).createOrReplaceTempView("villes")
+    current_cities(spark, lake).drop("updated_by").createOrReplaceTempView("villes")
     facts(spark, lake).createOrReplaceTempView("previsions")

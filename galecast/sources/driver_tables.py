@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from galecast.functions.coerce import once
 from galecast.functions.plausibility import plausible
@@ -21,15 +20,9 @@ KEYS = ("event_id", "user_id AS ville_id", "CAST(ts AS DATE) AS date_prevision",
 VERSION = ("retrieved_at", "event_id")
 
 
-_schemas: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; its schema is read from the files once per process."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def with_prop_k(events: DataFrame) -> DataFrame:
@@ -58,6 +51,33 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def forecast_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forecast record per city and week, as text; one in seven lacks a value, one in eleven is cut off.
+
+    A week's events are the days; all measures are whole numbers, so that their text is the same in any engine.
+    """
+    events = with_prop_k(table(spark, sf_dir, "events")).selectExpr(
+        "user_id", "CAST(date_trunc('week', ts) AS DATE) AS week", "event_id", "CAST(CAST(ts AS DATE) AS STRING) AS day", "k"
+    )
+    days = F.array_sort(F.collect_list(F.struct("event_id", "day", "k")))
+    weeks = events.groupBy("user_id", "week").agg(days.alias("d"))
+    series = {
+        "temperature_2m_max": "x.k - 10", "temperature_2m_min": "x.k - 22", "precipitation_sum": "x.k - 1",
+        "precipitation_probability_max": "x.k", "wind_speed_10m_max": "x.k * 2", "wind_gusts_10m_max": "x.k * 3",
+        "weather_code": "x.k",
+    }
+    parts = [f"""'"time":["', array_join(transform(d, x -> x.day), '","'), '"]'"""]
+    for name, value in series.items():
+        used = "if(user_id % 7 = 0, slice(d, 2, size(d)), d)" if name == "weather_code" else "d"
+        parts.append(f"""',"{name}":[', array_join(transform({used}, x -> CAST({value} AS STRING)), ','), ']'""")
+    whole = "concat('{\"daily\":{', " + ", ".join(parts) + ", '}}')"
+    record = f"""concat('{{"city":"', user_id, '","lat":1.5,"lng":-2.5,"weather_raw":', {whole}, '}}')"""
+    texts = weeks.selectExpr("user_id", "week", f"{record} AS text")
+    return texts.selectExpr(
+        "if(user_id % 11 = 0, left(text, length(text) - 5), text) AS text", "'20240101_000000' AS run_ts", "CAST(week AS STRING) AS source_split", "user_id AS source_row",
+    )
+
+
 def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scored fact: plausible versions with score and level."""
     return with_risk(plausible(weather(spark, sf_dir)))

@@ -2,41 +2,58 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galecast.functions.coerce import na_to_null, run_in, strict_double
-from galecast.model import FORECAST_SCHEMA, RUN_PATTERN
+from galecast.functions.coerce import na_to_null, once, run_in, strict_double
+from galecast.model import RECORD_TYPE, RUN_PATTERN, WEATHER_TYPE
+from galecast.operators.batches import envelope
 from galecast.operators.ordering import keep_first
 
 CITY_COLUMNS = ("city", "lat", "lng", "admin_name", "population")
 
 
-def values_in_names(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    """Distinct values that ``pattern`` finds in the file names below ``path``.
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders directly below ``path``; none where it does not exist.
 
-    Lists the files without reading them. A path that does not exist holds none.
+    One listing of one level, whatever lies deeper. A folder that a job began and did not finish is
+    left out.
     """
-    try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
-            raise
-        return spark.createDataFrame([], "value string")
-    found = files.select(F.regexp_extract("path", pattern, 1).alias("value"))
-    return found.where("value != ''").distinct()
+    paths = spark._jvm.org.apache.hadoop.fs
+    folder = paths.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def finished(entry) -> bool:
+        if not entry.isDirectory() or system.exists(paths.Path(entry.getPath(), "_SUCCESS")):
+            return True
+        held = [part.getPath().getName() for part in system.listStatus(entry.getPath())]
+        return bool(held) and "_temporary" not in held
+
+    if not system.exists(folder):
+        return []
+    return [entry.getPath().getName() for entry in system.listStatus(folder) if finished(entry)]
+
+
+def runs_in(spark: SparkSession, path: str) -> set[str]:
+    """The runs that have a file or folder directly below ``path``."""
+    found = (re.search(RUN_PATTERN, name) for name in names_in(spark, path) if not name.startswith(("_", ".")))
+    return {match[1] for match in found if match}
+
+
+def common_runs(spark: SparkSession, *paths: str) -> list[str]:
+    """The runs that every path holds, oldest first."""
+    return sorted(set.intersection(*(runs_in(spark, path) for path in paths)))
 
 
 def latest_common_run(spark: SparkSession, *paths: str) -> str:
     """The latest run that every path holds; an error if there is none."""
-    runs = values_in_names(spark, paths[0], RUN_PATTERN)
-    for path in paths[1:]:
-        runs = runs.join(values_in_names(spark, path, RUN_PATTERN), "value", "left_semi")
-    latest = runs.agg(F.max("value").alias("run_ts")).first()["run_ts"]
-    if latest is None:
+    runs = common_runs(spark, *paths)
+    if not runs:
         raise FileNotFoundError(f"no run in {', '.join(paths)}")
-    return latest
+    return runs[-1]
 
 
 def _with_ordinal(df: DataFrame) -> DataFrame:
@@ -55,8 +72,8 @@ def _with_ordinal(df: DataFrame) -> DataFrame:
 
 
 def read_raw_cities(spark: SparkSession, path: str) -> DataFrame:
-    """A city list (CSV with header) with all its columns as text."""
-    raw = spark.read.option("header", True).option("escape", '"').csv(path)
+    """A city list (CSV with header) with all its columns as text; a quoted field may hold line breaks."""
+    raw = spark.read.options(header=True, escape='"', multiLine=True).csv(path)
     absent = [c for c in CITY_COLUMNS if c not in raw.columns]
     if absent:
         raise ValueError(f"the city list lacks {', '.join(absent)}")
@@ -82,20 +99,39 @@ def city_reference(cities: DataFrame) -> DataFrame:
     return first.select("run_ts", "city", "region", "population")
 
 
+def parse_records(records: DataFrame) -> DataFrame:
+    """Adds city, lat, lng and weather_raw to forecast records given as ``text``, which is kept.
+
+    What is no JSON, or lacks a part, has NULLs there.
+    """
+    parsed = once(records, "_record", F.from_json("text", RECORD_TYPE))
+    parsed = parsed.select(*records.columns, "_record.city", "_record.lat", "_record.lng", F.col("_record.weather_raw").alias("_response"))
+    return once(parsed, "weather_raw", F.from_json("_response", WEATHER_TYPE)).drop("_response")
+
+
 def read_forecasts(spark: SparkSession, path: str, whole_document: bool = False) -> DataFrame:
-    """Forecast records with an explicit schema.
+    """Forecast records with an explicit schema and their text.
 
     ``whole_document`` reads files that hold one JSON array each; such a file cannot be split, so
     new runs are written one record per line.
     """
-    reader = spark.read.schema(FORECAST_SCHEMA).option("multiLine", whole_document)
-    return _with_ordinal(reader.json(path))
+    lines = _with_ordinal(spark.read.text(path, wholetext=whole_document))
+    if whole_document:
+        listed = F.coalesce(envelope(F.col("value")), F.array("value"))
+        rest = [c for c in lines.columns if c not in ("value", "source_row")]
+        lines = lines.select(*rest, F.posexplode(listed).alias("source_row", "value"))
+        lines = lines.withColumn("source_row", F.col("source_row").cast("bigint"))
+    return parse_records(lines.withColumnRenamed("value", "text").where("trim(text) <> ''"))
 
 
-def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A Parquet table, or an empty relation of that schema where nothing was written yet."""
+def read_table(spark: SparkSession, path: str, schema: str, run: str | None = None) -> DataFrame:
+    """A Parquet table or one run of it, or an empty relation of that schema where there is none.
+
+    Of a run only its own folder is listed.
+    """
     try:
-        return spark.read.schema(schema).parquet(path)
+        reader = spark.read.schema(schema).option("basePath", path)
+        return reader.parquet(f"{path}/run_ts={run}" if run else path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
             raise

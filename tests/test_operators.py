@@ -68,8 +68,19 @@ def test_positions_cover_sparse_keys(spark):
     df = spark.createDataFrame([(k,) for k in keys], "k bigint").repartition(7)
     got = {r.k: r.position for r in key_position(df, "k").collect()}
     assert got == {k: i for i, k in enumerate(sorted(keys))}
+    assert {r.k: r.position for r in key_position(df, "k", bits=5).collect()} == got
     with pytest.raises(ValueError):
-        key_position(df, "k", bits=8)
+        key_position(df, "k", bits=1)
+    with pytest.raises(Exception, match="has no position"):
+        key_position(df.unionByName(df.limit(1).select(F.lit(None).cast("bigint").alias("k"))), "k").collect()
+
+
+def test_no_window_group_of_dense_keys_exceeds_a_digit(spark):
+    keys = spark.range(1_500_000).select(F.shiftright("id", 16).alias("piece"))
+    assert keys.groupBy("piece").count().agg(F.max("count")).first()[0] <= 1 << 16
+    numbered = key_position(spark.range(200_000).withColumnRenamed("id", "k"), "k")
+    assert numbered.where("k <> position").isEmpty()
+    assert "SinglePartition" not in numbered._jdf.queryExecution().executedPlan().toString()
 
 
 def test_positions_of_split_rows(spark):
@@ -79,6 +90,12 @@ def test_positions_of_split_rows(spark):
     assert got == {key: i for i, key in enumerate(sorted(rows))}
 
 
+def test_positions_inside_a_large_split(spark):
+    rows = spark.range(140_000).select(F.concat(F.lit("f"), F.col("id") % 2).alias("split"), F.col("id").alias("row"))
+    numbered = split_position(rows.repartition(5), "split", "row")
+    assert numbered.where("position <> (row % 2) * 70000 + row div 2").isEmpty()
+
+
 def test_keep_first_and_latest(spark, store):
     facts, _, newest = store
     current = latest_versions(facts)
@@ -216,6 +233,10 @@ def test_upsert(spark):
     assert sorted(tuple(r) for r in after.collect()) == [
         (1, "A", 5.0, 5.0, None), (7, "B", 2.0, 2.0, "s"), (8, "C", 1.0, 1.0, "t"), (9, "D", 1.0, 1.0, "t"),
     ]
+    dated = lambda df, run: df.withColumn("run", F.lit(run))
+    for run, region in (("2", None), ("1", None), ("0", "r")):
+        newer = merge.upsert_cities(dated(old, "1"), dated(incoming, run), lambda new: key_position(new, "id"), version="run")
+        assert newer.where("city = 'A'").first()["region"] == region
     fresh = merge.upsert_cities(old.limit(0), incoming, lambda new: key_position(new, "id"))
     assert sorted(r.id for r in fresh.collect()) == [1, 2, 3]
 
@@ -254,3 +275,20 @@ def test_costly_values_are_computed_once_per_row(spark, tmp_path):
     df = once(spark.read.parquet(str(tmp_path / "p")), "k", F.get_json_object("props", "$.k").cast("int"))
     text = plan(df.where("k > 1 AND k < 9 AND k % 2 = 1").select((F.col("k") * 2).alias("x")))
     assert text.count("get_json_object") == 1
+
+
+def test_parents_are_distinct_below_the_join(spark):
+    parents = spark.createDataFrame([(1,)] * 50 + [(2,)], "p int")
+    lost = merge.orphans(spark.createDataFrame([(1,), (3,), (3,), (None,)], "k int"), "k", parents, "p")
+    assert [tuple(r) for r in lost.collect()] == [(3, 2)]
+    assert plan(lost).count("HashAggregate") >= 4
+
+
+def test_a_city_without_scores_is_not_the_riskiest(spark):
+    facts = spark.createDataFrame(
+        [(1, 50, 1.0, 1.0, "moyen"), (2, None, 2.0, 2.0, None)],
+        "ville_id bigint, risk_score int, temperature_max double, precipitation_sum double, risk_level string",
+    )
+    cities = spark.createDataFrame([(1, "B"), (2, "A")], "id bigint, city string")
+    assert serving.kpis(facts, cities).first()["riskiest_city"] == "B"
+    assert serving.riskiest_city(facts, cities).first()["city"] == "B"

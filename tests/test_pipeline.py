@@ -250,6 +250,8 @@ def test_payloads_are_matched_by_position_and_bad_batches_fail_whole(spark, tmp_
     ]
     payloads = spark.createDataFrame(answers, "batch_no bigint, attempt int, payload string")
     counts = pipeline.store_forecasts(spark, payloads, lake, RUN)
+    assert counts == {"requested": 205, "received": 205}  # the fourth attempt of batch 2 is complete
+    counts = pipeline.store_forecasts(spark, payloads.where("batch_no <> 2 OR attempt < 4"), lake, RUN)
     assert counts == {"requested": 205, "received": 105}
     failed = spark.read.json(lake.failed_requests)
     assert sorted(rows(failed, "city")) == [(f"C{i:03d}",) for i in range(100, 200)]
@@ -262,7 +264,7 @@ def test_payloads_are_matched_by_position_and_bad_batches_fail_whole(spark, tmp_
     ids = rows(warehouse.current_cities(spark, lake).orderBy("id"), "city", "id")
     assert [i for _, i in ids] == list(range(1, 106))
     assert ids[:2] == [("C000", 1), ("C001", 2)] and ids[100] == ("C200", 101)
-    with pytest.raises(Exception, match="(?i)already exists"):
+    with pytest.raises(FileExistsError, match="already exists"):
         pipeline.store_cities(spark, str(source), lake, RUN)
 
 
@@ -309,3 +311,124 @@ def test_pending_runs_are_caught_up_in_order(spark, tmp_path):
         assert panels["kpis"].first().precipitation_max == "9.0 mm"
         assert panels["detail"].count() == 2
         assert panels["map"].count() == panels["top"].count() == 1
+
+
+def test_a_city_list_is_kept_byte_for_byte_and_may_hold_line_breaks(spark, tmp_path):
+    source = tmp_path / "list.csv"
+    source.write_bytes(b'city,lat,lng,admin_name,population\r\n"A\nB",1,2,"R ""x""",3\r\nC,4,5,,\r\n')
+    lake = Lake(str(tmp_path / "lake"))
+    target = pipeline.store_cities(spark, str(source), lake, RUN)
+    with open(target, "rb") as kept:
+        assert kept.read() == source.read_bytes()
+    assert rows(read_cities(spark, target).orderBy("source_row"), "city", "lat", "admin_name") == [("A\nB", "1", 'R "x"'), ("C", "4", None)]
+
+
+def test_an_empty_run_is_left_and_the_others_go_on(spark, tmp_path):
+    put(tmp_path, LATER, CITIES, [record("A", DAYS)])
+    lake = put(tmp_path, RUN, CITIES, [{"error": True, "reason": "closed"}])
+    assert list(pipeline.run_pending(spark, lake)) == [LATER]
+    assert warehouse.ended(spark, lake, "failed") == {"silver": {RUN}}
+    assert pipeline.run_pending(spark, lake) == {}
+    with pytest.raises(FileNotFoundError):
+        pipeline.build_gold(spark, lake, RUN)
+    assert pipeline.build_gold(spark, lake) == 2
+
+
+def test_a_failed_load_is_caught_up(spark, tmp_path):
+    lake = put(tmp_path, RUN, CITIES, [record("A", DAYS)])
+    pipeline.build_silver(spark, lake)
+    pipeline.build_gold(spark, lake)
+    assert pipeline.run_pending(spark, lake) == {RUN: {"inserted": 2, "rejected": 0, "stored_before": 0}}
+
+
+def test_set_aside_records_keep_their_text_and_are_replaced(spark, tmp_path):
+    lake = put(tmp_path, RUN, CITIES, [record("A", DAYS), {"error": True, "reason": "closed"}])
+    path = tmp_path / f"bronze/meteo/meteo_{RUN}.json"
+    path.write_text(path.read_text() + '\n{"city": "B", "weather_raw": {"reason": "late"}}\n{"city": "C", oops\n')
+    assert pipeline.build_silver(spark, lake)["broken"] == 3
+    texts = {t for (t,) in rows(spark.read.parquet(lake.broken_records), "text")}
+    assert texts == {json.dumps({"error": True, "reason": "closed"}), '{"city": "B", "weather_raw": {"reason": "late"}}', '{"city": "C", oops'}
+    put(tmp_path, RUN, CITIES, [record("A", DAYS)])
+    assert pipeline.build_silver(spark, lake)["broken"] == 0
+    assert spark.read.parquet(lake.broken_records).isEmpty()
+
+
+def test_an_older_run_does_not_overwrite_newer_attributes(spark, tmp_path):
+    lake = put(tmp_path, LATER, [("A", 1, 2, "NEW", 1)], [record("A", DAYS)])
+    pipeline.run_all(spark, lake)
+    put(tmp_path, RUN, [("A", 1, 2, "OLD", 1)], [record("A", DAYS)])
+    assert pipeline.run_all(spark, lake, RUN)["inserted"] == 2
+    assert rows(warehouse.current_cities(spark, lake), "region", "updated_by") == [("NEW", LATER)]
+
+
+def test_an_unknown_city_is_an_error(spark, tmp_path):
+    lake = put(tmp_path, RUN, CITIES, [record("A", DAYS), record("Z", DAYS)])
+    pipeline.build_silver(spark, lake)
+    pipeline.build_gold(spark, lake)
+    gold = spark.read.schema(GOLD_SCHEMA).parquet(lake.gold)
+    known = warehouse.load_cities(spark, lake, gold.where("city = 'A'"))
+    with pytest.raises(Exception, match="no such city: Z"):
+        warehouse.load_facts(spark, lake, gold, known, RUN)
+
+
+def test_run_time_knows_no_time_zone(spark):
+    names = spark.createDataFrame([("20260329_023000",), ("20260329_033000",), ("20261301_000000",), ("x",)], "r string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+        got = [t for (t,) in rows(names.select(run_time(F.col("r")).alias("t")), "t")]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == [datetime.datetime(2026, 3, 29, 2, 30), datetime.datetime(2026, 3, 29, 3, 30), None, None]
+
+
+def test_only_the_run_and_the_dates_asked_for_are_read(spark, tmp_path):
+    put(tmp_path, LATER, CITIES, [record("A", DAYS)])
+    lake = put(tmp_path, RUN, CITIES, [record("A", DAYS)])
+    pipeline.run_pending(spark, lake)
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    silver = pipeline.read_silver(spark, lake, RUN)
+    assert {f.rsplit("/", 2)[1] for f in silver.inputFiles()} == {f"run_ts={RUN}"}
+    scan = silver._jdf.queryExecution().executedPlan().toString()
+    assert f"silver/run_ts={RUN}" in scan
+    spec = FilterSpec(dates=(DAYS[0],))
+    chosen = serving.select_forecasts(warehouse.facts(spark, lake), warehouse.current_cities(spark, lake), spec)
+    text = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in text and "date_prevision" in text.split("PartitionFilters: [")[1].split("]")[0]
+    files = {f.rsplit("/", 2)[1] for f in warehouse.facts(spark, lake).inputFiles()}
+    assert files == {f"date_prevision={d}" for d in DAYS}
+
+
+def test_constraints_of_the_stored_tables(spark, tmp_path):
+    lake = put(tmp_path, RUN, CITIES, [record("A", DAYS), record("Fès", DAYS)])
+    pipeline.run_all(spark, lake)
+    assert warehouse.constraint_report(spark, lake).isEmpty()
+    facts, cities = warehouse.facts(spark, lake), warehouse.current_cities(spark, lake)
+    bad = facts.limit(1).unionByName(facts.limit(1).withColumn("ville_id", F.lit(99).cast("bigint")).withColumn("risk_level", F.lit("x" * 21)))
+    bad.unionByName(facts.limit(1).withColumn("retrieved_at", F.lit(None).cast("timestamp_ntz"))).write.mode("append").partitionBy("date_prevision").parquet(lake.facts)
+    more = cities.unionByName(cities.limit(1)).unionByName(cities.limit(1).withColumn("city", F.lit("y" * 151)).withColumn("id", F.lit(7).cast("bigint")))
+    more.withColumn("snapshot", F.lit(9)).write.partitionBy("snapshot").mode("append").parquet(lake.cities)
+    found = {(r["check"], r["column"]) for r in warehouse.constraint_report(spark, lake).collect()}
+    assert found == {
+        ("unique", "villes.id"), ("unique", "villes.city"), ("unique", "previsions.ville_id+date_prevision+retrieved_at"),
+        ("reference", "previsions.ville_id"), ("not null", "previsions.retrieved_at"), ("width", "previsions.risk_level"), ("width", "villes.city"),
+    }
+
+
+def test_answers_are_whole_unless_a_limit_is_given(spark, tmp_path, capsys):
+    from galecast.__main__ import main
+
+    names = [f"C{i:03d}" for i in range(150)]
+    put(tmp_path, RUN, [(n, 1, 2, "R", 1) for n in names], [record(n, DAYS) for n in names])
+    main(["run", str(tmp_path)])
+    capsys.readouterr()
+    main(["query", str(tmp_path), "q5"])
+    assert len(capsys.readouterr().out.splitlines()) == 151
+    main(["query", str(tmp_path), "q5", "--limit", "20"])
+    captured = capsys.readouterr()
+    assert len(captured.out.splitlines()) == 21 and "130 more rows" in captured.err
+    main(["query", str(tmp_path), "q5", "--out", str(tmp_path / "answer")])
+    assert spark.read.option("header", True).csv(str(tmp_path / "answer")).count() == 150
+    main(["check", str(tmp_path)])
+    main(["panel", str(tmp_path), "options"])
+    assert "city\tC149" in capsys.readouterr().out
