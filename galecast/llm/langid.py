@@ -92,13 +92,16 @@ def train(labelled: DataFrame, row: Column, sample_rows: int = SAMPLE_ROWS) -> M
     """A model from labelled (text, lang). row: what the sampling hash is taken of.
 
     The sample holds about sample_rows rows of each language (all where there are fewer), the classifiers number as many as the
-    codewords have bits; both and the count tables are bounded whatever the size of the corpus. Rows without text or language
+    codewords have bits; both and the count tables are bounded whatever the size of the corpus. The languages' sizes go
+    through the driver. Rows without text or language
     teach nothing. Without any labelled row the model knows no language.
     """
     labelled = labelled.select(row.alias("row"), "text", "lang").where("text is not null and lang is not null")
-    sizes = labelled.groupBy("lang").agg(F.count("*").alias("rows"))
+    sizes = labelled.groupBy("lang").agg(F.count("*").alias("rows")).collect()
     span = 1 << 30
-    sample = labelled.join(sizes, "lang").where(F.pmod(F.xxhash64(F.lit(3), "row"), F.lit(span)) * F.col("rows") < F.lit(sample_rows * span))
+    limit = [F.lit(x) for r in sizes for x in (r["lang"], sample_rows * span // r["rows"])]
+    share = F.element_at(F.create_map(*limit), F.col("lang")) if limit else F.lit(0)
+    sample = labelled.where(F.pmod(F.xxhash64(F.lit(3), "row"), F.lit(span)) < share)
     counts = sample.select("lang", "text").mapInArrow(_count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     names = sorted(set(counts.column("lang").to_pylist()))
     table = np.zeros((len(names), len(ORDERS) * BUCKETS))

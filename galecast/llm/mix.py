@@ -28,6 +28,8 @@ MOST = 2
 #: Documents that fly together at first, and groups whose open rests fly together.
 GROUP_ROWS = 4096
 GROUP_FAN = 512
+#: Tasks that the documents of one source are spread over where they meet their source's figures.
+SALTS = 64
 #: Open documents of a source that are rounded together in the end.
 LANDING = 12
 _EPS = 1e-9
@@ -116,12 +118,14 @@ def sampled(docs: DataFrame, size: str, key: list[str], source: str = "source",
         [("n" if r["source"] is None else "s" + r["source"], int(r["n"] or 0), float(goal[r["source"]]), int(-(-r["rows"] // group_rows))) for r in known],
         "source_key string, source_size long, target double, groups long",
     )
+    plan = plan.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     names = [f"k{i}" for i in range(len(key))]
     slim = docs.select(*(F.col(f"`{name}`").alias(alias) for name, alias in zip(key, names, strict=True)), F.col(size).alias("size"), F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("n")).alias("source_key"))
     slim = slim.withColumn("order", F.xxhash64(F.lit(seed), *names, "size", "source_key"))
     equal = slim.groupBy("source_key", "size", "order", *names).agg(F.count("*").alias("_equal"))
     rows = equal.select("*", F.explode(F.sequence(F.lit(1), F.col("_equal").cast("int"))).alias("row")).drop("_equal")
-    rows = rows.withColumn("order", F.xxhash64("order", "row")).join(plan, "source_key")
+    rows = rows.withColumn("order", F.xxhash64("order", "row")).withColumn("salt", F.pmod("order", F.lit(SALTS)).cast("int"))
+    rows = rows.join(plan, ["source_key", "salt"]).drop("salt")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rows = rows.withColumn("sure", F.least(F.floor(rate), F.lit(most))).withColumn("chance", rate - F.col("sure"))
     rows = rows.withColumn("group", F.pmod(F.xxhash64(F.lit(seed), "order"), "groups")).drop("groups")

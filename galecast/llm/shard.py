@@ -19,10 +19,12 @@ _SPAN = 1 << 40
 
 
 def _places(df: DataFrame, group: list[str], order: list[str], place: str) -> DataFrame:
-    """df with the 1-based place of a row in its group; needs a column _bucket that rises with the order."""
+    """df with the 1-based place of a row in its group and `_of`, the rows of the group; needs a column _bucket that rises
+    with the order. The windows over a whole group see one row for each bucket."""
     counts = df.groupBy(*group, "_bucket").agg(F.count("*").alias("_rows"))
-    before = Window.partitionBy(*(group or [F.lit(0)])).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
+    whole = Window.partitionBy(*(group or [F.lit(0)]))
+    before = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).withColumn("_of", F.sum("_rows").over(whole)).drop("_rows")
     keys = [*group, "_bucket"]
     within = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_within", within).join(counts, keys).withColumn(place, F.col("_before") + F.col("_within")).drop("_before", "_within")
@@ -41,8 +43,7 @@ def shards(docs: DataFrame, number: int, source: Column, key: Column, tie: Colum
     df = docs.withColumns({"_source": F.coalesce(F.concat(F.lit("s"), source), F.lit("n")), "_random": random, "_key": key, "_tie": tie})
     df = df.withColumn("_bucket", F.floor(F.col("_random") * F.lit(pieces) / F.lit(_SPAN)))
     df = _places(df, ["_source"], ["_random", "_key", "_tie"], "_rank")
-    sizes = docs.groupBy(F.coalesce(F.concat(F.lit("s"), source), F.lit("n")).alias("_source")).agg(F.count("*").alias("_of"))
-    df = df.join(sizes, "_source").withColumn("_share", (F.col("_rank") - F.lit(0.5)) / F.col("_of"))
+    df = df.withColumn("_share", (F.col("_rank") - F.lit(0.5)) / F.col("_of")).drop("_of")
     df = df.withColumn("_bucket", F.floor(F.col("_share") * F.lit(pieces)))
     df = _places(df, [], ["_share", "_source"], "_place")
     cut = F.expr(f"(_place - 1) * {number} div {max(rows, 1)}").cast("int")
