@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from galecast.llm.shared import stored
 from galecast.llm.text import WORD
 
 WINDOW = 5
@@ -26,22 +27,23 @@ UNITS = (
     "ton tons ml l liter liters litre litres s sec second seconds min minute minutes h hour hours day days week weeks month months year "
     "years km/h mph % percent dollar dollars euro euros usd eur cent cents °c °f degree degrees w kw kwh v hz"
 ).split()
-PUNCTUATION = '.,;:!?"()[]{}|*'
-_NUMBER = r"^[-+$€£]?[0-9][0-9/:%-]*[a-z°]{0,3}$"
+PUNCTUATION = '.,;:!?"()[]{}|*$€£'
+_NUMBER = r"^[-+]?[0-9][0-9/%-]*[a-z°]{0,3}$"
+_CAPITAL_FIRST = r"^[^\p{L}\p{N}]*\p{Lu}"
 _INNER_CAPITAL = r"([^.!?:;\x20\x09-\x0D][\x20\x09]+)(\p{Lu})"
 
 
 def _tokens(text: str) -> str:
-    """SQL for the words of a text without punctuation, those that are names marked in front."""
+    """SQL for the lower-cased words of a text without punctuation, those that are names marked in front."""
     marked = f"regexp_replace({text}, r'{_INNER_CAPITAL}', '$1\\u0001$2')"
-    return f"regexp_extract_all(translate({marked}, '{PUNCTUATION}', ''), r'{WORD}', 0)"
+    return f"regexp_extract_all(translate(lower({marked}), '{PUNCTUATION}', ''), r'{WORD}', 0)"
 
 
 def _template(tokens: str) -> str:
     units = ", ".join(f"'{unit}'" for unit in UNITS)
     return (
-        f"transform({tokens}, w -> case when startswith(w, '\\u0001') then '\\u0001' when lower(w) rlike r'{_NUMBER}' then '\\u0002' "
-        f"when lower(w) in ({units}) then '\\u0003' else lower(w) end)"
+        f"transform({tokens}, w -> case when startswith(w, '\\u0001') then '\\u0001' when w < ':' and w rlike r'{_NUMBER}' then '\\u0002' "
+        f"when w in ({units}) then '\\u0003' else w end)"
     )
 
 
@@ -72,7 +74,7 @@ def _items(benchmark: DataFrame) -> DataFrame:
 
 def _index(items: DataFrame) -> DataFrame:
     """h, _i, pos, needed. The first word of an item may stand within a sentence of a document, and so count as a name there."""
-    first = F.expr("words[0] rlike r'^\\p{Lu}'")
+    first = F.col("text").rlike(_CAPITAL_FIRST)
     named = F.expr(_windows(f"concat(array('{NAME}'), slice(template, 2, {WINDOW - 1}))")).cast("array<bigint>")
     windows = F.posexplode("windows").alias("pos", "h")
     needed = F.ceil(F.size("windows") * F.lit(CONTAINED)).alias("needed")
@@ -86,15 +88,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     exact: every slot is filled as in the item. An item of fewer than five words is held only by a text of the same few.
     Items without words are never held. The join is by window hash; Spark broadcasts the index only if it is below its
-    threshold. Joined are distinct windows of a document, and counted before the shuffle.
+    threshold. Joined are distinct windows of a document, and counted before the shuffle. The candidates are stored: few where
+    the documents are clean, and then no text is shuffled to compare their slots.
     """
     items = _items(benchmark)
     told = with_template(docs.select(*row_keys(), "text"))
     held = told.select("_a", "_b", F.explode(F.array_distinct("windows")).alias("h"))
     found = held.join(_index(items), "h").groupBy("_a", "_b", "_i").agg(F.collect_set("pos").alias("at"), F.max("needed").alias("needed"))
     found = found.where("size(at) >= needed").select("_a", "_b", "_i", F.size("at").alias("windows_held"))
-    texts = told.join(found.select("_a", "_b").distinct(), ["_a", "_b"], "left_semi").dropDuplicates(["_a", "_b"])
-    texts = texts.select("_a", "_b", F.col("words").alias("doc_words"), F.col("template").alias("doc_template"), F.col("windows").alias("doc_windows"))
+    found = stored(found, "leaks")
+    texts = docs.select(*row_keys(), "text").join(found.select("_a", "_b").distinct(), ["_a", "_b"], "left_semi")
+    texts = with_template(texts.dropDuplicates(["_a", "_b"])).select("_a", "_b", F.col("words").alias("doc_words"), F.col("template").alias("doc_template"), F.col("windows").alias("doc_windows"))
     both = found.join(items.drop("text"), "_i").join(texts, ["_a", "_b"])
     places = F.expr("transform(windows, (h, i) -> transform(filter(sequence(0, size(doc_windows) - 1), j -> doc_windows[j] = h), j -> j - i))")
     shift = F.expr("array_max(transform(array_distinct(shifts), s -> struct(size(filter(shifts, t -> t = s)) as n, -s as back))).back * -1")

@@ -15,9 +15,9 @@ def _template(table: str, key: str) -> str:
     SELECT *, CASE WHEN len(template) = 0 THEN [] WHEN len(template) < 5 THEN [array_to_string(template, ' ')]
         ELSE list_transform(range(1, len(template) - 3), lambda i: array_to_string(template[i:i + 4], ' ')) END AS windows
     FROM (SELECT *, list_transform(words, lambda w: CASE WHEN starts_with(w, chr(1)) THEN chr(1)
-        WHEN regexp_matches(lower(w), '{decontam._NUMBER}') THEN chr(2) WHEN lower(w) IN ({_UNITS}) THEN chr(3) ELSE lower(w) END) AS template
-    FROM (SELECT DISTINCT {key}, coalesce(text, '') AS text, regexp_extract_all(translate(regexp_replace(coalesce(text, ''),
-        '{capital}', '\\1' || chr(1) || '\\2', 'g'), '{decontam.PUNCTUATION}', ''), '{WORD}') AS words FROM {table}))"""
+        WHEN regexp_matches(w, '{decontam._NUMBER}') THEN chr(2) WHEN w IN ({_UNITS}) THEN chr(3) ELSE w END) AS template
+    FROM (SELECT DISTINCT {key}, coalesce(text, '') AS text, regexp_extract_all(translate(lower(regexp_replace(coalesce(text, ''),
+        '{capital}', '\\1' || chr(1) || '\\2', 'g')), '{decontam.PUNCTUATION}', ''), '{WORD}') AS words FROM {table}))"""
 
 
 OP3 = f"""
@@ -28,7 +28,7 @@ spots AS (
     SELECT item_id, text, len(windows) AS n, generate_subscripts(windows, 1) AS pos, unnest(windows) AS h FROM i WHERE len(words) > 0
     UNION
     SELECT item_id, text, len(windows), 1, array_to_string(list_prepend(chr(1), template[2:5]), ' ') FROM i
-    WHERE len(words) > 0 AND regexp_matches(words[1], '^\\p{{Lu}}')),
+    WHERE len(words) > 0 AND regexp_matches(text, '{decontam._CAPITAL_FIRST}')),
 found AS (
     SELECT doc_id, held.text AS text, item_id, spots.text AS item FROM held JOIN spots USING (h)
     GROUP BY ALL HAVING count(DISTINCT pos) >= ceil(any_value(n) * {decontam.CONTAINED})),
