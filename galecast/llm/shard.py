@@ -1,7 +1,8 @@
 """Sharding by proportional stratified interleaving: each shard holds the sources in the proportions of the whole.
 
-The rows of a source are put in a seeded random order; row r of n gets the fractional rank (r - 1/2) / n. Sorted by that rank,
-every stretch of the table holds each source in proportion, so cutting the sequence into equal counts makes every shard match
+The rows of a source are put in a seeded random order; row r of n gets the fractional rank (r - 1 + phase) / n, with a random
+phase from 0 to 1 for each source, or sources of equal size would come in clumps. Sorted by that rank, every stretch of the table
+holds each source in proportion, so cutting the sequence into equal counts makes every shard match
 the mixture. Neither order needs a window over a whole source or table: a row's place is the number of rows in the buckets
 before its own plus its place in its bucket. Buckets cut the (uniform) random order, or the ranks, into equal pieces.
 """
@@ -43,7 +44,8 @@ def shards(docs: DataFrame, number: int, source: Column, key: Column, tie: Colum
     df = docs.withColumns({"_source": F.coalesce(F.concat(F.lit("s"), source), F.lit("n")), "_random": random, "_key": key, "_tie": tie})
     df = df.withColumn("_bucket", F.floor(F.col("_random") * F.lit(pieces) / F.lit(_SPAN)))
     df = _places(df, ["_source"], ["_random", "_key", "_tie"], "_rank")
-    df = df.withColumn("_share", (F.col("_rank") - F.lit(0.5)) / F.col("_of")).drop("_of")
+    phase = F.pmod(F.xxhash64(F.lit(seed), "_source"), F.lit(_SPAN)) / F.lit(_SPAN)
+    df = df.withColumn("_share", (F.col("_rank") - 1 + phase) / F.col("_of")).drop("_of")
     df = df.withColumn("_bucket", F.floor(F.col("_share") * F.lit(pieces)))
     df = _places(df, [], ["_share", "_source"], "_place")
     cut = F.expr(f"(_place - 1) * {number} div {max(rows, 1)}").cast("int")

@@ -124,6 +124,7 @@ def pack(ids: np.ndarray) -> Codes:
 
 def rank(codes: Codes, level: int, i: int) -> int:
     """Set bits before bit i of a level's bitmap: the directory entry and the bits of one block."""
+    i = int(i)
     block = i // RANK_BITS
     bits, directory = codes.bitmaps[level], np.frombuffer(codes.ranks[level], "<u4")
     if block >= len(directory):
