@@ -22,7 +22,7 @@ from galecast.llm.text import passes, texts, words
 SHINGLE, DISTANCE, SEED = 4, 4, 42
 BITS = 64
 #: Signature rows that meet in one task on average.
-BUCKET_ROWS = 1 << 20
+BUCKET_ROWS = 1 << 18
 #: Up to this size, a run of equal signatures is compared by shifting it along itself, all runs at once.
 SHORT_RUN = 16
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))

@@ -18,22 +18,23 @@ from galecast.llm.chunks import ASKED, Chunk, Question, answer, apply, ask, buck
 from galecast.llm.text import covered, mix, per_text, window_hashes, window_starts
 
 WINDOW = 50
-#: Bits of a probe beyond which two different blocks may meet; a false hit is refused when it is extended.
-PROBE_BITS = 44
+#: A probe is sent with so many bits more than it takes to number all blocks, so that one in 2^18 probes at most meets a foreign
+#: block by chance; such a hit is refused when it is extended.
+SPARE_BITS = 18
 #: A null doc_id: after all others, so it is never the smaller one and nothing is smaller to it.
 _NO_ID = np.uint64(0)
 _FLIP = np.uint64(1 << 63)
 SPANS = "doc_id long, n_words long, n_removed long, kept_text string, spans array<struct<first:long,words:long>>"
 
 
-def _probes(chunk: Chunk, hashes: np.ndarray, anchor: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+def _probes(chunk: Chunk, hashes: np.ndarray, anchor: int, window: int, size_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Rolling windows of documents long enough to hold a repeat: position of the first word, and truncated hash."""
     at = window_starts(chunk.bounds, anchor)
     size = np.diff(chunk.bounds)
     doc = np.searchsorted(chunk.bounds, at, side="right") - 1
     at = at[size[doc] >= window]
     key = window_hashes(hashes, anchor)[at] if len(at) else np.zeros(0, np.uint64)
-    return at, key >> np.uint64(64 - PROBE_BITS) << np.uint64(64 - PROBE_BITS)
+    return at, key >> np.uint64(64 - size_bits) << np.uint64(64 - size_bits)
 
 
 def _order(chunk: Chunk) -> np.ndarray:
@@ -43,12 +44,12 @@ def _order(chunk: Chunk) -> np.ndarray:
     return np.where(column.is_null().to_numpy(zero_copy_only=False), _NO_ID, ids)
 
 
-def block_question(window: int):
+def block_question(window: int, probe_bits: int):
     anchor = (window + 1) // 2
 
     def question(chunk: Chunk) -> Question:
         """Number of a key: its occurrences among the chunk's probes (2 stands for more), and 2^32 if one of them is a block."""
-        at, key = _probes(chunk, chunk.hashes(), anchor, window)
+        at, key = _probes(chunk, chunk.hashes(), anchor, window, probe_bits)
         doc = np.searchsorted(chunk.bounds, at, side="right") - 1
         block = (at - chunk.bounds[doc]) % anchor == 0
         keys, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
@@ -77,13 +78,13 @@ def _windows(chunk: Chunk, hashes: np.ndarray, window: int, at: np.ndarray) -> t
     return key, tag >> np.uint64(32)
 
 
-def window_question(window: int, bits: int):
+def window_question(window: int, probe_bits: int, bits: int):
     anchor = (window + 1) // 2
 
     def use(number: int, chunk: Chunk, told: Question) -> pa.Table:
         """Asks for the windows around the hits, with the least id that holds them in this chunk."""
         hashes = chunk.hashes()
-        at, key = _probes(chunk, hashes, anchor, window)
+        at, key = _probes(chunk, hashes, anchor, window, probe_bits)
         hit = at[_is_in(key, told.keys)]
         starts = window_starts(chunk.bounds, window)
         reach = window - anchor
@@ -156,9 +157,10 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     equal doc_ids do not trim each other. An empty table gives an empty result.
     """
     chunks = chunked(docs.select(F.col("doc_id").cast("long"), "text"), "passages")
-    bits, _ = bucket_bits(chunks)
-    hits = answer(ask(chunks, block_question(window), bits), block_hits)
-    windows = apply(chunks, hits, window_question(window, bits), ASKED)
+    bits, total = bucket_bits(chunks)
+    probe_bits = min((total // ((window + 1) // 2)).bit_length() + SPARE_BITS, 64)
+    hits = answer(ask(chunks, block_question(window, probe_bits), bits), block_hits)
+    windows = apply(chunks, hits, window_question(window, probe_bits, bits), ASKED)
     return apply(chunks, answer(windows, least_owner), removal(window), SPANS)
 
 
