@@ -3,6 +3,7 @@
 Every per-city question groups by the city's id first and joins the name to one row per city, so
 the join never moves forecast rows. Ties are broken by name or date, which also lets a sort on few
 distinct scores spread over all tasks.
+Fixed values: the names of the result columns, which users' reports refer to.
 """
 
 from __future__ import annotations
