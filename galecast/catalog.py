@@ -20,7 +20,7 @@ from galecast.functions.coerce import (
 )
 from galecast.model import FilterSpec
 from galecast.operators import batches, merge, quality
-from galecast.operators.flatten import explode_arrays, flatten_forecasts, has_complete_days
+from galecast.operators.flatten import explode_arrays, flatten_forecasts
 from galecast.operators.ordering import keep_first, key_position, latest_run_rows, latest_versions
 from galecast.plans import analytics, pipeline, serving
 from galecast.sources.driver_tables import (
@@ -174,11 +174,11 @@ def json_extract_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Forecast documents through the reader's parsing, flattening and cleaning, judged but not filtered."""
+    """Forecast documents through the reader's parsing, flattening and cleaning, with the verdict on each row."""
     records = parse_records(forecast_documents(spark, sf_dir))
     places = cities_with_region(spark, sf_dir).selectExpr("'20240101_000000' AS run_ts", "CAST(id AS STRING) AS city", "region", "latitude AS population")
-    rows = pipeline.clean(flatten_forecasts(records.where(has_complete_days())), places)
-    return rows.select(
+    rows = pipeline.clean(flatten_forecasts(records), places)
+    return rows.where("text IS NULL").select(
         "city", "date_prevision", "temperature_max", "temperature_min", "precipitation_sum", "wind_gusts_max", "weather_code",
         F.coalesce("region", F.lit("-")).alias("region"), "accepted", F.array_join("violations", ",").alias("violations"),
     )
@@ -186,7 +186,8 @@ def documents_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents_set_aside(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records without complete days, with their text as received."""
-    return pipeline.broken_records(parse_records(forecast_documents(spark, sf_dir))).select(
+    records = flatten_forecasts(parse_records(forecast_documents(spark, sf_dir)))
+    return records.where("text IS NOT NULL").select(
         F.col("source_row").alias("user_id"), "source_split", "text"
     )
 

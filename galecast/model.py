@@ -131,7 +131,8 @@ _ROW = (
     + ", source_split string, source_row bigint, day_index int, retrieved_at timestamp_ntz, "
     "region string, population double, "
 )
-SILVER_SCHEMA = _ROW + "violations array<string>, accepted boolean, run_ts string"
+# ``text`` holds a record that was set aside, as received; its row has no values.
+SILVER_SCHEMA = _ROW + "violations array<string>, accepted boolean, text string, run_ts string"
 GOLD_SCHEMA = _ROW + (
     "temperature_category string, precipitation_category string, wind_category string, "
     "risk_score int, risk_level string, run_ts string"

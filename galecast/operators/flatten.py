@@ -29,16 +29,21 @@ def explode_arrays(df: DataFrame, index: Column, arrays: dict[str, Column], *kee
 
 
 def flatten_forecasts(records: DataFrame) -> DataFrame:
-    """Typed (city, day) rows from complete records; text that does not parse becomes NULL."""
+    """Typed (city, day) rows of complete records; text that does not parse becomes NULL.
+
+    A record without complete days gives one row, without date and values, that carries its text.
+    """
+    complete = has_complete_days()
     arrays = {
-        name: F.col(f"weather_raw.daily.{variable}")
+        name: F.when(complete, F.col(f"weather_raw.daily.{variable}"))
         for name, variable in zip(MEASURES, DAILY_VARIABLES)
     }
+    days = F.when(complete, F.col("weather_raw.daily.time")).otherwise(F.array(F.lit(None).cast("string")))
     rows = explode_arrays(
-        records,
-        F.col("weather_raw.daily.time"),
+        records.withColumn("text", F.when(~complete, F.col("text"))),
+        days,
         arrays,
-        "city", "lat", "lng", "run_ts", "source_split", "source_row",
+        "city", "lat", "lng", "text", "run_ts", "source_split", "source_row",
     )
     return rows.select(
         na_to_null(F.col("city")).alias("city"),
@@ -46,5 +51,5 @@ def flatten_forecasts(records: DataFrame) -> DataFrame:
         nan_to_null(strict_double(F.col("lng"))).alias("longitude"),
         strict_date(F.col("_day")).alias("date_prevision"),
         *(nan_to_null(strict_double(F.col(m))).alias(m) for m in MEASURES),
-        "run_ts", "source_split", "source_row", "day_index",
+        "text", "run_ts", "source_split", "source_row", "day_index",
     )

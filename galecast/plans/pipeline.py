@@ -17,11 +17,11 @@ from galecast.functions.plausibility import violations
 from galecast.functions.risk import with_categories, with_risk
 from galecast.model import GOLD_SCHEMA, ORDINAL, SILVER_SCHEMA, column_names
 from galecast.operators import batches, quality
-from galecast.operators.flatten import flatten_forecasts, has_complete_days
+from galecast.operators.flatten import flatten_forecasts
 from galecast.operators.merge import enrich, unmatched_keys
 from galecast.operators.ordering import keep_first, require_rows, split_position
 from galecast.plans import warehouse
-from galecast.plans.warehouse import Lake, commit, committed_run, counted, ended, replace_audit, replace_run
+from galecast.plans.warehouse import Lake, commit, committed_run, counted, ended, replace_run
 from galecast.sources.files import (
     CITY_COLUMNS,
     city_reference,
@@ -107,45 +107,40 @@ def clean(rows: DataFrame, reference: DataFrame) -> DataFrame:
     """Silver rows from flattened forecasts and the city reference.
 
     Keeps the first row of each (run, city, date), then judges it: a first row that is implausible
-    does not make way for a later duplicate. City attributes are joined last, to the fewest rows;
-    nothing before depends on them.
+    does not make way for a later duplicate. A record that was set aside is a key of its own. City
+    attributes are joined last, to the fewest rows; nothing before depends on them.
     """
-    first = keep_first(rows, ["run_ts", "city", "date_prevision"], ORDINAL)
-    judged = first.withColumn("retrieved_at", run_time(F.col("run_ts"))).withColumn(
-        "violations", violations()
-    )
+    record = F.when(F.col("text").isNotNull(), F.concat_ws("#", "source_split", "source_row"))
+    keys = ["run_ts", "city", "date_prevision", "_record"]
+    first = keep_first(rows.withColumn("_record", record), keys, ORDINAL).drop("_record")
+    broken = F.when(F.col("text").isNull(), violations()).otherwise(F.array(F.lit("incomplete_record")))
+    judged = first.withColumn("retrieved_at", run_time(F.col("run_ts"))).withColumn("violations", broken)
     return enrich(judged.withColumn("accepted", F.size("violations") == 0), reference, ["run_ts", "city"])
 
 
-def broken_records(records: DataFrame) -> DataFrame:
-    """The records without complete days, with their text as received."""
-    return records.where(~has_complete_days()).select("city", "lat", "lng", "text", "source_split", "source_row", "run_ts")
-
-
 def build_silver(
     spark: SparkSession, lake: Lake, run_ts: str | None = None, whole_document: bool = False
 ) -> dict[str, int]:
-    """Silver for one run (the latest by default), accepted and rejected rows side by side.
+    """Silver for one run (the latest by default): accepted and rejected rows and records set aside.
 
-    The records set aside replace those of an earlier attempt. A run counts as cleaned only once it
-    is committed, and one without an accepted row is recorded as failed, so that no later stage
-    picks it. The counters are kept while rows are written; those of ``flattened`` and ``duplicates``
-    lie below a shuffle and may be too high where an executor was lost.
+    One job reads, cleans, counts and writes; a repeated run replaces all three. A run counts as
+    cleaned only once it is committed, and one without an accepted row is recorded as failed, so that
+    no later stage picks it. The counters are kept while rows are written; those of ``flattened`` and
+    ``duplicates`` lie below a shuffle and may be too high where an executor was lost.
     """
     run_ts = run_ts or latest_common_run(spark, lake.bronze_cities, lake.bronze_forecasts)
     cities = read_cities(spark, f"{lake.bronze_cities}/*{run_ts}*")
     records = read_forecasts(spark, f"{lake.bronze_forecasts}/*{run_ts}*", whole_document)
-    broken, broken_seen = counted(broken_records(records), broken=F.count(F.lit(1)))
-    replace_audit(broken, lake.broken_records, run_ts)
-    complete = flatten_forecasts(records.where(has_complete_days()))
-    rows, rows_seen = counted(complete, flattened=F.count(F.lit(1)))
+    whole = F.col("text").isNull()
+    rows, rows_seen = counted(flatten_forecasts(records), flattened=F.count_if(whole))
     silver, judged_seen = counted(
         clean(rows, city_reference(cities)).select(*column_names(SILVER_SCHEMA)),
+        broken=F.count_if(~whole),
         accepted=F.count_if("accepted"),
-        rejected=F.count_if(~F.col("accepted")),
+        rejected=F.count_if(whole & ~F.col("accepted")),
     )
     replace_run(silver, lake.silver)
-    counts = {**broken_seen.get, **rows_seen.get, **judged_seen.get}
+    counts = {**rows_seen.get, **judged_seen.get}
     if counts["accepted"] == 0:
         commit(spark, lake, "silver", run_ts, counts, reason="the Silver table is empty")
         raise ValueError("the Silver table is empty")
@@ -157,9 +152,15 @@ def build_silver(
     return counts
 
 
+def set_aside(spark: SparkSession, lake: Lake, run_ts: str) -> DataFrame:
+    """The records of a run without complete days, with their text as received."""
+    stored = read_table(spark, lake.silver, SILVER_SCHEMA, run_ts).where("text IS NOT NULL")
+    return stored.select("city", "text", "source_split", "source_row", "run_ts")
+
+
 def read_silver(spark: SparkSession, lake: Lake, run_ts: str) -> DataFrame:
     """The accepted rows of a run."""
-    return read_table(spark, lake.silver, SILVER_SCHEMA, run_ts).where("accepted").drop("accepted", "violations")
+    return read_table(spark, lake.silver, SILVER_SCHEMA, run_ts).where("accepted").drop("accepted", "violations", "text")
 
 
 def silver_report(spark: SparkSession, lake: Lake, run_ts: str) -> DataFrame:

@@ -44,7 +44,6 @@ class Lake:
         self.bronze_cities = f"{root}/bronze/villes"
         self.bronze_forecasts = f"{root}/bronze/meteo"
         self.failed_requests = f"{root}/echec/extract"
-        self.broken_records = f"{root}/echec/silver"
         self.silver = f"{root}/silver"
         self.gold = f"{root}/gold"
         self.cities = f"{root}/entrepot/villes"

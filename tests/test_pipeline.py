@@ -130,7 +130,7 @@ def test_unusable_records_are_set_aside(spark, tmp_path):
     lake = put(tmp_path, RUN, CITIES, records)
     counts = pipeline.build_silver(spark, lake)
     assert (counts["accepted"], counts["broken"]) == (4, 2)
-    assert sorted(rows(spark.read.parquet(lake.broken_records), "city")) == [("B",), ("C",)]
+    assert sorted(rows(pipeline.set_aside(spark, lake, RUN), "city")) == [("B",), ("C",)]
     assert sorted(set(rows(pipeline.read_silver(spark, lake, RUN), "city"))) == [("A",), ("D",)]
 
 
@@ -346,11 +346,11 @@ def test_set_aside_records_keep_their_text_and_are_replaced(spark, tmp_path):
     path = tmp_path / f"bronze/meteo/meteo_{RUN}.json"
     path.write_text(path.read_text() + '\n{"city": "B", "weather_raw": {"reason": "late"}}\n{"city": "C", oops\n')
     assert pipeline.build_silver(spark, lake)["broken"] == 3
-    texts = {t for (t,) in rows(spark.read.parquet(lake.broken_records), "text")}
+    texts = {t for (t,) in rows(pipeline.set_aside(spark, lake, RUN), "text")}
     assert texts == {json.dumps({"error": True, "reason": "closed"}), '{"city": "B", "weather_raw": {"reason": "late"}}', '{"city": "C", oops'}
     put(tmp_path, RUN, CITIES, [record("A", DAYS)])
     assert pipeline.build_silver(spark, lake)["broken"] == 0
-    assert spark.read.parquet(lake.broken_records).isEmpty()
+    assert pipeline.set_aside(spark, lake, RUN).isEmpty()
 
 
 def test_an_older_run_does_not_overwrite_newer_attributes(spark, tmp_path):
