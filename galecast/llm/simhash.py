@@ -23,6 +23,8 @@ SHINGLE, DISTANCE, SEED = 4, 4, 42
 BITS = 64
 #: Signature rows that meet in one task on average.
 BUCKET_ROWS = 1 << 18
+#: Shingles that are hashed and counted together; bounds the memory of a very long text.
+BLOCK = 1 << 18
 #: Up to this size, a run of equal signatures is compared by shifting it along itself, all runs at once.
 SHORT_RUN = 16
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -48,17 +50,26 @@ def fingerprints_of(column: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
     firsts = np.repeat(bounds[:-1] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
     lasts = firsts + np.repeat(np.minimum(n_words, shingle), counts) - 1
     digest = xxhash.xxh64_intdigest
-    spans = zip(starts[firsts].tolist(), ends[lasts].tolist(), strict=True)
-    hashes = np.fromiter((digest(buffer[a:b], SEED) for a, b in spans), np.uint64, len(firsts))
+    hashes = np.empty(len(firsts), "<u8")
+    for i in range(0, len(firsts), BLOCK):
+        spans = zip(starts[firsts[i : i + BLOCK]].tolist(), ends[lasts[i : i + BLOCK]].tolist(), strict=True)
+        hashes[i : i + BLOCK] = np.fromiter((digest(buffer[a:b], SEED) for a, b in spans), np.uint64)
     out = np.zeros(len(counts), np.uint64)
     at = np.concatenate([[0], np.cumsum(counts)])
     for i in np.flatnonzero(counts):
-        part = hashes[at[i] : at[i + 1]]
-        ones = np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        out[i] = np.packbits(2 * ones > len(part), bitorder="little").view("<u8")[0]
+        out[i] = np.packbits(2 * ones(hashes[at[i] : at[i + 1]]) > counts[i], bitorder="little").view("<u8")[0]
     return out
 
 
+def ones(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit set."""
+    total = np.zeros(BITS, np.int64)
+    for i in range(0, len(hashes), BLOCK):
+        part = hashes[i : i + BLOCK].view(np.uint8).reshape(-1, 8)
+        total += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return total
+
+
 def with_fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """Every row of docs (no text, extra columns allowed) with its fingerprint `fp`, a signed long; the text is left out."""
     kept = [name for name in docs.columns if name not in ("text", "fp")]

@@ -21,7 +21,7 @@ WINDOW = 50
 #: A probe is sent with so many bits more than it takes to number all blocks, so that one in 2^18 probes at most meets a foreign
 #: block by chance; such a hit is refused when it is extended.
 SPARE_BITS = 18
-#: A null doc_id: after all others, so it is never the smaller one and nothing is smaller to it.
+#: Stands for a null doc_id, which takes no part.
 _NO_ID = np.uint64(0)
 _FLIP = np.uint64(1 << 63)
 SPANS = "doc_id long, n_words long, n_removed long, kept_text string, spans array<struct<first:long,words:long>>"
