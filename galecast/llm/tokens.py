@@ -28,7 +28,7 @@ RANK_BITS = 512
 #: Closes every document.
 END_ID = 2
 #: Words and pieces whose ids a worker remembers; a full memory is emptied.
-WORDS_KEPT, PIECES_KEPT = 600_000, 1_000_000
+WORDS_KEPT, PIECES_KEPT = 300_000, 700_000
 SEGMENTS = (
     "part int, first_token long, n_tokens long, doc_ids array<long>, doc_starts binary, "
     "levels array<binary>, bitmaps array<binary>, ranks array<binary>"
