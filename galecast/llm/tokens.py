@@ -28,7 +28,7 @@ RANK_BITS = 512
 #: Closes every document.
 END_ID = 2
 #: Words and pieces whose ids a worker remembers; a full memory is emptied.
-WORDS_KEPT, PIECES_KEPT = 300_000, 700_000
+WORDS_KEPT, PIECES_KEPT = 500_000, 800_000
 SEGMENTS = (
     "part int, first_token long, n_tokens long, doc_ids array<long>, doc_starts binary, "
     "levels array<binary>, bitmaps array<binary>, ranks array<binary>"
@@ -73,11 +73,15 @@ class Encoder:
         return ids
 
     def word(self, raw: bytes) -> bytes:
+        if raw.isalpha():  # ASCII letters only: one piece
+            return self.piece(raw.lower().decode())
         word = raw.decode()
-        low = word.lower() if word.isascii() else "".join(c.lower() for c in word)
-        if len(low) != len(word) or "<|" in word or not _PLAIN.fullmatch(word) or not unicodedata.is_normalized("NFC", word):
-            return self.whole(word)
-        return b"".join(map(self.piece, self.cut(low)))
+        if word.isascii():
+            plain, low = word.isprintable(), word.lower()
+        else:
+            low = "".join(c.lower() for c in word)
+            plain = len(low) == len(word) and _PLAIN.fullmatch(word) and unicodedata.is_normalized("NFC", word)
+        return b"".join(map(self.piece, self.cut(low))) if plain and "<|" not in word else self.whole(word)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
