@@ -19,13 +19,16 @@ def has_complete_days(daily: str = "weather_raw.daily") -> Column:
 
 
 def explode_arrays(df: DataFrame, index: Column, arrays: dict[str, Column], *keep: str) -> DataFrame:
-    """One row per element of ``index``, with the element of each array at the same place."""
-    carried = df.select(
-        *keep, F.posexplode(index).alias("day_index", "_day"), *(a.alias(n) for n, a in arrays.items())
-    )
-    return carried.select(
-        *keep, "day_index", "_day", *(F.get(F.col(n), F.col("day_index")).alias(n) for n in arrays)
-    )
+    """One row per element of ``index``, with the element of each array at the same place.
+
+    The elements are put side by side before they are exploded, so no row carries whole arrays.
+    """
+
+    def together(day: Column, place: Column) -> Column:
+        values = (F.get(values, place).alias(name) for name, values in arrays.items())
+        return F.struct(place.alias("day_index"), day.alias("_day"), *values)
+
+    return df.select(*keep, F.inline(F.transform(index, together)))
 
 
 def flatten_forecasts(records: DataFrame) -> DataFrame:
@@ -35,7 +38,7 @@ def flatten_forecasts(records: DataFrame) -> DataFrame:
     """
     complete = has_complete_days()
     arrays = {
-        name: F.when(complete, F.col(f"weather_raw.daily.{variable}"))
+        name: F.col(f"weather_raw.daily.{variable}")
         for name, variable in zip(MEASURES, DAILY_VARIABLES)
     }
     days = F.when(complete, F.col("weather_raw.daily.time")).otherwise(F.array(F.lit(None).cast("string")))
@@ -50,6 +53,6 @@ def flatten_forecasts(records: DataFrame) -> DataFrame:
         nan_to_null(strict_double(F.col("lat"))).alias("latitude"),
         nan_to_null(strict_double(F.col("lng"))).alias("longitude"),
         strict_date(F.col("_day")).alias("date_prevision"),
-        *(nan_to_null(strict_double(F.col(m))).alias(m) for m in MEASURES),
+        *(F.when(F.col("text").isNull(), nan_to_null(strict_double(F.col(m)))).alias(m) for m in MEASURES),
         "text", "run_ts", "source_split", "source_row", "day_index",
     )
