@@ -2,10 +2,11 @@
 
 A text is canonicalised word by word: punctuation goes, numbers, units and names (capitalised words within a sentence) become typed
 placeholders, the rest is lower-cased. Windows of five template words of the items are joined by hash to those of the documents; an
-item is a candidate where a document holds CONTAINED of its windows. Then the slots are compared along the diagonal that most
-windows share: the placeholders of the item must stand for the same words throughout, though the words may be others than the
-item's. So a question asked with other numbers or names is caught, and one that merely has the same shape in parts is not.
-Everything is DataFrame functions.
+item is a candidate where a document holds CONTAINED of its windows. Case and punctuation tell names,
+and a copy in other case or without punctuation has others, so each window with a name is also read without: a window is held if any
+reading of it is. Then the slots are compared along the diagonal that most windows share: the placeholders of the item must stand for
+the same words throughout, though the words may be others than the item's. So a question asked with other numbers or names is caught,
+and one that merely has the same shape in parts is not. Everything is DataFrame functions.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ UNITS = (
     "years km/h mph % percent dollar dollars euro euros usd eur cent cents °c °f degree degrees w kw kwh v hz"
 ).split()
 PUNCTUATION = '.,;:!?"()[]{}|*$€£'
+_NAME = r"\u0001"
 _NUMBER = r"^[-+]?[0-9][0-9/%-]*[a-z°]{0,3}$"
 _CAPITAL_FIRST = r"^[^\p{L}\p{N}]*\p{Lu}"
 _INNER_CAPITAL = r"([^.!?:;\x20\x09-\x0D][\x20\x09]+)(\p{Lu})"
@@ -39,12 +41,14 @@ def _tokens(text: str) -> str:
     return f"regexp_extract_all(translate(lower({marked}), '{PUNCTUATION}', ''), r'{WORD}', 0)"
 
 
-def _template(tokens: str) -> str:
+def _typed(word: str) -> str:
+    """The template word of a word that is no name."""
     units = ", ".join(f"'{unit}'" for unit in UNITS)
-    return (
-        f"transform({tokens}, w -> case when startswith(w, '\\u0001') then '\\u0001' when w < ':' and w rlike r'{_NUMBER}' then '\\u0002' "
-        f"when w in ({units}) then '\\u0003' else w end)"
-    )
+    return f"case when {word} < ':' and {word} rlike r'{_NUMBER}' then '\\u0002' when {word} in ({units}) then '\\u0003' else {word} end"
+
+
+def _template(tokens: str) -> str:
+    return f"transform({tokens}, w -> if(startswith(w, '\\u0001'), '\\u0001', {_typed('w')}))"
 
 
 def _windows(template: str, size: int = WINDOW) -> str:
@@ -56,12 +60,27 @@ def _windows(template: str, size: int = WINDOW) -> str:
 
 
 def with_template(df: DataFrame, text: str = "text") -> DataFrame:
-    """df with `words`, `template` and `windows` (arrays; a null text has no words)."""
+    """df with `words`, `template`, `plain` (the template if no word is a name) and `windows` (arrays; a null text has no words)."""
     df = df.withColumn("words", F.expr(_tokens(f"coalesce({text}, '')")))
     df = df.withColumn("template", F.expr(_template("words")))
+    plain = f"transform(words, (w, i) -> if(template[i] = '{_NAME}', {_typed('substring(w, 2)')}, template[i]))"
+    df = df.withColumn("plain", F.expr(f"if(array_contains(template, '{_NAME}'), {plain}, template)"))
     return df.withColumn("windows", F.expr(_windows("template")).cast("array<bigint>"))
 
 
+def _others() -> str:
+    """Hashes of the windows of with_template whose second reading is another."""
+    ends = f"sequence(greatest(1, p - {WINDOW - 1}), least(p, greatest(1, size(words) - {WINDOW - 1})))"
+    at = lambda column, mark: f"transform(filter(sequence(1, size(words)), p -> {column}[p - 1] = '{mark}'), p -> {ends})"
+    hashes = lambda column, at: f"transform(array_distinct(flatten({at})), i -> xxhash64(slice({column}, i, {WINDOW})))"
+    return f"if(array_contains(template, '{_NAME}'), {hashes('plain', at('template', _NAME))}, cast(array() as array<bigint>))"
+
+
+def _readings() -> str:
+    """The distinct hashes of each window of with_template, by position."""
+    return f"transform(windows, (h, i) -> array_distinct(array(h, xxhash64(slice(plain, i + 1, {WINDOW})))))"
+
+
 def row_keys(row_id: str = "doc_id", text: str = "text") -> list[Column]:
     """Two hashes that tell documents apart; rows equal in id and text are one document."""
     return [F.xxhash64(row_id, F.lit(1)).alias("_a"), F.xxhash64(text, F.lit(2)).alias("_b")]
@@ -69,18 +88,17 @@ def row_keys(row_id: str = "doc_id", text: str = "text") -> list[Column]:
 
 def _items(benchmark: DataFrame) -> DataFrame:
     items = with_template(benchmark.select("item_id", "text")).withColumn("_i", F.xxhash64("item_id", "text", F.col("item_id").isNull()))
-    return items.where("size(words) > 0").dropDuplicates(["_i"])
+    items = items.where("size(words) > 0").dropDuplicates(["_i"])
+    # The first word of an item may stand within a sentence of a document, and so count as a name there.
+    first = f"if(i = 0 and text rlike r'{_CAPITAL_FIRST}', array(xxhash64(concat(array('{_NAME}'), slice(template, 2, {WINDOW - 1})))), array())"
+    return items.withColumn("readings", F.expr(f"transform({_readings()}, (of, i) -> array_distinct(concat(of, {first})))"))
 
 
 def _index(items: DataFrame) -> DataFrame:
-    """h, _i, pos, needed. The first word of an item may stand within a sentence of a document, and so count as a name there."""
-    first = F.col("text").rlike(_CAPITAL_FIRST)
-    named = F.expr(_windows(f"concat(array('{NAME}'), slice(template, 2, {WINDOW - 1}))")).cast("array<bigint>")
-    windows = F.posexplode("windows").alias("pos", "h")
+    """h, _i, pos, needed. A position has a row for each reading of `readings`."""
     needed = F.ceil(F.size("windows") * F.lit(CONTAINED)).alias("needed")
-    plain = items.select("_i", needed, windows)
-    other = items.where(first & (F.size("windows") > 0)).select("_i", needed, F.lit(0).alias("pos"), named[0].alias("h"))
-    return plain.unionByName(other).distinct()
+    at = items.select("_i", needed, F.posexplode("readings").alias("pos", "of"))
+    return at.select("_i", "needed", "pos", F.explode("of").alias("h"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -93,14 +111,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     items = _items(benchmark)
     told = with_template(docs.select(*row_keys(), "text"))
-    held = told.select("_a", "_b", F.explode(F.array_distinct("windows")).alias("h"))
+    held = told.select("_a", "_b", F.explode(F.array_distinct(F.concat("windows", F.expr(_others())))).alias("h"))
     found = held.join(_index(items), "h").groupBy("_a", "_b", "_i").agg(F.collect_set("pos").alias("at"), F.max("needed").alias("needed"))
     found = found.where("size(at) >= needed").select("_a", "_b", "_i", F.size("at").alias("windows_held"))
     found = stored(found, "leaks")
     texts = docs.select(*row_keys(), "text").join(found.select("_a", "_b").distinct(), ["_a", "_b"], "left_semi")
-    texts = with_template(texts.dropDuplicates(["_a", "_b"])).select("_a", "_b", F.col("words").alias("doc_words"), F.col("template").alias("doc_template"), F.col("windows").alias("doc_windows"))
-    both = found.join(items.drop("text"), "_i").join(texts, ["_a", "_b"])
-    places = F.expr("transform(windows, (h, i) -> transform(filter(sequence(0, size(doc_windows) - 1), j -> doc_windows[j] = h), j -> j - i))")
+    texts = with_template(texts.dropDuplicates(["_a", "_b"])).select("_a", "_b", F.col("words").alias("doc_words"), F.col("template").alias("doc_template"), F.expr(_readings()).alias("doc_readings"))
+    both = found.join(items.drop("text", "windows", "plain"), "_i").join(texts, ["_a", "_b"])
+    places = F.expr("transform(readings, (h, i) -> transform(filter(sequence(0, size(doc_readings) - 1), j -> arrays_overlap(doc_readings[j], h)), j -> j - i))")
     shift = F.expr("array_max(transform(array_distinct(shifts), s -> struct(size(filter(shifts, t -> t = s)) as n, -s as back))).back * -1")
     both = both.withColumn("shifts", F.flatten(places)).withColumn("shift", shift)
     slot = f"template[p] in ('{NAME}', '{NUMBER}', '{UNIT}') and p + shift >= 0 and p + shift < size(doc_words) and doc_template[p + shift] = template[p]"

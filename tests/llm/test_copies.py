@@ -172,6 +172,16 @@ def test_changed_slots_are_caught_and_clean_texts_are_not(spark):
     assert not held(spark, ["yes", "well yes it is so"], [(4, "Yes.")])[1]["contaminated"]
 
 
+def test_copies_in_other_case_or_without_punctuation_are_caught(spark):
+    bare = re.sub(r"[.,]", "", ITEM)
+    title = " ".join(w[:1].upper() + w[1:] for w in ITEM.split(" "))
+    around = "and so it was said by many that the thing went on and on without any end in sight "
+    copies = [ITEM.upper(), ITEM.lower(), title, bare, bare.upper(), bare.lower()]
+    got = held(spark, [*copies, *(around + x + " " + around for x in copies), around.upper(), around.title()], [(1, ITEM)])
+    assert [got[i]["item_ids"] for i in range(14)] == ["1"] * 12 + ["", ""]
+    assert all(got[i]["n_changed"] == 0 for i in range(12))
+
+
 def test_slots_must_be_consistent(spark):
     item = "if 3 men dig 7 holes then 3 men dig 7 holes and so 3 men dig 7 more holes in all"
     same = "if 4 men dig 9 holes then 4 men dig 9 holes and so 4 men dig 9 more holes in all"
