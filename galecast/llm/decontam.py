@@ -3,8 +3,9 @@
 A text is canonicalised word by word: punctuation goes, numbers, units and names (capitalised words within a sentence) become typed
 placeholders, the rest is lower-cased. Windows of five template words of the items are joined by hash to those of the documents; an
 item is a candidate where a document holds CONTAINED of its windows. Case and punctuation tell names,
-and a copy in other case or without punctuation has others, so each window with a name is also read without: a window is held if any
-reading of it is. Then the slots are compared along the diagonal that most windows share: the placeholders of the item must stand for
+and a copy in other case or without punctuation has others, so each window with a name is also read without. Whether the first word of
+a sentence is a name can't be told, so each window with such a capitalised word is also read with all capitalised words as names. A
+window is held if any reading of it is. Then the slots are compared along the diagonal that most windows share: the placeholders of the item must stand for
 the same words throughout, though the words may be others than the item's. So a question asked with other numbers or names is caught,
 and one that merely has the same shape in parts is not. Everything is DataFrame functions.
 """
@@ -29,26 +30,29 @@ UNITS = (
     "years km/h mph % percent dollar dollars euro euros usd eur cent cents °c °f degree degrees w kw kwh v hz"
 ).split()
 PUNCTUATION = '.,;:!?"()[]{}|*$€£'
-_NAME = r"\u0001"
+_NAME, _FIRST = r"\u0001", r"\u0004"
 _NUMBER = r"^[-+]?[0-9][0-9/%-]*[a-z°]{0,3}$"
 _CAPITAL_FIRST = r"^[^\p{L}\p{N}]*\p{Lu}"
+#: A capitalised word that _INNER_CAPITAL has not marked: at the start of a sentence or behind a quotation mark.
+_OTHER_CAPITAL = r"(^|[\x20\x09-\x0D])([^\p{L}\p{N}\x01°\x20\x09-\x0D]*\p{Lu})"
 _INNER_CAPITAL = r"([^.!?:;\x20\x09-\x0D][\x20\x09]+)(\p{Lu})"
 
 
 def _tokens(text: str) -> str:
-    """SQL for the lower-cased words of a text without punctuation, those that are names marked in front."""
+    """SQL for the lower-cased words of a text without punctuation, those that are or may be names marked in front."""
     marked = f"regexp_replace({text}, r'{_INNER_CAPITAL}', '$1\\u0001$2')"
+    marked = f"regexp_replace({marked}, r'{_OTHER_CAPITAL}', '$1\\u0004$2')"
     return f"regexp_extract_all(translate(lower({marked}), '{PUNCTUATION}', ''), r'{WORD}', 0)"
 
 
 def _typed(word: str) -> str:
-    """The template word of a word that is no name."""
+    """The template word of a word that is not marked."""
     units = ", ".join(f"'{unit}'" for unit in UNITS)
     return f"case when {word} < ':' and {word} rlike r'{_NUMBER}' then '\\u0002' when {word} in ({units}) then '\\u0003' else {word} end"
 
 
 def _template(tokens: str) -> str:
-    return f"transform({tokens}, w -> if(startswith(w, '\\u0001'), '\\u0001', {_typed('w')}))"
+    return f"transform({tokens}, w -> case when startswith(w, '{_NAME}') then '{_NAME}' when startswith(w, '{_FIRST}') then {_typed('substring(w, 2)')} else {_typed('w')} end)"
 
 
 def _windows(template: str, size: int = WINDOW) -> str:
@@ -60,25 +64,37 @@ def _windows(template: str, size: int = WINDOW) -> str:
 
 
 def with_template(df: DataFrame, text: str = "text") -> DataFrame:
-    """df with `words`, `template`, `plain` (the template if no word is a name) and `windows` (arrays; a null text has no words)."""
+    """df with `words`, `template`, its other readings `plain` (no word is a name) and `named` (nor is a capitalised word anything
+    else), and `windows` (arrays; a null text has no words)."""
     df = df.withColumn("words", F.expr(_tokens(f"coalesce({text}, '')")))
     df = df.withColumn("template", F.expr(_template("words")))
     plain = f"transform(words, (w, i) -> if(template[i] = '{_NAME}', {_typed('substring(w, 2)')}, template[i]))"
     df = df.withColumn("plain", F.expr(f"if(array_contains(template, '{_NAME}'), {plain}, template)"))
+    df = df.withColumn("named", F.expr(f"transform(words, (w, i) -> if(startswith(w, '{_FIRST}'), '{_NAME}', template[i]))"))
     return df.withColumn("windows", F.expr(_windows("template")).cast("array<bigint>"))
 
 
-def _others() -> str:
-    """Hashes of the windows of with_template whose second reading is another."""
+def _others(named: bool = True) -> str:
+    """Hashes of the windows of with_template whose other readings differ; named: with `named` among these."""
     ends = f"sequence(greatest(1, p - {WINDOW - 1}), least(p, greatest(1, size(words) - {WINDOW - 1})))"
-    at = lambda column, mark: f"transform(filter(sequence(1, size(words)), p -> {column}[p - 1] = '{mark}'), p -> {ends})"
-    hashes = lambda column, at: f"transform(array_distinct(flatten({at})), i -> xxhash64(slice({column}, i, {WINDOW})))"
-    return f"if(array_contains(template, '{_NAME}'), {hashes('plain', at('template', _NAME))}, cast(array() as array<bigint>))"
 
+    def hashes(reading: str, mark: str) -> str:
+        at = f"transform(filter(sequence(1, size(words)), p -> startswith(words[p - 1], '{mark}')), p -> {ends})"
+        return f"transform(array_distinct(flatten({at})), i -> xxhash64(slice({reading}, i, {WINDOW})))"
 
-def _readings() -> str:
-    """The distinct hashes of each window of with_template, by position."""
-    return f"transform(windows, (h, i) -> array_distinct(array(h, xxhash64(slice(plain, i + 1, {WINDOW})))))"
+    more = hashes("named", _FIRST) if named else "array()"
+    return f"if(size(words) = 0, cast(array() as array<bigint>), concat({hashes('plain', _NAME)}, {more}))"
+
+
+def _readings(*others: str) -> str:
+    """The distinct hashes of each window of with_template and of its other readings, by position."""
+    more = ", ".join(f"xxhash64(slice({reading}, i + 1, {WINDOW}))" for reading in others)
+    return f"transform(windows, (h, i) -> array_distinct(array(h, {more})))"
+
+
+def _as_names(words: str, template: str) -> str:
+    """The words, all capitalised ones but units marked as names, so that a name is the same wherever it stands."""
+    return f"transform({words}, (w, i) -> if(startswith(w, '{_FIRST}'), concat(if({template}[i] = '{UNIT}', '', '{_NAME}'), substring(w, 2)), w))"
 
 
 def row_keys(row_id: str = "doc_id", text: str = "text") -> list[Column]:
@@ -91,7 +107,9 @@ def _items(benchmark: DataFrame) -> DataFrame:
     items = items.where("size(words) > 0").dropDuplicates(["_i"])
     # The first word of an item may stand within a sentence of a document, and so count as a name there.
     first = f"if(i = 0 and text rlike r'{_CAPITAL_FIRST}', array(xxhash64(concat(array('{_NAME}'), slice(template, 2, {WINDOW - 1})))), array())"
-    return items.withColumn("readings", F.expr(f"transform({_readings()}, (of, i) -> array_distinct(concat(of, {first})))"))
+    known = f"transform({_readings('plain')}, (of, i) -> array_distinct(concat(of, {first})))"
+    named = f"transform(known, (of, i) -> array_distinct(concat(of, array(xxhash64(slice(named, i + 1, {WINDOW}))))))"
+    return items.withColumn("known", F.expr(known)).withColumn("readings", F.expr(named))
 
 
 def _index(items: DataFrame) -> DataFrame:
@@ -113,19 +131,28 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     told = with_template(docs.select(*row_keys(), "text"))
     held = told.select("_a", "_b", F.explode(F.array_distinct(F.concat("windows", F.expr(_others())))).alias("h"))
     found = held.join(_index(items), "h").groupBy("_a", "_b", "_i").agg(F.collect_set("pos").alias("at"), F.max("needed").alias("needed"))
-    found = found.where("size(at) >= needed").select("_a", "_b", "_i", F.size("at").alias("windows_held"))
+    found = found.where("size(at) >= needed").select("_a", "_b", "_i", "needed", F.size("at").alias("windows_held"))
     found = stored(found, "leaks")
     texts = docs.select(*row_keys(), "text").join(found.select("_a", "_b").distinct(), ["_a", "_b"], "left_semi")
-    texts = with_template(texts.dropDuplicates(["_a", "_b"])).select("_a", "_b", F.col("words").alias("doc_words"), F.col("template").alias("doc_template"), F.expr(_readings()).alias("doc_readings"))
-    both = found.join(items.drop("text", "windows", "plain"), "_i").join(texts, ["_a", "_b"])
+    texts = with_template(texts.dropDuplicates(["_a", "_b"])).select("_a", "_b", F.col("words").alias("doc_words"), F.col("template").alias("doc_template"), F.col("named").alias("doc_named"), F.expr(_readings("plain", "named")).alias("doc_readings"), F.expr(f"concat(windows, {_others(named=False)})").alias("doc_windows"))
+    both = found.join(items.drop("text", "plain"), "_i").join(texts, ["_a", "_b"])
     places = F.expr("transform(readings, (h, i) -> transform(filter(sequence(0, size(doc_readings) - 1), j -> arrays_overlap(doc_readings[j], h)), j -> j - i))")
     shift = F.expr("array_max(transform(array_distinct(shifts), s -> struct(size(filter(shifts, t -> t = s)) as n, -s as back))).back * -1")
-    both = both.withColumn("shifts", F.flatten(places)).withColumn("shift", shift)
-    slot = f"template[p] in ('{NAME}', '{NUMBER}', '{UNIT}') and p + shift >= 0 and p + shift < size(doc_words) and doc_template[p + shift] = template[p]"
-    both = both.withColumn("slots", F.expr(f"transform(filter(sequence(0, size(words) - 1), p -> {slot}), p -> struct(words[p] as a, doc_words[p + shift] as b))"))
-    pairs = "size(array_distinct(slots))"
-    consistent = F.expr(f"({pairs} - size(array_distinct(slots.a))) <= {1 - CONTAINED} * size(slots)")
-    return both.where(consistent).select("_a", "_b", "item_id", "windows_held", F.expr("forall(slots, s -> s.a = s.b)").alias("exact"))
+    # As elements of exploded arrays, or these would be copied into the filter and evaluated for each word.
+    once = lambda df, name, value: df.select("*", F.explode(F.array(value)).alias(name))
+    both = once(once(both, "shifts", F.flatten(places)), "shift", shift)
+    both = once(both.withColumnRenamed("words", "w"), "words", F.expr(_as_names("w", "template")))
+    both = once(both.withColumnRenamed("doc_words", "v"), "doc_words", F.expr(_as_names("v", "doc_template")))
+    typed = f"template[p] in ('{NAME}', '{NUMBER}', '{UNIT}') and doc_template[p + shift] = template[p]"
+    renamed = f"named[p] = '{NAME}' and doc_named[p + shift] = '{NAME}' and words[p] <> doc_words[p + shift]"
+    within = "filter(sequence(0, size(words) - 1), p -> p + shift >= 0 and p + shift < size(doc_words))"
+    slots = lambda which: F.expr(f"transform(filter({within}, p -> {which}), p -> struct(words[p] as a, doc_words[p + shift] as b))")
+    both = once(once(both, "slots", slots(f"({typed}) or ({renamed})")), "typed", slots(typed))
+    consistent = lambda of: F.expr(f"(size(array_distinct({of})) - size(array_distinct({of}.a))) <= {1 - CONTAINED} * size({of})")
+    # What the names within sentences alone tell is held whatever else may be a name.
+    told = F.expr(f"size(filter(known, of -> arrays_overlap(doc_windows, of))) >= needed")
+    both = both.where(consistent("slots") | (told & consistent("typed")))
+    return both.select("_a", "_b", "item_id", "windows_held", F.expr("forall(slots, s -> s.a = s.b)").alias("exact"))
 
 
 def checked_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -182,6 +182,24 @@ def test_copies_in_other_case_or_without_punctuation_are_caught(spark):
     assert all(got[i]["n_changed"] == 0 for i in range(12))
 
 
+def test_renamed_sentence_starts_are_caught(spark):
+    item = "Tom has 5 apples. Mary has 3 apples. How many apples do they have together?"
+    asked = "Sam has 7 apples. Anna has 4 apples. How many apples do they have together?"
+    around = "and so it was said by many that the thing went on and on without any end in sight "
+    other = "Sam has 7 pears. Anna sold 4 of these. How much money did they make?"
+    got = held(spark, [asked, around + asked + " " + around, around + asked.replace(".", ""), other, around + other, item], [(1, item)])
+    assert [got[i]["item_ids"] for i in range(6)] == ["1", "1", "1", "", "", "1"]
+    assert [got[i]["n_changed"] for i in range(6)] == [1, 1, 1, 0, 0, 0]
+
+
+def test_names_at_sentence_starts_must_be_consistent(spark):
+    item = "Tom has 5 apples in his bag. Tom eats 3 apples on the way. Tom gives 2 apples to his friend. Tom counts what is left."
+    same = item.replace("Tom", "Sam")
+    mixed = item.replace("Tom", "Sam", 1).replace("Tom", "Anna", 1).replace("Tom", "Peter", 1).replace("Tom", "Ute", 1)
+    got = held(spark, [same, mixed], [(1, item)])
+    assert got[0]["contaminated"] and not got[1]["contaminated"]
+
+
 def test_slots_must_be_consistent(spark):
     item = "if 3 men dig 7 holes then 3 men dig 7 holes and so 3 men dig 7 more holes in all"
     same = "if 4 men dig 9 holes then 4 men dig 9 holes and so 4 men dig 9 more holes in all"
