@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from galecast.llm.chunks import Chunk, Question, answer, apply, ask, bucket_bits, chunked
 from galecast.llm.text import mix, per_text, window_hashes
 
-ORDER = 2
+ORDER = 3
 BACKOFF = 0.4
 SCORES = "n_words long, log_score double, mean_log_score double, perplexity double, n_backed_off long"
 #: Bits of an n-gram's hash that tell n-grams apart.

@@ -90,6 +90,15 @@ def test_backoff_scores(odd, order):
     assert np.allclose([s for _, s in mine], [s for _, s in want], atol=1e-4)
 
 
+def test_longer_context_counts_in_the_registered_order(spark):
+    texts = ["a b c", "a b c", "x b d", "x b d", "a b d"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in lm.scored_documents(docs).collect()}
+    for i, (n, score) in enumerate(backoff(texts, 3)):
+        assert got[i]["n_words"] == n and got[i]["log_score"] == pytest.approx(score)
+    assert got[4]["n_backed_off"] == 1  # others hold "a b" and "b d", but not "a b d"
+
+
 def test_backoff_of_odd_rows(odd, empty):
     got = {r["doc_id"]: r for r in lm.scored_documents(odd).collect()}
     assert got[100]["log_score"] == 0 and got[101]["mean_log_score"] is None and got[102]["perplexity"] is None
