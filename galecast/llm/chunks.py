@@ -55,8 +55,8 @@ class Chunk(NamedTuple):
     ends: np.ndarray
     bounds: np.ndarray
 
-    def hashes(self) -> np.ndarray:
-        return word_hashes(self.data, self.starts, self.ends)
+    def hashes(self, both: bool = False) -> np.ndarray | tuple[np.ndarray, np.ndarray]:
+        return word_hashes(self.data, self.starts, self.ends, both)
 
 
 def unpacked(blob: bytes) -> Chunk:

@@ -73,8 +73,9 @@ def _is_in(keys: np.ndarray, known: np.ndarray | None) -> np.ndarray:
     return known[np.minimum(at, len(known) - 1)] == keys
 
 
-def _windows(chunk: Chunk, hashes: np.ndarray, window: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    key, tag = window_hashes(hashes, window)[at], window_hashes(hashes, window, 1)[at]
+def _windows(hashes: tuple[np.ndarray, np.ndarray], window: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Key and tag of the windows at some positions; each comes from a word hash of its own."""
+    key, tag = window_hashes(hashes[0], window)[at], window_hashes(hashes[1], window, 1)[at]
     return key, tag >> np.uint64(32)
 
 
@@ -83,18 +84,18 @@ def window_question(window: int, probe_bits: int, bits: int):
 
     def use(number: int, chunk: Chunk, told: Question) -> pa.Table:
         """Asks for the windows around the hits, with the least id that holds them in this chunk."""
-        hashes = chunk.hashes()
-        at, key = _probes(chunk, hashes, anchor, window, probe_bits)
+        hashes = chunk.hashes(both=True)
+        at, key = _probes(chunk, hashes[0], anchor, window, probe_bits)
         hit = at[_is_in(key, told.keys)]
         starts = window_starts(chunk.bounds, window)
         reach = window - anchor
-        near = covered(hit, reach + 1, len(hashes) + reach)[starts + reach] if len(hit) else np.zeros(len(starts), bool)
+        near = covered(hit, reach + 1, len(hashes[0]) + reach)[starts + reach] if len(hit) else np.zeros(len(starts), bool)
         starts = starts[near]
         ids = _order(chunk)[np.searchsorted(chunk.bounds, starts, side="right") - 1]
         starts, ids = starts[ids != _NO_ID], ids[ids != _NO_ID]
         if not len(starts):
             return questions(number, Question(*[np.zeros(0, np.uint64)] * 3), bits)
-        key, tag = _windows(chunk, hashes, window, starts)
+        key, tag = _windows(hashes, window, starts)
         order = np.lexsort((ids, tag, key))
         key, tag, ids = key[order], tag[order], ids[order]
         fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (tag[1:] != tag[:-1])])
@@ -118,8 +119,8 @@ def removal(window: int):
         gone = np.zeros(n, bool)
         starts = window_starts(chunk.bounds, window)
         if told.keys is not None and len(starts):
-            hashes = chunk.hashes()
-            key, tag = _windows(chunk, hashes, window, starts)
+            hashes = chunk.hashes(both=True)
+            key, tag = _windows(hashes, window, starts)
             some = _is_in(key, told.keys)
             key, tag, starts = key[some], tag[some], starts[some]
             both = mix(told.keys) ^ told.tags

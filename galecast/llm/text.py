@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 from galecast.llm.shared import ship
@@ -18,6 +19,8 @@ from galecast.llm.shared import ship
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that one numpy pass covers; a longer single text is a pass of its own.
 PASS_BYTES = 2 << 20
+#: Words whose window hashes one numpy pass computes.
+BLOCK_WORDS = 1 << 17
 _GAP = np.zeros(256, bool)
 _GAP[[9, 10, 11, 12, 13, 32]] = True
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -72,15 +75,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of an odd number modulo 2^64, and of its inverse."""
-    if base not in _POWERS or len(_POWERS[base][0]) < n:
-        odd, size = _ODD[base], max(n, PASS_BYTES + 1)
-        both = []
-        for step in (odd, pow(odd, -1, 1 << 64)):
+    """The first n powers of an odd number modulo 2^64, and of its inverse; those of one block are remembered."""
+    if n > BLOCK_WORDS + 1 or base not in _POWERS:
+        both, size = [], max(n, BLOCK_WORDS + 1)
+        for step in (_ODD[base], pow(_ODD[base], -1, 1 << 64)):
             x = np.full(size, step, np.uint64)
             x[0] = 1
             both.append(np.cumprod(x, dtype=np.uint64))
-        if size > 4 * PASS_BYTES:
+        if n > BLOCK_WORDS + 1:
             return both[0], both[1]
         _POWERS[base] = (both[0], both[1])
     return _POWERS[base]
@@ -93,18 +95,21 @@ def _sums(values: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
     return total, inverse
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word's bytes, in passes of bounded memory."""
-    out = np.empty(len(starts), np.uint64)
-    first = 0
-    while first < len(starts):
-        last = max(int(np.searchsorted(ends, starts[first] + PASS_BYTES, side="right")), first + 1)
-        low, high = starts[first], ends[last - 1]
-        total, inverse = _sums(data[low:high].astype(np.uint64) + np.uint64(1), 0)
-        s, e = starts[first:last] - low, ends[first:last] - low
-        out[first:last] = (total[e] - total[s]) * inverse[s] + (e - s).astype(np.uint64)
-        first = last
-    return mix(out)
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, both: bool = False) -> np.ndarray | tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word's bytes, or two that do not depend on each other: the halves of XXH3's 128 bits."""
+    first, second = np.empty(len(starts), np.uint64), np.empty(len(starts) if both else 0, np.uint64)
+    low = 0
+    while low < len(starts):
+        high = max(int(np.searchsorted(ends, starts[low] + PASS_BYTES, side="right")), low + 1)
+        raw = data[starts[low] : ends[high - 1]].tobytes()
+        spans = zip((starts[low:high] - starts[low]).tolist(), (ends[low:high] - starts[low]).tolist(), strict=True)
+        digests = b"".join([xxhash.xxh3_128_digest(raw[a:b]) for a, b in spans])
+        halves = np.frombuffer(digests, "<u8").reshape(-1, 2)
+        first[low:high] = halves[:, 0]
+        if both:
+            second[low:high] = halves[:, 1]
+        low = high
+    return (first, second) if both else first
 
 
 def window_hashes(hashes: np.ndarray, k: int, base: int = 0) -> np.ndarray:
@@ -113,8 +118,9 @@ def window_hashes(hashes: np.ndarray, k: int, base: int = 0) -> np.ndarray:
     if n <= 0:
         return np.zeros(0, np.uint64)
     out = np.empty(n, np.uint64)
-    for first in range(0, n, PASS_BYTES):
-        part = hashes[first : first + PASS_BYTES + k - 1]
+    step = BLOCK_WORDS - k + 1 if k < BLOCK_WORDS else BLOCK_WORDS
+    for first in range(0, n, step):
+        part = hashes[first : first + step + k - 1]
         total, inverse = _sums(part, base)
         m = len(part) - k + 1
         out[first : first + m] = (total[k : k + m] - total[:m]) * inverse[:m]

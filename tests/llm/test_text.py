@@ -4,9 +4,12 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
-from galecast.llm import text
+from galecast.llm import lm, quality, substrings, text
 from galecast.llm.chunks import expand, expand_sorted, squeeze, squeeze_sorted
+from tests.llm.conftest import prose
 
 SAMPLES = ["", None, "a", "  a\tb\n", "ab cd ab", "x\x0b\x0cy\x1cz w", "ü 漢字", "end ", " start", "a b c d e f a b c d e f"]
 
@@ -57,3 +60,25 @@ def test_squeezed_integers_come_back():
 
 def test_covered():
     assert text.covered(np.array([0, 5]), 3, 9).tolist() == [True] * 3 + [False] * 2 + [True] * 3 + [False]
+
+
+def thue_morse(bits: int, first: str, second: str) -> str:
+    """2 ** bits letters whose polynomial hashes agree modulo any power of two that is not large against their number."""
+    return "".join((first, second)[i.bit_count() & 1] for i in range(1 << bits))
+
+
+@pytest.mark.parametrize("bits", [9, 10, 11, 12])
+def test_regular_words_do_not_collide(spark, bits):
+    one, two = thue_morse(bits, "a", "b"), thue_morse(bits, "b", "a")
+    data, offsets = text.texts(pa.array([f"{one} {two}"]))
+    first, second = text.word_hashes(data, *text.words(data, offsets)[:2], both=True)
+    assert first[0] != first[1] and second[0] != second[1]
+    rest = [prose(77, 1).split()[0] + str(i) for i in range(60)]
+    rows = [(1, " ".join([*rest[:30], one, *rest[30:]])), (2, " ".join([*rest[:30], two, *rest[30:]])), (3, " ".join([one, *"cdef", two, *"cdef"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r["n_removed"] for r in substrings.repeated_documents(docs).orderBy("doc_id").collect()] == [0, 0, 0]
+    assert [r["n_repeat_words"] for r in quality.with_quality(docs).orderBy("doc_id").collect()] == [0, 0, 0]
+    assert lm.scored_documents(docs.where("doc_id < 3")).where("n_backed_off = 0").count() == 0
+    known = lm.scored_documents(docs.where("doc_id < 3")).select("log_score").collect()
+    both = lm.scored_documents(docs.where("doc_id < 3").withColumn("text", F.regexp_replace("text", two, one))).select("log_score").collect()
+    assert max(r[0] for r in known) < min(r[0] for r in both)
