@@ -138,20 +138,19 @@ def fit(names: list[str], counts: np.ndarray) -> Model:
 
 def margins(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """(texts, bits): mean log-odds over a text's n-grams, less the threshold; an empty text has none."""
-    bits = model.code.shape[1]
-    sums = np.zeros((len(data) + 1, bits), np.float64)
+    sums = np.zeros((len(offsets) - 1, model.code.shape[1]))
+    size = np.diff(offsets)
+    some = np.flatnonzero(size)
+    low, high = offsets[:-1][some], offsets[1:][some]
     step = 1 << 18
-    base = np.zeros(bits)
     for a in range(0, len(data), step):
         part = grams(data[max(0, a - max(ORDERS)) : a + step])[min(a, max(ORDERS)) :]
         value = model.table[part[:, 0]]
         for i in range(1, len(ORDERS)):
             value += model.table[part[:, i]]
-        np.cumsum(value, axis=0, dtype=np.float64, out=sums[a + 1 : a + 1 + len(part)])
-        sums[a + 1 : a + 1 + len(part)] += base
-        base = sums[a + len(part)].copy()
-    size = np.maximum(np.diff(offsets), 1)[:, None] * len(ORDERS)
-    return (sums[offsets[1:]] - sums[offsets[:-1]]) / size - model.middle
+        first, last = np.searchsorted(high, a, side="right"), np.searchsorted(low, a + len(part))
+        sums[some[first:last]] += np.add.reduceat(value, np.maximum(low[first:last], a) - a, axis=0, dtype=np.float64)
+    return sums / (np.maximum(size, 1)[:, None] * len(ORDERS)) - model.middle
 
 
 def decode(model: Model, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -47,6 +47,9 @@ COLUMNS = (
 )
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
+#: First bytes of the code points that belong to words.
+_LETTER = (np.arange(256) & 0xC0) != 0x80
+_LETTER[[9, 10, 11, 12, 13, 32]] = False
 
 
 class Bands(NamedTuple):
@@ -82,6 +85,11 @@ def repeated_words(hashes: np.ndarray, bounds: np.ndarray, k: int = REPEAT_WORDS
     return per_text(np.cumsum(step[:-1]) > 0, bounds)
 
 
+def flagged(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many bytes of each text are flagged, without running sums over the bytes."""
+    return np.array([np.count_nonzero(flags[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], np.int64)
+
+
 def repeated_lines(text: bytes) -> int:
     """Lines (split at line feeds) with a word that equal an earlier line."""
     lines = [line for line in text.split(b"\n") if line and not line.isspace()]
@@ -108,9 +116,8 @@ def measure(column: pa.Array, table: tuple = BANDS, chunk: int = CHUNK_BYTES, ba
     data, offsets = texts(column)
     starts, ends, bounds = words(data, offsets)
     n_words = np.diff(bounds)
-    before = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-    chars = per_text(before[ends] - before[starts], bounds)
-    symbols = np.concatenate([[0], np.cumsum(_SYMBOL[data])])
+    chars = flagged(_LETTER[data], offsets)
+    symbols = flagged(_SYMBOL[data], offsets)
     repeats = repeated_words(word_hashes(data, starts, ends), bounds)
     pack, limits, raw = zstandard.ZstdCompressor(level=LEVEL), bands(table), data.tobytes()
     rows = [raw[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
@@ -119,7 +126,7 @@ def measure(column: pa.Array, table: tuple = BANDS, chunk: int = CHUNK_BYTES, ba
     base = (n_words < MIN_WORDS) | (100 * repeats > MAX_REPEAT_PERCENT * n_words)
     band = np.array(["repetitive", "normal", "noise"], object)[side + 1]
     band[(side == 0) & (bad > bad_share)] = "chunks"
-    values = (n_words, chars, symbols[offsets[1:]] - symbols[offsets[:-1]], np.array(lines, np.int64), repeats, base, ratio, bad)
+    values = (n_words, chars, symbols, np.array(lines, np.int64), repeats, base, ratio, bad)
     return [pa.array(x) for x in (*values, band, ~base & (band == "normal"))]
 
 
@@ -143,4 +150,15 @@ def with_quality(docs: DataFrame, text: str = "text", table: tuple = BANDS, chun
 
 def rejected_removed(docs: DataFrame) -> DataFrame:
     """The rows of docs that pass, with the columns of docs, whatever their names are."""
-    return with_quality(docs.select(F.struct("*").alias("row"), "text")).where("kept").select("row.*")
+    at, verdict = docs.columns.index("text"), [part.split()[0] for part in COLUMNS.split(", ")].index("kept")
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = pa.RecordBatch.from_arrays([batch.column(0).field(at)], names=["text"])
+            first = 0
+            for part in passes(text):
+                yield batch.slice(first, part.num_rows).filter(measure(part.column(0))[verdict])
+                first += part.num_rows
+
+    rows = docs.select(F.struct("*").alias("row"))
+    return rows.mapInArrow(judge, rows.schema).select("row.*")

@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir. Only where that is unset, as in tests, a folder of this process is used."""
+    """The folder of spark.checkpoint.dir. Where that is unset, a local session uses a folder of its own; a cluster needs the setting."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext._jsc.sc().getCheckpointDir().getOrElse(None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = f"file://{tempfile.mkdtemp(prefix='galecast-')}"
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")

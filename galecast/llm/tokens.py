@@ -8,6 +8,8 @@ neighbour. Segments of whole documents in ascending doc_id order are the rows of
 
 from __future__ import annotations
 
+import re
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -27,8 +29,8 @@ CHUNK_BITS = 8
 RANK_BITS = 512
 #: Closes every document.
 END_ID = 2
-#: Words and pieces whose ids a worker remembers; a full memory is emptied.
-WORDS_KEPT, PIECES_KEPT = 500_000, 800_000
+#: Words, and pieces of words, in each of the two generations that an encoder remembers.
+KEPT = 250_000
 SEGMENTS = (
     "part int, first_token long, n_tokens long, doc_ids array<long>, doc_starts binary, "
     "levels array<binary>, bitmaps array<binary>, ranks array<binary>"
@@ -39,6 +41,22 @@ _PLAIN = regex.compile("[!-~À-ɏ]+")
 _ENCODERS: dict[str, Encoder] = {}
 
 
+class Memory:
+    """Two generations of remembered values: when the young one is full it becomes the old one, and what the old one held and
+    nobody asked for since is forgotten. So frequent keys stay, rare ones go, and the memory is bounded."""
+
+    def __init__(self, kept: int = KEPT):
+        self.kept, self.young, self.old = kept, {}, {}
+
+    def turn(self, coming: int) -> None:
+        """Makes room for so many keys."""
+        if len(self.young) + coming > self.kept:
+            self.old, self.young = self.young, {}
+
+    def forget(self) -> None:
+        self.young, self.old = {}, {}
+
+
 class Encoder:
     """Ids of whole texts, word by word.
 
@@ -54,22 +72,26 @@ class Encoder:
         state = self.tokenizer.__getstate__().decode()
         self.by_word = '"end_of_word_suffix":"</w>"' in state and PIECES.replace("\\", "\\\\") in state and '"Lowercase"' in state
         self.cut = regex.compile(PIECES).findall
+        self.cut_ascii = re.compile(PIECES.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9"), re.ASCII).findall
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in printable]
         self.as_text = {b: chr(256 + i) for i, b in enumerate(others)}
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.words, self.pieces = Memory(), Memory()
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
+        known = self.pieces
+        ids = known.young.get(piece)
         if ids is None:
-            if len(self.pieces) >= PIECES_KEPT:
-                self.pieces.clear()
-            shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.as_text)
-            ids = self.pieces[piece] = np.array([token.id for token in self.model.tokenize(shown)], "<u4").tobytes()
+            ids = known.old.get(piece)
+            if ids is None:
+                shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.as_text)
+                found = [token.id for token in self.model.tokenize(shown)]
+                ids = struct.pack(f"<{len(found)}I", *found)
+            known.young[piece] = ids
         return ids
 
     def word(self, raw: bytes) -> bytes:
@@ -77,10 +99,11 @@ class Encoder:
             return self.piece(raw.lower().decode())
         word = raw.decode()
         if word.isascii():
-            plain, low = word.isprintable(), word.lower()
-        else:
-            low = "".join(c.lower() for c in word)
-            plain = len(low) == len(word) and _PLAIN.fullmatch(word) and unicodedata.is_normalized("NFC", word)
+            if word.isprintable() and "<|" not in word:
+                return b"".join(map(self.piece, self.cut_ascii(word.lower())))
+            return self.whole(word)
+        low = "".join(c.lower() for c in word)
+        plain = len(low) == len(word) and _PLAIN.fullmatch(word) and unicodedata.is_normalized("NFC", word)
         return b"".join(map(self.piece, self.cut(low))) if plain and "<|" not in word else self.whole(word)
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -88,13 +111,22 @@ class Encoder:
         if not self.by_word:
             return [self.whole(text) for text in texts]
         split = [text.encode().split() for text in texts]
-        fresh = set().union(*split).difference(self.words)
-        if len(self.words) + len(fresh) > WORDS_KEPT:
-            self.words.clear()
+        known = self.words
+        fresh = set().union(*split).difference(known.young)
+        if len(known.young) + len(fresh) > known.kept:
+            known.turn(len(fresh))
             fresh = set().union(*split)
+        self.pieces.turn(len(fresh))
+        old, young = known.old, known.young
         for word in fresh:
-            self.words[word] = self.word(word)
-        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+            young[word] = old.get(word) or self.word(word)
+        return [b"".join(map(young.__getitem__, words)) for words in split]
+
+    def forget(self) -> None:
+        """Gives back the memory of words, at the end of a partition: a worker lives on and serves other stages."""
+        self.words.forget()
+        self.pieces.forget()
+        pa.default_memory_pool().release_unused()
 
 
 def encoder(path: str) -> Encoder:
@@ -184,6 +216,7 @@ def write_tokens(docs: DataFrame, path: str, end: int = END_ID) -> DataFrame:
                 values = [part.column("part")[0].as_py(), first, int(starts[-1]), part.column("doc_id").to_pylist(), starts[:-1].astype("<u8").tobytes(), *map(list, codes)]
                 first += int(starts[-1])
                 yield pa.RecordBatch.from_pydict({name: [value] for name, value in zip(names, values, strict=True)}, schema=schema)
+        code.forget()
 
     names = [column.split()[0] for column in SEGMENTS.split(", ")]
     schema = pa.schema(zip(names, (pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), *[pa.list_(pa.binary())] * 3), strict=True))
