@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galecast.llm import decontam, langid, lm, mix, quality, shard, simhash, substrings, tokens, urls
+from galecast.llm import conversations, decontam, langid, lm, merkle, mix, packing, quality, shard, simhash, substrings, tokens, urls
 from galecast.llm.oracle import ORACLE
 from galecast.llm.text import documents
 
@@ -53,8 +53,20 @@ def op10_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeated_documents(documents(spark, sf_dir))
 
 
+def op11_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_documents(documents(spark, sf_dir))
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(documents(spark, sf_dir))
+
+
+def op13_streamed_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired_conversations(documents(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_output_codes, op2_stupid_backoff, op3_template_windows, op4_addressable_codes, op5_compression_bands, op6_cube_mix, op7_interleaved_shards, op8_deletion_variants, op9_url_automaton, op10_block_anchors)
+    f.__name__: f for f in (op1_output_codes, op2_stupid_backoff, op3_template_windows, op4_addressable_codes, op5_compression_bands, op6_cube_mix, op7_interleaved_shards, op8_deletion_variants, op9_url_automaton, op10_block_anchors, op11_merkle_proofs, op12_best_fit_packing, op13_streamed_repair)
 }
 
 __all__ = ["ORACLE", "QUERIES"]
