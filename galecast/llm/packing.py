@@ -108,17 +108,21 @@ def plan(counts: Mapping[int, int], capacity: int = CAPACITY) -> list[Run]:
     return runs
 
 
+def width(path: str, end: int) -> np.dtype:
+    """The integers that hold every id of a vocabulary while pieces are moved: of two bytes where they can."""
+    return np.dtype("<u2" if max(encoder(path).tokenizer.get_vocab_size(), end + 1) <= 1 << 16 else "<u4")
+
+
 def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END_ID) -> DataFrame:
-    """The stored pieces of docs (doc_id, text): their ids, where they start in their document, and their number (nth) among the
+    """The stored pieces of docs (doc_id, text): their ids (see width), where they start in their document, and their number (nth) among the
     pieces of their length in their part of the table."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, last = encoder(path), np.array([end], "<u4").tobytes()
+        code = encoder(path)
         number, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             for rows in passes(batch):
-                ids = [found + last for found in code.encode(rows.column("text").fill_null("").to_pylist())]
-                size = np.array([len(x) // 4 for x in ids], np.int64)
+                ids, size = code.encode(rows.column("text"), end)
                 pieces = -(-size // capacity)
                 doc = np.repeat(np.arange(len(size)), pieces)
                 piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
@@ -130,8 +134,8 @@ def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END_ID)
                 nth = np.empty(len(doc), np.int64)
                 nth[order] = np.arange(len(doc)) - run[np.cumsum(fresh) - 1] + seen[length[order]]
                 seen += np.bincount(length, minlength=capacity + 1)
-                bounds = np.concatenate([[0], np.cumsum(length)]).astype(np.int64) * 4
-                data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(doc), [None, pa.py_buffer(bounds), pa.py_buffer(b"".join(ids))])
+                bounds = np.concatenate([[0], np.cumsum(length)]).astype(np.int64) * kind.itemsize
+                data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(doc), [None, pa.py_buffer(bounds), pa.py_buffer(ids.astype(kind))])
                 columns = [
                     rows.column("doc_id").take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length, pa.int32()),
                     data.cast(pa.binary()), pa.array(np.full(len(doc), number), pa.int32()), pa.array(nth),
@@ -139,6 +143,7 @@ def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END_ID)
                 yield pa.RecordBatch.from_arrays(columns, names=[name.split()[0] for name in PIECES.split(", ")])
         code.forget()
 
+    kind = width(path, end)
     slim = docs.select(F.col("doc_id").cast("long"), "text")
     return stored(slim.mapInArrow(encode, PIECES), "pieces", **{"parquet.block.size": str(32 << 20)})
 
@@ -176,7 +181,9 @@ def packed(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, e
     other columns do not count. A text of any length is cut, so no bin and no row of the result is above the capacity. An empty table
     gives an empty result.
     """
-    placed = assigned(cut(docs, path or vocabulary(), capacity, end), capacity)
+    path = path or vocabulary()
+    kind = width(path, end)
+    placed = assigned(cut(docs, path, capacity, end), capacity)
     ordered = placed.repartition("sequence_id").sortWithinPartitions("sequence_id", "offset")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,7 +205,8 @@ def packed(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, e
         edges = np.append(first, len(sequence)).astype(np.int32)
         size = np.concatenate([[0], np.cumsum(rows.column("length").to_numpy().astype(np.int64))])
         bounds = (size[edges] * 4).astype(np.int64)
-        data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(bounds), pa.py_buffer(b"".join(rows.column("ids").to_pylist()))])
+        ids = np.frombuffer(b"".join(rows.column("ids").to_pylist()), kind).astype("<u4")
+        data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(bounds), pa.py_buffer(ids)])
         lists = [pa.ListArray.from_arrays(pa.array(edges), rows.column(name)) for name in ("doc_id", "piece", "start", "length")]
         return pa.RecordBatch.from_arrays([pa.array(sequence[first]), data.cast(pa.binary()), *lists], names=[name.split()[0] for name in SEQUENCES.split(", ")])
 

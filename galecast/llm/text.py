@@ -21,8 +21,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 PASS_BYTES = 2 << 20
 #: Words whose window hashes one numpy pass computes.
 BLOCK_WORDS = 1 << 17
-_GAP = np.zeros(256, bool)
-_GAP[[9, 10, 11, 12, 13, 32]] = True
+#: White space among the bytes.
+GAP = np.zeros(256, bool)
+GAP[[9, 10, 11, 12, 13, 32]] = True
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -56,7 +57,7 @@ def passes(batch: pa.RecordBatch, column: str = "text", limit: int = PASS_BYTES)
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every word, and the number of words before each text (one more entry for the total)."""
-    inside = ~_GAP[data]
+    inside = ~GAP[data]
     cut = np.zeros(len(data) + 1, bool)
     cut[offsets] = True
     begins, ends = inside.copy(), inside.copy()

@@ -8,28 +8,25 @@ neighbour. Segments of whole documents in ascending doc_id order are the rows of
 
 from __future__ import annotations
 
-import re
 import struct
-import unicodedata
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from galecast.llm.shared import stored
-from galecast.llm.text import passes
+from galecast.llm.text import GAP, passes, texts, words
 
 CHUNK_BITS = 8
 RANK_BITS = 512
 #: Closes every document.
 END_ID = 2
-#: Words, and pieces of words, in each of the two generations that an encoder remembers.
+#: Pieces in each of the two generations that an encoder remembers.
 KEPT = 250_000
 SEGMENTS = (
     "part int, first_token long, n_tokens long, doc_ids array<long>, doc_starts binary, "
@@ -37,10 +34,44 @@ SEGMENTS = (
 )
 #: Fixed value: how this vocabulary's file cuts normalised text into pieces.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_PLAIN = regex.compile("[!-~À-ɏ]+")
+#: What a byte is: white space, part of a letter, a digit, another sign, or part of an odd word. 0xC3 begins the letters from U+00C0 on.
+_SPACE, _LETTER, _DIGIT, _SIGN, _ODD = range(5)
+_KIND = np.full(256, _ODD, np.uint8)
+_KIND[33:127] = _SIGN
+_KIND[[*b"'<"]] = _ODD
+_KIND[[*range(48, 58)]] = _DIGIT
+_KIND[[*range(65, 91), *range(97, 123), 0xC3]] = _LETTER
+_KIND[GAP] = _SPACE
+_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 _ENCODERS: dict[str, Encoder] = {}
 
 
+def cut_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The pieces of all texts in lower case, odd words whole and as they are; which are odd; and the pieces before each text."""
+    starts, ends, _ = words(data, offsets)
+    kind, low = _KIND[data], _LOWER[data]
+    second = np.zeros(len(data), bool)
+    second[1:] = data[:-1] == 0xC3
+    second &= (data >= 0x80) & (data != 0x97) & (data != 0xB7)  # the two signs among the letters
+    kind[second] = _LETTER
+    low[second & (data <= 0x9E)] += 0x20
+    begin = np.ones(len(data), bool)
+    begin[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    begin &= kind != _SPACE
+    begin[starts] = True
+    strange = np.unique(np.searchsorted(starts, np.flatnonzero(kind == _ODD), side="right") - 1)
+    for a, b in zip(starts[strange].tolist(), ends[strange].tolist(), strict=True):
+        begin[a + 1 : b] = False
+        low[a:b] = data[a:b]
+    inside = kind != _SPACE
+    at = np.flatnonzero(begin)
+    edges = np.append(np.cumsum(inside)[at] - 1, np.count_nonzero(inside)).astype(np.int64)
+    pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(edges), pa.py_buffer(low[inside])])
+    odd = np.zeros(len(at), bool)
+    odd[np.searchsorted(at, starts[strange])] = True
+    return pieces, odd, np.searchsorted(at, offsets)
+
+
 class Memory:
     """Two generations of remembered values: when the young one is full it becomes the old one, and what the old one held and
     nobody asked for since is forgotten. So frequent keys stay, rare ones go, and the memory is bounded."""
@@ -58,12 +89,12 @@ class Memory:
 
 
 class Encoder:
-    """Ids of whole texts, word by word.
+    """Ids of whole texts, piece by piece.
 
-    The vocabulary drops white space and never joins across it, so a text's ids are those of its words in turn. A word of plain
-    ASCII and Latin letters is lower-cased and cut by PIECES, and the library's model encodes each new piece; any other word, or
-    one that may hold a special token, goes through the library's whole pipeline. A file with other rules than the known ones
-    has every text go through the library as it is.
+    The vocabulary drops white space and never joins across it, so a text's ids are those of its words in turn. A word of ASCII and of
+    Latin letters up to U+00FF is lower-cased and cut by the rule of PIECES, a batch at a time, and the library's model encodes each new piece;
+    any other word, or one that may hold a contraction or a special token, goes through the library's whole pipeline. A file
+    with other rules than the known ones has every text go through the library as it is.
     """
 
     def __init__(self, path: str):
@@ -71,61 +102,63 @@ class Encoder:
         self.model = self.tokenizer.model
         state = self.tokenizer.__getstate__().decode()
         self.by_word = '"end_of_word_suffix":"</w>"' in state and PIECES.replace("\\", "\\\\") in state and '"Lowercase"' in state
-        self.cut = regex.compile(PIECES).findall
-        self.cut_ascii = re.compile(PIECES.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9"), re.ASCII).findall
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in printable]
         self.as_text = {b: chr(256 + i) for i, b in enumerate(others)}
-        self.words, self.pieces = Memory(), Memory()
+        self.memory = Memory()
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def piece(self, piece: str) -> bytes:
-        known = self.pieces
-        ids = known.young.get(piece)
-        if ids is None:
-            ids = known.old.get(piece)
+    def piece(self, piece: bytes) -> bytes:
+        shown = piece.decode() if piece.isascii() else piece.decode("latin-1").translate(self.as_text)
+        ids = [token.id for token in self.model.tokenize(shown)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def known(self, pieces: list[bytes], odd: list[bool]) -> list[bytes]:
+        """The ids of each piece, or of each odd word, from the memory or the library."""
+        self.memory.turn(len(pieces))
+        young, old = self.memory.young, self.memory.old
+        out = []
+        for raw, is_word in zip(pieces, odd, strict=True):
+            ids = young.get(raw)
             if ids is None:
-                shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.as_text)
-                found = [token.id for token in self.model.tokenize(shown)]
-                ids = struct.pack(f"<{len(found)}I", *found)
-            known.young[piece] = ids
-        return ids
-
-    def word(self, raw: bytes) -> bytes:
-        if raw.isalpha():  # ASCII letters only: one piece
-            return self.piece(raw.lower().decode())
-        word = raw.decode()
-        if word.isascii():
-            if word.isprintable() and "<|" not in word:
-                return b"".join(map(self.piece, self.cut_ascii(word.lower())))
-            return self.whole(word)
-        low = "".join(c.lower() for c in word)
-        plain = len(low) == len(word) and _PLAIN.fullmatch(word) and unicodedata.is_normalized("NFC", word)
-        return b"".join(map(self.piece, self.cut(low))) if plain and "<|" not in word else self.whole(word)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
+                ids = old.get(raw)
+                if ids is None:
+                    ids = self.whole(raw.decode()) if is_word else self.piece(raw)
+                young[raw] = ids
+            out.append(ids)
+        return out
+
+    def encode(self, column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a column, each closed by an end id, one behind the other, and how many each text has.
+
+        Each distinct piece is looked up once; its ids are then laid out wherever it stands.
+        """
         if not self.by_word:
-            return [self.whole(text) for text in texts]
-        split = [text.encode().split() for text in texts]
-        known = self.words
-        fresh = set().union(*split).difference(known.young)
-        if len(known.young) + len(fresh) > known.kept:
-            known.turn(len(fresh))
-            fresh = set().union(*split)
-        self.pieces.turn(len(fresh))
-        old, young = known.old, known.young
-        for word in fresh:
-            young[word] = old.get(word) or self.word(word)
-        return [b"".join(map(young.__getitem__, words)) for words in split]
+            rows = [np.frombuffer(self.whole(text), "<u4") for text in column.fill_null("").to_pylist()]
+            last = np.array([end], np.uint32)
+            return np.concatenate([x for row in rows for x in (row, last)] or [last[:0]]), np.array([len(row) + 1 for row in rows], np.int64)
+        data, offsets = texts(column)
+        pieces, odd, bounds = cut_pieces(data, offsets)
+        each = pieces.dictionary_encode()
+        index = each.indices.to_numpy().astype(np.int64)
+        new = np.flatnonzero(np.diff(np.maximum.accumulate(index), prepend=-1)) if len(index) else index
+        ids = [*self.known(each.dictionary.to_pylist(), odd[new].tolist()), struct.pack("<I", end)]
+        size = np.array([len(x) for x in ids], np.int64) >> 2
+        table, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+        piece = np.insert(index, bounds[1:], len(ids) - 1)
+        long = size[piece]
+        behind = np.cumsum(long)
+        total = int(behind[-1]) if len(behind) else 0
+        flat = table[np.repeat(first[piece] - behind + long, long) + np.arange(total)]
+        closing = behind[bounds[1:] + np.arange(len(bounds) - 1)]
+        return flat, np.diff(closing, prepend=0)
 
     def forget(self) -> None:
         """Gives back the memory of words, at the end of a partition: a worker lives on and serves other stages."""
-        self.words.forget()
-        self.pieces.forget()
+        self.memory.forget()
         pa.default_memory_pool().release_unused()
 
 
@@ -207,12 +240,12 @@ def write_tokens(docs: DataFrame, path: str, end: int = END_ID) -> DataFrame:
     ordered = slim.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").withColumn("part", F.spark_partition_id())
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, first, last = encoder(path), 0, np.array([end], "<u4").tobytes()
+        code, first = encoder(path), 0
         for batch in batches:
             for part in passes(batch):
-                rows = [ids + last for ids in code.encode(part.column("text").fill_null("").to_pylist())]
-                starts = np.cumsum([0] + [len(row) // 4 for row in rows])
-                codes = pack(np.frombuffer(b"".join(rows), "<u4"))
+                ids, sizes = code.encode(part.column("text"), end)
+                starts = np.concatenate([[0], np.cumsum(sizes)])
+                codes = pack(ids)
                 values = [part.column("part")[0].as_py(), first, int(starts[-1]), part.column("doc_id").to_pylist(), starts[:-1].astype("<u8").tobytes(), *map(list, codes)]
                 first += int(starts[-1])
                 yield pa.RecordBatch.from_pydict({name: [value] for name, value in zip(names, values, strict=True)}, schema=schema)

@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -23,10 +24,15 @@ def test_words_encode_as_the_library_does():
     coder = tokens.Encoder(tokens.vocabulary())
     assert coder.by_word
     texts = [" ".join(ODD_WORDS), *ODD_WORDS, "", "  a \n b\t"]
-    assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)] == [library(t) for t in texts]
+    for kept in (tokens.KEPT, 3):
+        coder.memory.kept = kept
+        for part in (texts, texts[::-1], [], [None, "", None]):
+            ids, sizes = coder.encode(pa.array(part, pa.string()), 7)
+            assert ids.tolist() == [i for t in part for i in [*library(t), 7]] and sizes.tolist() == [len(library(t)) + 1 for t in part]
     whole = tokens.Encoder(tokens.vocabulary("byte_bpe_50k.json"))
     assert not whole.by_word
-    assert np.frombuffer(whole.encode(["a b"])[0], "<u4").tolist() == Tokenizer.from_file(tokens.vocabulary("byte_bpe_50k.json")).encode("a b").ids
+    ids, sizes = whole.encode(pa.array(["a b", None]), 9)
+    assert ids.tolist() == [*Tokenizer.from_file(tokens.vocabulary("byte_bpe_50k.json")).encode("a b").ids, 9, 9] and sizes.tolist() == [len(ids) - 1, 1]
 
 
 @pytest.mark.parametrize("high", [1, 255, 256, 257, 65536, 1 << 20, 1 << 32])
@@ -171,3 +177,12 @@ def test_many_patterns_span_words():
     texts = ["", "a", "abc", "aXc7", "zzabbbXc12yy", "axxbxxc", "x", "qqx", "a" * 200 + "bXc10"]
     got = urls.run(urls.compile_globs([p.encode() for p in patterns]), [t.encode() for t in texts])
     assert got.tolist() == [[fnmatch.fnmatchcase(t, p) for p in patterns] for t in texts]
+
+
+def test_any_text_encodes_as_the_library_does():
+    random = np.random.default_rng(3)
+    signs = [chr(c) for c in [*range(1, 0x250), 0x300, 0x301, 0x3A3, 0x4E00, 0x1F600, 0x2019, 0xA0, 0x2028]] + list("abcXYZ0123456789.,!'<|>&# \n") * 6
+    samples = ["".join(random.choice(signs, int(random.integers(0, 60)))) for _ in range(2000)] + ["it's a'll 'd !'s <|endoftext|> x<|startoftext|>y O'RE"]
+    ids, sizes = tokens.encoder(tokens.vocabulary()).encode(pa.array(samples), 2)
+    ends = np.cumsum(sizes)
+    assert [ids[a:b].tolist() for a, b in zip(ends - sizes, ends, strict=True)] == [library(t) + [2] for t in samples]
