@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from galecast.functions.coerce import na_to_null, once, run_in, strict_double
 from galecast.model import RECORD_TYPE, RUN_PATTERN, WEATHER_TYPE
-from galecast.operators.batches import envelope
 from galecast.operators.ordering import keep_first
+from galecast.sources.ranges import read_array_records, read_csv_records
 
 CITY_COLUMNS = ("city", "lat", "lng", "admin_name", "population")
 
@@ -81,8 +81,9 @@ def read_raw_cities(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_cities(spark: SparkSession, path: str) -> DataFrame:
-    """The used columns of a city list, found by name, with run and source order."""
-    return _with_ordinal(read_raw_cities(spark, path).select(*CITY_COLUMNS))
+    """The used columns of a city list, found by name, with run and source order; a large file is read in several tasks."""
+    columns = read_raw_cities(spark, path).columns
+    return read_csv_records(spark, path, columns).select(*CITY_COLUMNS, "run_ts", "source_split", "source_row")
 
 
 def city_reference(cities: DataFrame) -> DataFrame:
@@ -112,16 +113,14 @@ def parse_records(records: DataFrame) -> DataFrame:
 def read_forecasts(spark: SparkSession, path: str, whole_document: bool = False) -> DataFrame:
     """Forecast records with an explicit schema and their text.
 
-    ``whole_document`` reads files that hold one JSON array each; such a file cannot be split, so
-    new runs are written one record per line.
+    ``whole_document`` reads files that hold one JSON array each; new runs are written one record per line. Files of both
+    forms are read in several tasks.
     """
-    lines = _with_ordinal(spark.read.text(path, wholetext=whole_document))
     if whole_document:
-        listed = F.coalesce(envelope(F.col("value")), F.array("value"))
-        rest = [c for c in lines.columns if c not in ("value", "source_row")]
-        lines = lines.select(*rest, F.posexplode(listed).alias("source_row", "value"))
-        lines = lines.withColumn("source_row", F.col("source_row").cast("bigint"))
-    return parse_records(lines.withColumnRenamed("value", "text").where("trim(text) <> ''"))
+        records = read_array_records(spark, path)
+    else:
+        records = _with_ordinal(spark.read.text(path)).withColumnRenamed("value", "text")
+    return parse_records(records.where("trim(text) <> ''"))
 
 
 def read_table(spark: SparkSession, path: str, schema: str, run: str | None = None) -> DataFrame:
