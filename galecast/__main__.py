@@ -68,6 +68,9 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--whole-document", action="store_true", help="Bronze holds one JSON array per file")
     command("gold", "score a run")
     command("load", "load a run into the warehouse")
+    upkeep = command("upkeep", "merge the files of dates that consist of many loads")
+    upkeep.add_argument("--most-loads", type=int, default=warehouse.MOST_LOADS)
+    upkeep.add_argument("--remove", action="store_true", help="also remove folders that no reader needs any more")
 
     def reading(name: str, help_text: str) -> argparse.ArgumentParser:
         sub = command(name, help_text)
@@ -90,20 +93,21 @@ def parser() -> argparse.ArgumentParser:
 
 def answer(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> DataFrame:
     """The result of a reading command."""
-    cities, facts = warehouse.current_cities(spark, lake), warehouse.facts(spark, lake)
+    known = warehouse.contents(spark, lake)
+    cities, current = warehouse.current_cities(spark, lake, known), warehouse.latest_facts(spark, lake, known)
     if args.command == "query":
-        return QUESTIONS[args.question](analytics.latest(facts), cities)
+        return QUESTIONS[args.question](current, cities)
     if args.command == "check":
         return warehouse.constraint_report(spark, lake)
     if args.command == "sql":
         warehouse.register_views(spark, lake)
         return spark.sql(args.text)
-    if facts.isEmpty():
+    if current.isEmpty():
         raise ValueError("the warehouse holds no forecasts")
     if args.panel == "options":
-        return serving.filter_options(facts, cities)
+        return serving.filter_options(current, cities)
     spec = FilterSpec(tuple(args.city), args.days, tuple(args.date), tuple(args.level))
-    return serving.PANELS[args.panel](serving.select_forecasts(facts, cities, spec), cities)
+    return serving.PANELS[args.panel](serving.select_forecasts(current, cities, spec, version=None), cities)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -126,6 +130,10 @@ def main(argv: list[str] | None = None) -> None:
         print(pipeline.build_gold(spark, lake, args.run))
     elif args.command == "load":
         print(pipeline.load_warehouse(spark, lake, args.run))
+    elif args.command == "upkeep":
+        print(len(warehouse.merge_files(spark, lake, args.most_loads)), "dates merged")
+        if args.remove:
+            print(warehouse.remove_unused(spark, lake), "folders removed")
     elif args.command == "run" and args.pending:
         print(pipeline.run_pending(spark, lake, args.whole_document))
     elif args.command == "run":

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,12 +23,13 @@ from galecast.model import FilterSpec
 from galecast.operators import batches, merge, quality
 from galecast.operators.flatten import explode_arrays, flatten_forecasts
 from galecast.operators.ordering import keep_first, key_position, latest_run_rows, latest_versions
-from galecast.plans import analytics, pipeline, serving
+from galecast.plans import analytics, current, pipeline, serving, warehouse
 from galecast.sources.driver_tables import (
     VERSION,
     batched_customers,
     cities,
     cities_with_region,
+    forecast_arrays,
     forecast_documents,
     forecast_keys,
     forecasts,
@@ -36,6 +38,8 @@ from galecast.sources.driver_tables import (
     with_prop_k,
 )
 from galecast.sources.files import parse_records
+from galecast.sources.ranges import read_array_records
+from galecast.sources.scratch import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,6 +94,17 @@ def latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_versions(forecast_keys(spark, sf_dir), KEY, VERSION)
 
 
+def latest_version_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest versions as a stored table keeps them: three loads, each of them older and newer than the others in places."""
+    events, path = forecast_keys(spark, sf_dir), scratch(spark, "latest")
+    schema = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in events.schema)
+    held: dict[date, int] = {}
+    for load, part in enumerate((1, 2, 0)):
+        rows = events.where(F.col("event_id") % 3 == part)
+        held = current.merge_latest(spark, path, schema, rows, held, load, KEY, VERSION)
+    return current.read_days(spark, path, schema, "date_prevision", held.items())
+
+
 def latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the last run; a run is a day of events here."""
     day = F.date_trunc("day", F.col("ts")).cast("timestamp_ntz")
@@ -173,17 +188,26 @@ def json_extract_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", parsed["k"].alias("weather_code"))
 
 
-def documents_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Forecast documents through the reader's parsing, flattening and cleaning, with the verdict on each row."""
-    records = parse_records(forecast_documents(spark, sf_dir))
+def _cleaned(spark: SparkSession, sf_dir: str, records: DataFrame) -> DataFrame:
+    """Forecast records through the reader's parsing, flattening and cleaning, with the verdict on each row."""
     places = cities_with_region(spark, sf_dir).selectExpr("'20240101_000000' AS run_ts", "CAST(id AS STRING) AS city", "region", "latitude AS population")
-    rows = pipeline.clean(flatten_forecasts(records), places)
+    rows = pipeline.clean(flatten_forecasts(parse_records(records)), places)
     return rows.where("text IS NULL").select(
         "city", "date_prevision", "temperature_max", "temperature_min", "precipitation_sum", "wind_gusts_max", "weather_code",
         F.coalesce("region", F.lit("-")).alias("region"), "accepted", F.array_join("violations", ",").alias("violations"),
     )
 
 
+def documents_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record a line."""
+    return _cleaned(spark, sf_dir, forecast_documents(spark, sf_dir))
+
+
+def documents_array_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from files that hold one array each, cut into byte ranges."""
+    return _cleaned(spark, sf_dir, read_array_records(spark, forecast_arrays(spark, sf_dir)))
+
+
 def documents_set_aside(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records without complete days, with their text as received."""
     records = flatten_forecasts(parse_records(forecast_documents(spark, sf_dir)))
@@ -279,7 +303,7 @@ def dq_text_length(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.stage_counts(weather(spark, sf_dir), KEY, "event_id", plausibility.is_plausible())
+    return quality.stage_counts(weather(spark, sf_dir), KEY, ["event_id"], plausibility.is_plausible())
 
 
 def dq_referential(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -351,6 +375,28 @@ def dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.withColumn("region", F.coalesce("region", F.lit("-")))
 
 
+def dim_upsert_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same merge over a dimension stored in parts, of which the second load writes those that change; kept ids are told."""
+    lake = warehouse.Lake(scratch(spark, "villes"))
+    places = cities_with_region(spark, sf_dir).withColumns({c: F.floor(F.col(c) / n).cast("decimal(9,6)") for c, n in (("latitude", 128), ("longitude", 1))})
+    seen = table(spark, sf_dir, "events").select(F.col("user_id").alias("id")).distinct()
+    first = places.where(F.col("region") != "ASIA")
+    second = places.join(seen, "id", "left_semi").withColumns(
+        {"latitude": (F.col("latitude") + 1).cast("decimal(9,6)"), "region": F.when(F.col("latitude") >= 0, F.col("region"))}
+    )
+    known, before = warehouse.Contents({}, {}, {}, 0), None
+    for load, sent in enumerate((first, second), start=1):
+        before = warehouse.current_cities(spark, lake, known)
+        rows = sent.select("id", "city", "latitude", "longitude", "region", F.lit(f"{load}").alias("updated_by"), warehouse.city_part(F.col("city")).alias("part"))
+        parts, last_id = warehouse.merge_cities(spark, lake, rows, known, load, lambda new: key_position(new, "id"))
+        known = known.with_load(load, [], parts)._replace(last_id=last_id)
+    old = before.select("city", F.col("id").alias("old_id"))
+    return warehouse.current_cities(spark, lake, known).join(old, "city", "left").select(
+        "city", *(F.col(c).cast("double").alias(c) for c in ("latitude", "longitude")), F.coalesce("region", F.lit("-")).alias("region"),
+        F.coalesce(F.col("old_id") == F.col("id"), F.lit(False)).alias("kept"),
+    )
+
+
 def fact_insert_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All event types but sign-ups are stored; then the whole feed is sent again."""
     feed = forecast_keys(spark, sf_dir)
@@ -440,12 +486,12 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         q1_max_temp, q2_max_precip, q3_avg_risk, q4_risk_by_day, q5_worst_day, q6_above_average,
-        latest_version, latest_run, risk_subscores, risk_score, weather_categories,
+        latest_version, latest_version_incremental, latest_run, risk_subscores, risk_score, weather_categories,
         risk_level_distribution, plausibility_filter, plausibility_reject, reject_reasons,
-        dedup_first, silver_rows, coerce_types, json_extract_measures, documents_clean, documents_set_aside, flatten_arrays,
+        dedup_first, silver_rows, coerce_types, json_extract_measures, documents_clean, documents_array_split, documents_set_aside, flatten_arrays,
         batch_plan, batch_params, envelope_normalise, batch_validation, dead_letter, positional_join,
         dq_duplicates, dq_unique, dq_report, dq_not_null, dq_text_length, dq_stage_counts,
-        dq_referential, enrich_left_join, unmatched_keys, surrogate_lookup, dim_upsert,
+        dq_referential, enrich_left_join, unmatched_keys, surrogate_lookup, dim_upsert, dim_upsert_parts,
         fact_insert_absent, numeric_cast, run_ts_roundtrip, serving_view, dash_options,
         dash_filter_city, dash_filter_period, dash_filter_combo, dash_kpis, dash_kpi_labels,
         dash_top_city, dash_map, dash_top10, dash_detail,

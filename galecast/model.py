@@ -117,6 +117,9 @@ FACT_SCHEMA = (
     "risk_score int, risk_level string, retrieved_at timestamp_ntz, run_ts string"
 )
 
+# One row for each load or merging of files that ended: the dates and the parts of the dimension it wrote, and the last city id given.
+LEDGER_SCHEMA = "kind string, run_ts string, dates array<date>, parts array<int>, last_id bigint, load int"
+
 # Every daily array is read as text, so that one bad value costs that value and not the document.
 DAILY_TYPE = "struct<time:array<string>," + ",".join(f"{v}:array<string>" for v in DAILY_VARIABLES) + ">"
 WEATHER_TYPE = f"struct<daily:{DAILY_TYPE}>"
@@ -131,8 +134,8 @@ _ROW = (
     + ", source_split string, source_row bigint, day_index int, retrieved_at timestamp_ntz, "
     "region string, population double, "
 )
-# ``text`` holds a record that was set aside, as received; its row has no values.
-SILVER_SCHEMA = _ROW + "violations array<string>, accepted boolean, text string, run_ts string"
+# ``text`` holds a record that was set aside, as received; its row has no values. ``copies`` counts the rows of a row's key.
+SILVER_SCHEMA = _ROW + "violations array<string>, accepted boolean, text string, copies bigint, run_ts string"
 GOLD_SCHEMA = _ROW + (
     "temperature_category string, precipitation_category string, wind_category string, "
     "risk_score int, risk_level string, run_ts string"

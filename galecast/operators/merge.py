@@ -33,12 +33,13 @@ def upsert_cities(
     key: str = "city",
     attributes: Sequence[str] = CITY_ATTRIBUTES,
     version: str | None = None,
+    last_id: int | None = None,
 ) -> DataFrame:
     """The dimension after ``incoming`` (one row per key): id, key, attributes (and version).
 
     A known key keeps its id and takes every incoming attribute, NULL included; with a ``version``
-    column, only if the incoming version is not older. New keys get ids after the largest known one,
-    in the order in which ``number`` positions them (it adds a 0-based ``position`` column).
+    column, only if the incoming version is not older. New keys get ids after the largest known one (or after
+    ``last_id``, where ``existing`` is a part), in the order in which ``number`` positions them (it adds a 0-based ``position``).
     """
     columns = [*attributes, *([version] if version else [])]
     new = incoming.join(existing.select(key), key, "left_anti")
@@ -49,13 +50,22 @@ def upsert_cities(
     kept = existing.join(sent, key, "left").select(
         "id", key, *(F.when(newer, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in columns)
     )
-    last_id = existing.agg(F.coalesce(F.max("id"), F.lit(0).cast("bigint"))).scalar()
+    after = existing.agg(F.coalesce(F.max("id"), F.lit(0).cast("bigint"))).scalar() if last_id is None else F.lit(last_id)
     added = number(new).select(
-        (last_id + F.col("position") + 1).cast("bigint").alias("id"), key, *columns
+        (after + F.col("position") + 1).cast("bigint").alias("id"), key, *columns
     )
     return kept.unionByName(added)
 
 
+def changing(existing: DataFrame, incoming: DataFrame, key: str, attributes: Sequence[str], version: str) -> DataFrame:
+    """The incoming rows that an upsert does not leave without effect: new keys, newer versions, and other attributes of the same."""
+    columns = [*attributes, version]
+    known = existing.select(key, F.struct(*columns).alias("_old"))
+    older = F.col(f"_old.{version}") > F.col(version)
+    same = F.struct(*columns).eqNullSafe(F.col("_old"))
+    return incoming.join(known, key, "left").where(F.col("_old").isNull() | ~(F.coalesce(older, F.lit(False)) | same)).drop("_old")
+
+
 def absent_facts(
     batch: DataFrame, stored: DataFrame, keys: Sequence[str], ordinal: Sequence[str]
 ) -> DataFrame:

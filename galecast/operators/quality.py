@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from galecast.operators.ordering import keep_first_counted
+
 
 def _as_rows(totals: DataFrame, label: str = "metric", value: str = "n_rows") -> DataFrame:
     return totals.unpivot([], list(totals.columns), label, value)
@@ -79,21 +81,17 @@ def coverage_report(
     return _as_rows(totals)
 
 
-def stage_counts(
-    df: DataFrame, keys: Sequence[str], ordinal: str, accepted: Column
-) -> DataFrame:
-    """Rows before and after keep-first, then accepted and rejected, from one grouping by key.
-
-    ``min_by`` finds the verdict of the row keep-first would keep, without moving the row.
-    """
-    per_key = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.min_by(accepted, F.col(ordinal)).alias("_accepted"),
-    )
-    totals = per_key.agg(
-        F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias("flattened"),
+def stage_totals(first: DataFrame) -> DataFrame:
+    """One row: rows before and after keep-first, accepted and rejected, from kept rows with their ``copies`` and verdict."""
+    return first.agg(
+        F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint").alias("flattened"),
         F.count(F.lit(1)).alias("deduplicated"),
-        F.count_if("_accepted").alias("accepted"),
-        F.count_if(~F.col("_accepted")).alias("rejected"),
+        F.count_if("accepted").alias("accepted"),
+        F.count_if(~F.col("accepted")).alias("rejected"),
     )
-    return _as_rows(totals, "stage", "n_rows")
+
+
+def stage_counts(df: DataFrame, keys: Sequence[str], ordinal: Sequence[str], accepted: Column) -> DataFrame:
+    """The same as rows, from rows that are not reduced yet."""
+    slim = df.select(*keys, *ordinal, accepted.alias("accepted"))
+    return _as_rows(stage_totals(keep_first_counted(slim, keys, ordinal)), "stage", "n_rows")

@@ -362,6 +362,19 @@ SELECT COALESCE(e.id, (SELECT MAX(id) FROM existing) + a.n) AS id, COALESCE(e.ci
        CASE WHEN i.city IS NOT NULL THEN i.longitude ELSE e.longitude END AS longitude,
        COALESCE(CASE WHEN i.city IS NOT NULL THEN i.region ELSE e.region END, '-') AS region
 FROM existing e FULL JOIN incoming i ON i.city = e.city LEFT JOIN added a ON a.city = i.city"""),
+    "dim_upsert_parts": _with(f"""{CITIES},
+placed AS (SELECT id, city, floor(latitude / 128) AS latitude, floor(longitude) AS longitude, region FROM villes),
+existing AS (SELECT * FROM placed WHERE region <> 'ASIA'),
+incoming AS (
+  SELECT city, latitude + 1 AS latitude, longitude, CASE WHEN latitude >= 0 THEN region END AS region
+  FROM placed WHERE id IN (SELECT user_id FROM events)
+)""", """
+SELECT COALESCE(e.city, i.city) AS city,
+       CASE WHEN i.city IS NOT NULL THEN i.latitude ELSE e.latitude END AS latitude,
+       CASE WHEN i.city IS NOT NULL THEN i.longitude ELSE e.longitude END AS longitude,
+       COALESCE(CASE WHEN i.city IS NOT NULL THEN i.region ELSE e.region END, '-') AS region,
+       e.city IS NOT NULL AS kept
+FROM existing e FULL JOIN incoming i ON i.city = e.city"""),
     "fact_insert_absent": _with(WX, """
 SELECT event_id, ville_id, date_prevision, retrieved_at FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY ville_id, date_prevision, retrieved_at ORDER BY event_id) AS place FROM wx) n
@@ -417,3 +430,6 @@ GROUP BY city ORDER BY risk_score DESC, city LIMIT 10"""),
 SELECT city, date_prevision, temperature_max, temperature_min, precipitation_sum, wind_gusts_max,
        risk_score, risk_level FROM latest JOIN villes ON id = ville_id"""),
 }
+# The same answers by other ways: an array document cut into ranges, a table kept current load by load.
+ORACLE["documents_array_split"] = ORACLE["documents_clean"]
+ORACLE["latest_version_incremental"] = ORACLE["latest_version"]

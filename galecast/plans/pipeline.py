@@ -19,7 +19,7 @@ from galecast.model import GOLD_SCHEMA, ORDINAL, SILVER_SCHEMA, column_names
 from galecast.operators import batches, quality
 from galecast.operators.flatten import flatten_forecasts
 from galecast.operators.merge import enrich, unmatched_keys
-from galecast.operators.ordering import keep_first, require_rows, split_position
+from galecast.operators.ordering import keep_first_counted, require_rows, split_position
 from galecast.plans import warehouse
 from galecast.plans.warehouse import Lake, commit, committed_run, counted, ended, replace_run
 from galecast.sources.files import (
@@ -107,12 +107,12 @@ def clean(rows: DataFrame, reference: DataFrame) -> DataFrame:
     """Silver rows from flattened forecasts and the city reference.
 
     Keeps the first row of each (run, city, date), then judges it: a first row that is implausible
-    does not make way for a later duplicate. A record that was set aside is a key of its own. City
+    does not make way for a later duplicate; ``copies`` counts the rows of a key. A record that was set aside is a key of its own. City
     attributes are joined last, to the fewest rows; nothing before depends on them.
     """
     record = F.when(F.col("text").isNotNull(), F.concat_ws("#", "source_split", "source_row"))
     keys = ["run_ts", "city", "date_prevision", "_record"]
-    first = keep_first(rows.withColumn("_record", record), keys, ORDINAL).drop("_record")
+    first = keep_first_counted(rows.withColumn("_record", record), keys, ORDINAL).drop("_record")
     broken = F.when(F.col("text").isNull(), violations()).otherwise(F.array(F.lit("incomplete_record")))
     judged = first.withColumn("retrieved_at", run_time(F.col("run_ts"))).withColumn("violations", broken)
     return enrich(judged.withColumn("accepted", F.size("violations") == 0), reference, ["run_ts", "city"])
@@ -123,28 +123,20 @@ def build_silver(
 ) -> dict[str, int]:
     """Silver for one run (the latest by default): accepted and rejected rows and records set aside.
 
-    One job reads, cleans, counts and writes; a repeated run replaces all three. A run counts as
-    cleaned only once it is committed, and one without an accepted row is recorded as failed, so that
-    no later stage picks it. The counters are kept while rows are written; those of ``flattened`` and
-    ``duplicates`` lie below a shuffle and may be too high where an executor was lost.
+    One job reads, cleans and writes; a repeated run replaces all three. The counts are taken from what
+    was written, where each kept row knows how many rows it stands for, so they are exact whatever an executor's loss
+    made Spark compute twice. A run counts as cleaned only once it is committed, and one without an
+    accepted row is recorded as failed, so that no later stage picks it.
     """
     run_ts = run_ts or latest_common_run(spark, lake.bronze_cities, lake.bronze_forecasts)
     cities = read_cities(spark, f"{lake.bronze_cities}/*{run_ts}*")
     records = read_forecasts(spark, f"{lake.bronze_forecasts}/*{run_ts}*", whole_document)
-    whole = F.col("text").isNull()
-    rows, rows_seen = counted(flatten_forecasts(records), flattened=F.count_if(whole))
-    silver, judged_seen = counted(
-        clean(rows, city_reference(cities)).select(*column_names(SILVER_SCHEMA)),
-        broken=F.count_if(~whole),
-        accepted=F.count_if("accepted"),
-        rejected=F.count_if(whole & ~F.col("accepted")),
-    )
+    silver = clean(flatten_forecasts(records), city_reference(cities)).select(*column_names(SILVER_SCHEMA))
     replace_run(silver, lake.silver)
-    counts = {**rows_seen.get, **judged_seen.get}
+    counts = silver_counts(spark, lake, run_ts)
     if counts["accepted"] == 0:
         commit(spark, lake, "silver", run_ts, counts, reason="the Silver table is empty")
         raise ValueError("the Silver table is empty")
-    counts["duplicates"] = counts["flattened"] - counts["accepted"] - counts["rejected"]
     for name in ("broken", "duplicates", "rejected"):
         if counts[name]:
             log.warning("run %s: %d %s", run_ts, counts[name], name)
@@ -152,6 +144,14 @@ def build_silver(
     return counts
 
 
+def silver_counts(spark: SparkSession, lake: Lake, run_ts: str) -> dict[str, int]:
+    """Rows flattened, accepted, rejected and repeated, and records set aside, of a run as it is stored."""
+    stored = read_table(spark, lake.silver, SILVER_SCHEMA, run_ts)
+    counts = quality.stage_totals(stored.where("text IS NULL")).first().asDict()
+    counts["duplicates"] = counts["flattened"] - counts.pop("deduplicated")
+    return {"broken": stored.where("text IS NOT NULL").count(), **counts}
+
+
 def set_aside(spark: SparkSession, lake: Lake, run_ts: str) -> DataFrame:
     """The records of a run without complete days, with their text as received."""
     stored = read_table(spark, lake.silver, SILVER_SCHEMA, run_ts).where("text IS NOT NULL")
@@ -160,7 +160,7 @@ def set_aside(spark: SparkSession, lake: Lake, run_ts: str) -> DataFrame:
 
 def read_silver(spark: SparkSession, lake: Lake, run_ts: str) -> DataFrame:
     """The accepted rows of a run."""
-    return read_table(spark, lake.silver, SILVER_SCHEMA, run_ts).where("accepted").drop("accepted", "violations", "text")
+    return read_table(spark, lake.silver, SILVER_SCHEMA, run_ts).where("accepted").drop("accepted", "violations", "text", "copies")
 
 
 def silver_report(spark: SparkSession, lake: Lake, run_ts: str) -> DataFrame:
@@ -198,19 +198,25 @@ def build_gold(spark: SparkSession, lake: Lake, run_ts: str | None = None) -> in
 
 
 def load_warehouse(spark: SparkSession, lake: Lake, run_ts: str | None = None) -> dict[str, int]:
-    """Upsert the cities, then insert the forecasts that are not stored yet.
+    """Upsert the cities, insert the forecasts that are not stored yet, and bring their latest versions up to date.
 
     Every Gold row is inserted, stored already, or rejected with its reason; a city that cannot be
-    found is an error.
+    found is an error. What the load wrote shows with its entry in the ledger, the last step; a load that fails shows
+    nothing, and its repeat writes everything anew.
     """
     run_ts = committed_run(spark, lake, "gold", run_ts)
     gold = read_table(spark, lake.gold, GOLD_SCHEMA, run_ts)
+    load, known = warehouse.begin(spark, lake), warehouse.contents(spark, lake)
     rejected = warehouse.write_rejects(lake, gold, run_ts)
-    cities = warehouse.load_cities(spark, lake, gold)
-    inserted = warehouse.load_facts(spark, lake, gold, cities, run_ts)
+    parts, last_id = warehouse.load_cities(spark, lake, gold, known, load)
+    cities = warehouse.current_cities(spark, lake, known.with_load(load, [], parts))
+    dates = warehouse.load_facts(spark, lake, gold, cities, run_ts, known, load)
+    inserted = warehouse.count_facts(spark, lake, load, dates)
     counts = {"inserted": inserted, "rejected": rejected, "stored_before": gold.count() - inserted - rejected}
-    if counts["stored_before"] < 0 or warehouse.missing_facts(spark, lake, gold, cities, run_ts):
+    if counts["stored_before"] < 0 or warehouse.missing_facts(spark, lake, gold, cities, run_ts, known.with_load(load, dates, parts)):
         raise ValueError(f"run {run_ts}: forecasts were lost on the way to the warehouse")
+    warehouse.refresh_latest(spark, lake, known, load, dates)
+    warehouse.finish(spark, lake, load, "load", run_ts, dates, parts, last_id)
     commit(spark, lake, "load", run_ts, counts)
     log.info("run %s: %d forecasts inserted, %d rejected", run_ts, inserted, rejected)
     return counts

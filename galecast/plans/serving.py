@@ -80,19 +80,20 @@ def select_forecasts(
     fact: DataFrame,
     cities: DataFrame,
     spec: FilterSpec = FilterSpec(),
-    version: Sequence[str] = ("retrieved_at",),
+    version: Sequence[str] | None = ("retrieved_at",),
     names: DataFrame | None = None,
 ) -> DataFrame:
     """The latest forecasts that pass the filters: cities, then period, then dates, then levels.
 
     City and date are the keys of a version, so these filters run below the version choice and
-    reach the scan. The level may differ between versions and is tested last.
+    reach the scan. The level may differ between versions and is tested last. Without ``version`` the rows are
+    the latest versions already.
     """
     chosen = chosen_cities(fact, cities, names if names is not None else spec.cities)
     chosen = within_period(chosen, spec.period_days, spec.anchor_date)
     if spec.dates:
         chosen = chosen.where(F.col(DAY).isin(*(F.lit(d).cast("date") for d in spec.dates)))
-    current = latest(chosen, version)
+    current = latest(chosen, version) if version else chosen
     if spec.levels:
         current = current.where(F.col("risk_level").isin(*spec.levels))
     return current
@@ -205,10 +206,10 @@ PANELS = {
 
 @contextmanager
 def dashboard(
-    fact: DataFrame, cities: DataFrame, spec: FilterSpec = FilterSpec()
+    fact: DataFrame, cities: DataFrame, spec: FilterSpec = FilterSpec(), version: Sequence[str] | None = ("retrieved_at",)
 ) -> Iterator[dict[str, DataFrame]]:
     """All panels of one selection, which is chosen once and kept while the panels are read."""
-    current = select_forecasts(fact, cities, spec).persist()
+    current = select_forecasts(fact, cities, spec, version).persist()
     try:
         yield {name: panel(current, cities) for name, panel in PANELS.items()}
     finally:

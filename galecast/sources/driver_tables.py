@@ -7,7 +7,7 @@ multipliers that are exact in binary, so that values fall exactly on the thresho
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from galecast.functions.coerce import once
@@ -15,6 +15,7 @@ from galecast.functions.plausibility import plausible
 from galecast.functions.risk import with_risk
 from galecast.operators.batches import with_batch
 from galecast.operators.ordering import key_position
+from galecast.sources.scratch import scratch
 
 KEYS = ("event_id", "user_id AS ville_id", "CAST(ts AS DATE) AS date_prevision", "ts AS retrieved_at")
 VERSION = ("retrieved_at", "event_id")
@@ -60,6 +61,8 @@ def forecast_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id", "CAST(date_trunc('week', ts) AS DATE) AS week", "event_id", "CAST(CAST(ts AS DATE) AS STRING) AS day", "k"
     )
     days = F.array_sort(F.collect_list(F.struct("event_id", "day", "k")))
+    # Texts are many times larger than the rows they are made of, so the number of tasks must not follow the bytes of this shuffle.
+    events = events.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "user_id", "week")
     weeks = events.groupBy("user_id", "week").agg(days.alias("d"))
     series = {
         "temperature_2m_max": "x.k - 10", "temperature_2m_min": "x.k - 22", "precipitation_sum": "x.k - 1",
@@ -78,6 +81,29 @@ def forecast_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def forecast_arrays(spark: SparkSession, sf_dir: str) -> str:
+    """The whole records as files that hold one array each, as the API's answers are kept; the folder they lie in.
+
+    Every record has a text with brackets, quotes and backslashes, which a cut must not take for structure.
+    """
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    records = forecast_documents(spark, sf_dir).where("source_row % 11 <> 0")
+    noted = records.select(
+        F.pmod(F.hash("source_row"), F.lit(files)).alias("file"),
+        F.concat(F.lit('{"note":"a \\"}],[{ \\\\",'), F.expr("substring(text, 2)")).alias("value"),
+        "source_row",
+        "source_split",
+    )
+    inside = Window.partitionBy("file").orderBy("source_row", "source_split")
+    lines = noted.withColumn("at", F.row_number().over(inside))
+    lines = lines.select("file", F.when(F.col("at") > 1, F.concat(F.lit(","), "value")).otherwise(F.col("value")).alias("value"), F.col("at").cast("long"))
+    ends = spark.range(files).select(F.col("id").cast("int").alias("file"), F.explode(F.array(F.struct(F.lit("[").alias("value"), F.lit(0).cast("long").alias("at")), F.struct(F.lit("]"), F.lit(1 << 62)))).alias("end"))
+    every = lines.unionByName(ends.select("file", "end.value", "end.at")).repartition(files, "file").sortWithinPartitions("file", "at")
+    path = f"{scratch(spark, 'meteo')}/run_ts=20240101_000000"
+    every.select("file", "value").write.partitionBy("file").text(path)
+    return path
+
+
 def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scored fact: plausible versions with score and level."""
     return with_risk(plausible(weather(spark, sf_dir)))

@@ -123,6 +123,19 @@ def read_forecasts(spark: SparkSession, path: str, whole_document: bool = False)
     return parse_records(records.where("trim(text) <> ''"))
 
 
+def holds(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
+
+
+def read_folders(spark: SparkSession, base: str, schema: str, folders: list[str]) -> DataFrame:
+    """Some folders of a partitioned Parquet table, or an empty relation of that schema where there are none."""
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", base).parquet(*folders)
+
+
 def read_table(spark: SparkSession, path: str, schema: str, run: str | None = None) -> DataFrame:
     """A Parquet table or one run of it, or an empty relation of that schema where there is none.
 

@@ -11,6 +11,7 @@ from galecast.model import DAILY_VARIABLES, GOLD_SCHEMA, FilterSpec
 from galecast.operators import batches
 from galecast.operators.flatten import flatten_forecasts
 from galecast.plans import analytics, pipeline, serving, warehouse
+from galecast.plans.current import write_days, written_days
 from galecast.plans.warehouse import Lake
 from galecast.sources.files import city_reference, latest_common_run, read_cities, read_forecasts
 
@@ -366,9 +367,12 @@ def test_an_unknown_city_is_an_error(spark, tmp_path):
     pipeline.build_silver(spark, lake)
     pipeline.build_gold(spark, lake)
     gold = spark.read.schema(GOLD_SCHEMA).parquet(lake.gold)
-    known = warehouse.load_cities(spark, lake, gold.where("city = 'A'"))
+    known = warehouse.contents(spark, lake)
+    parts, last_id = warehouse.load_cities(spark, lake, gold.where("city = 'A'"), known, 1)
+    assert (len(parts), last_id) == (1, 1)
+    cities = warehouse.current_cities(spark, lake, known.with_load(1, [], parts))
     with pytest.raises(Exception, match="no such city: Z"):
-        warehouse.load_facts(spark, lake, gold, known, RUN)
+        warehouse.load_facts(spark, lake, gold, cities, RUN, known, 1)
 
 
 def test_run_time_knows_no_time_zone(spark):
@@ -395,8 +399,8 @@ def test_only_the_run_and_the_dates_asked_for_are_read(spark, tmp_path):
     chosen = serving.select_forecasts(warehouse.facts(spark, lake), warehouse.current_cities(spark, lake), spec)
     text = chosen._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in text and "date_prevision" in text.split("PartitionFilters: [")[1].split("]")[0]
-    files = {f.rsplit("/", 2)[1] for f in warehouse.facts(spark, lake).inputFiles()}
-    assert files == {f"date_prevision={d}" for d in DAYS}
+    files = {tuple(f.rsplit("/", 3)[1:3]) for f in warehouse.facts(spark, lake).inputFiles()}
+    assert files == {(f"date_prevision={d}", f"load={n}") for d in DAYS for n in (1, 2)}
 
 
 def test_constraints_of_the_stored_tables(spark, tmp_path):
@@ -405,9 +409,12 @@ def test_constraints_of_the_stored_tables(spark, tmp_path):
     assert warehouse.constraint_report(spark, lake).isEmpty()
     facts, cities = warehouse.facts(spark, lake), warehouse.current_cities(spark, lake)
     bad = facts.limit(1).unionByName(facts.limit(1).withColumn("ville_id", F.lit(99).cast("bigint")).withColumn("risk_level", F.lit("x" * 21)))
-    bad.unionByName(facts.limit(1).withColumn("retrieved_at", F.lit(None).cast("timestamp_ntz"))).write.mode("append").partitionBy("date_prevision").parquet(lake.facts)
+    bad = bad.unionByName(facts.limit(1).withColumn("retrieved_at", F.lit(None).cast("timestamp_ntz")))
+    write_days(bad, lake.facts, "date_prevision", "ville_id", 9)
     more = cities.unionByName(cities.limit(1)).unionByName(cities.limit(1).withColumn("city", F.lit("y" * 151)).withColumn("id", F.lit(7).cast("bigint")))
-    more.withColumn("snapshot", F.lit(9)).write.partitionBy("snapshot").mode("append").parquet(lake.cities)
+    more.withColumns({"part": F.lit(99), "load": F.lit(9)}).write.partitionBy("part", "load").mode("append").parquet(lake.cities)
+    days = written_days(spark, lake.facts, "date_prevision", [datetime.date.fromisoformat(d) for d in DAYS], 9)
+    warehouse.finish(spark, lake, 9, "load", RUN, days, [99], 7)
     found = {(r["check"], r["column"]) for r in warehouse.constraint_report(spark, lake).collect()}
     assert found == {
         ("unique", "villes.id"), ("unique", "villes.city"), ("unique", "previsions.ville_id+date_prevision+retrieved_at"),
