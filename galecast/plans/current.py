@@ -31,9 +31,9 @@ def read_days(spark: SparkSession, path: str, schema: str, day: str, loads: Iter
 
 
 def write_days(rows: DataFrame, path: str, day: str, key: str, load: int) -> None:
-    """Rows under their day and load, by key, replacing what an attempt of the same load left there."""
+    """Rows under their day and load, by key. Every attempt of a load has a number of its own, so nothing lies there yet."""
     spread = rows.withColumn("load", F.lit(load)).repartition(day, F.pmod(F.hash(key), F.lit(FILES_PER_DAY))).sortWithinPartitions(day, key)
-    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day, "load").parquet(path)
+    spread.write.mode("append").partitionBy(day, "load").parquet(path)
 
 
 def written_days(spark: SparkSession, path: str, day: str, days: Iterable[date], load: int) -> list[date]:

@@ -39,7 +39,7 @@ from galecast.plans.current import merge_latest, read_days, write_days, written_
 from galecast.sources.files import names_in, read_folders, read_table
 
 # Parts of the city dimension; a load reads and writes those its cities fall into.
-CITY_PARTS = 64
+CITY_PARTS = 16
 # Loads a date may consist of before its files are merged.
 MOST_LOADS = 7
 DAY = "date_prevision"
@@ -233,7 +233,7 @@ def merge_cities(
     here = incoming.where(F.col("part").isin(touched))
     merged = upsert_cities(existing, here, number, version="updated_by", last_id=known.last_id)
     placed = merged.withColumns({"part": city_part(F.col("city")), "load": F.lit(load)}).repartition("part")
-    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part", "load").parquet(lake.cities)
+    placed.write.mode("append").partitionBy("part", "load").parquet(lake.cities)
     written = _cities(spark, lake, dict.fromkeys(touched, load)).agg(F.max("id")).first()[0]
     return touched, max(known.last_id, written)
 

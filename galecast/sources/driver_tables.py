@@ -97,7 +97,7 @@ def forecast_arrays(spark: SparkSession, sf_dir: str) -> str:
     inside = Window.partitionBy("file").orderBy("source_row", "source_split")
     lines = noted.withColumn("at", F.row_number().over(inside))
     lines = lines.select("file", F.when(F.col("at") > 1, F.concat(F.lit(","), "value")).otherwise(F.col("value")).alias("value"), F.col("at").cast("long"))
-    ends = spark.range(files).select(F.col("id").cast("int").alias("file"), F.explode(F.array(F.struct(F.lit("[").alias("value"), F.lit(0).cast("long").alias("at")), F.struct(F.lit("]"), F.lit(1 << 62)))).alias("end"))
+    ends = spark.range(files).select(F.col("id").cast("int").alias("file"), F.explode(F.array(F.struct(F.lit("[").alias("value"), F.lit(0).cast("long").alias("at")), F.struct(F.lit("]").alias("value"), F.lit(1 << 62).alias("at")))).alias("end"))
     every = lines.unionByName(ends.select("file", "end.value", "end.at")).repartition(files, "file").sortWithinPartitions("file", "at")
     path = f"{scratch(spark, 'meteo')}/run_ts=20240101_000000"
     every.select("file", "value").write.partitionBy("file").text(path)
