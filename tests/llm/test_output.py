@@ -1,6 +1,7 @@
 """Token tables, mixing, sharding, URL rules."""
 
 import fnmatch
+import functools
 import re
 import zlib
 
@@ -15,8 +16,13 @@ from galecast.llm.text import WORD
 ODD_WORDS = "It's we'RE a\u00a0b x\x1cy na\u00efve e\u0301t\u00e9 \u01305 \u03a3\u03a3 <|endoftext|> don't! 3.14 (\u00bd) \u00e4\u00d7\u00f6 \u200b # caf\u00e9s \u1e9e".split(" ")
 
 
+@functools.cache
+def tokenizer_of(path):
+    return Tokenizer.from_file(path)
+
+
 def library(text):
-    tokenizer = Tokenizer.from_file(tokens.vocabulary())
+    tokenizer = tokenizer_of(tokens.vocabulary())
     return tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
