@@ -11,18 +11,9 @@ from pyspark.sql import DataFrame, Row, SparkSession
 
 from galecast.model import LEVELS, FilterSpec
 from galecast.operators.batches import batch_params
-from galecast.plans import analytics, pipeline, serving, warehouse
+from galecast.plans import pipeline, serving, states, warehouse
 from galecast.plans.warehouse import Lake
 
-QUESTIONS = {
-    "q1": analytics.hottest_cities,
-    "q2": analytics.wettest_cities,
-    "q3": analytics.riskiest_cities,
-    "q4": lambda current, cities: analytics.risk_by_day(current),
-    "q5": analytics.worst_day_by_city,
-    "q6": analytics.cities_above_average,
-}
-
 
 def show(names: list[str], rows: Iterable[Row]) -> None:
     """Tab-separated lines, written as they arrive."""
@@ -79,7 +70,7 @@ def parser() -> argparse.ArgumentParser:
         return sub
 
     reading("check", "list what breaks the constraints of the stored tables")
-    reading("query", "answer one of the six questions").add_argument("question", choices=QUESTIONS)
+    reading("query", "answer one of the six questions").add_argument("question", choices=states.QUESTIONS)
     sql = reading("sql", "run SQL over villes and previsions")
     sql.add_argument("text")
     panel = reading("panel", "show a dashboard panel under a selection")
@@ -96,17 +87,19 @@ def answer(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> DataFra
     known = warehouse.contents(spark, lake)
     cities, current = warehouse.current_cities(spark, lake, known), warehouse.latest_facts(spark, lake, known)
     if args.command == "query":
-        return QUESTIONS[args.question](current, cities)
+        return states.QUESTIONS[args.question](warehouse.figures(spark, lake, known), cities)
     if args.command == "check":
         return warehouse.constraint_report(spark, lake)
     if args.command == "sql":
         warehouse.register_views(spark, lake)
         return spark.sql(args.text)
-    if current.isEmpty():
+    if not known.latest:
         raise ValueError("the warehouse holds no forecasts")
     if args.panel == "options":
         return serving.filter_options(current, cities)
     spec = FilterSpec(tuple(args.city), args.days, tuple(args.date), tuple(args.level))
+    if args.panel in states.PANELS:
+        return states.PANELS[args.panel](warehouse.figures(spark, lake, known).select(cities, spec), cities)
     return serving.PANELS[args.panel](serving.select_forecasts(current, cities, spec, version=None), cities)
 
 

@@ -23,7 +23,7 @@ from galecast.model import FilterSpec
 from galecast.operators import batches, merge, quality
 from galecast.operators.flatten import explode_arrays, flatten_forecasts
 from galecast.operators.ordering import keep_first, key_position, latest_run_rows, latest_versions
-from galecast.plans import analytics, current, pipeline, serving, warehouse
+from galecast.plans import analytics, current, pipeline, serving, states, warehouse
 from galecast.sources.driver_tables import (
     VERSION,
     batched_customers,
@@ -482,6 +482,50 @@ def dash_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.detail(_current(spark, sf_dir), cities(spark, sf_dir))
 
 
+# ---- the same from stored states -------------------------------------------------------------
+
+STATE_COLUMNS = ("event_id", *KEY, "retrieved_at", "temperature_max", "precipitation_sum", "risk_score", "risk_level")
+
+
+def _figures(spark: SparkSession, sf_dir: str) -> states.Figures:
+    """Latest versions and their states as three loads leave them, each of them older and newer than the others in places."""
+    rows = forecasts(spark, sf_dir).select(*STATE_COLUMNS)
+    path, schema = scratch(spark, "figures"), ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in rows.schema)
+    held: dict[date, int] = {}
+    known: dict[date, int] = {}
+    for load, part in enumerate((1, 2, 0)):
+        held = current.merge_latest(spark, f"{path}/derniers", schema, rows.where(F.col("event_id") % 3 == part), held, load, KEY, VERSION)
+        months = states.months_of(day for day, at in held.items() if at == load)
+        latest = current.read_days(spark, f"{path}/derniers", schema, KEY[1], [(day, at) for day, at in held.items() if day.replace(day=1) in months])
+        known = states.merge_states(path, latest, months, known, load)
+    by_city, by_day = states.read_states(spark, path, known, states.city_schema("double", "double"))
+    return states.Figures(by_city, by_day, current.read_days(spark, f"{path}/derniers", schema, KEY[1], held.items()), held, known)
+
+
+def _region(spark: SparkSession, sf_dir: str, region: str) -> DataFrame:
+    return cities_with_region(spark, sf_dir).where(F.col("region") == region)
+
+
+def dash_kpis_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A period of seven days, which cuts a month, of one region's cities."""
+    chosen = _figures(spark, sf_dir).select(cities(spark, sf_dir), FilterSpec(period_days=7), _region(spark, sf_dir, "EUROPE"))
+    return serving.kpi_totals(states.city_means(chosen), cities(spark, sf_dir))
+
+
+def dash_top10_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All dates, so whole months only, of the two upper levels."""
+    chosen = _figures(spark, sf_dir).select(cities(spark, sf_dir), FilterSpec(levels=("moyen", "élevé")))
+    return states.PANELS["top"](chosen, cities(spark, sf_dir))
+
+
+def q4_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return states.QUESTIONS["q4"](_figures(spark, sf_dir), cities(spark, sf_dir))
+
+
+def q5_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return states.QUESTIONS["q5"](_figures(spark, sf_dir), cities(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -494,6 +538,6 @@ QUERIES: dict[str, Query] = {
         dq_referential, enrich_left_join, unmatched_keys, surrogate_lookup, dim_upsert, dim_upsert_parts,
         fact_insert_absent, numeric_cast, run_ts_roundtrip, serving_view, dash_options,
         dash_filter_city, dash_filter_period, dash_filter_combo, dash_kpis, dash_kpi_labels,
-        dash_top_city, dash_map, dash_top10, dash_detail,
+        dash_top_city, dash_map, dash_top10, dash_detail, dash_kpis_states, dash_top10_states, q4_states, q5_states,
     )
 }

@@ -117,8 +117,9 @@ FACT_SCHEMA = (
     "risk_score int, risk_level string, retrieved_at timestamp_ntz, run_ts string"
 )
 
-# One row for each load or merging of files that ended: the dates and the parts of the dimension it wrote, and the last city id given.
-LEDGER_SCHEMA = "kind string, run_ts string, dates array<date>, parts array<int>, last_id bigint, load int"
+# One row for each load or merging of files that ended: the dates, the parts of the dimension and the months of states it wrote, and the last
+# city id given.
+LEDGER_SCHEMA = "kind string, run_ts string, dates array<date>, parts array<int>, last_id bigint, months array<date>, load int"
 
 # Every daily array is read as text, so that one bad value costs that value and not the document.
 DAILY_TYPE = "struct<time:array<string>," + ",".join(f"{v}:array<string>" for v in DAILY_VARIABLES) + ">"

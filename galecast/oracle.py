@@ -430,6 +430,12 @@ GROUP BY city ORDER BY risk_score DESC, city LIMIT 10"""),
 SELECT city, date_prevision, temperature_max, temperature_min, precipitation_sum, wind_gusts_max,
        risk_score, risk_level FROM latest JOIN villes ON id = ville_id"""),
 }
-# The same answers by other ways: an array document cut into ranges, a table kept current load by load.
+# The same answers by other ways: stored states, an array document cut into ranges, a table kept current load by load.
+ORACLE["dash_kpis_states"] = _with(_picked("EUROPE", period=7), KPIS.format(rows="picked"))
+ORACLE["dash_top10_states"] = _with(_picked(None, "AND risk_level IN ('moyen', 'élevé')"), """
+SELECT city, round_even(AVG(risk_score) * 10, 0) / 10 AS risk_score FROM picked
+GROUP BY city ORDER BY risk_score DESC, city LIMIT 10""")
+ORACLE["q4_states"] = ORACLE["q4_risk_by_day"]
+ORACLE["q5_states"] = ORACLE["q5_worst_day"]
 ORACLE["documents_array_split"] = ORACLE["documents_clean"]
 ORACLE["latest_version_incremental"] = ORACLE["latest_version"]

@@ -27,7 +27,7 @@ def with_city_name(per_city: DataFrame, cities: DataFrame) -> DataFrame:
     return per_city.join(names, CITY)
 
 
-def _top_by_city(current: DataFrame, cities: DataFrame, value: Column, name: str) -> DataFrame:
+def top_by_city(current: DataFrame, cities: DataFrame, value: Column, name: str) -> DataFrame:
     per_city = current.groupBy(CITY).agg(value.alias(name))
     return (
         with_city_name(per_city, cities)
@@ -39,17 +39,17 @@ def _top_by_city(current: DataFrame, cities: DataFrame, value: Column, name: str
 
 def hottest_cities(current: DataFrame, cities: DataFrame) -> DataFrame:
     """Question 1: ten highest forecast temperatures."""
-    return _top_by_city(current, cities, F.max("temperature_max"), "temperature_max_observee")
+    return top_by_city(current, cities, F.max("temperature_max"), "temperature_max_observee")
 
 
 def wettest_cities(current: DataFrame, cities: DataFrame) -> DataFrame:
     """Question 2: ten highest forecast precipitation sums."""
-    return _top_by_city(current, cities, F.max("precipitation_sum"), "precipitation_max_observee")
+    return top_by_city(current, cities, F.max("precipitation_sum"), "precipitation_max_observee")
 
 
 def riskiest_cities(current: DataFrame, cities: DataFrame) -> DataFrame:
     """Question 3: ten highest mean risks, rounded half away from zero."""
-    return _top_by_city(current, cities, F.round(F.avg(SCORE), 1), "risque_moyen")
+    return top_by_city(current, cities, F.round(F.avg(SCORE), 1), "risque_moyen")
 
 
 def risk_by_day(current: DataFrame) -> DataFrame:
@@ -58,13 +58,20 @@ def risk_by_day(current: DataFrame) -> DataFrame:
         F.round(F.avg(SCORE), 1).alias("risque_moyen_ce_jour"),
         F.max(SCORE).alias("risque_maximal_observe_ce_jour"),
     )
+    return in_falling_order(per_day)
+
+
+def in_falling_order(per_day: DataFrame) -> DataFrame:
     return per_day.orderBy(F.col("risque_moyen_ce_jour").desc_nulls_first(), DAY)
 
 
 def worst_day_by_city(current: DataFrame, cities: DataFrame) -> DataFrame:
     """Question 5: each city's riskiest date, the earlier one on a tie."""
-    worst = with_city_name(worst_day(current, CITY, SCORE, DAY), cities)
-    return worst.select(
+    return worst_in_order(worst_day(current, CITY, SCORE, DAY), cities)
+
+
+def worst_in_order(worst: DataFrame, cities: DataFrame) -> DataFrame:
+    return with_city_name(worst, cities).select(
         "city", F.col(DAY).alias("periode_la_plus_a_risque"), SCORE, "risk_level"
     ).orderBy(F.col(SCORE).desc_nulls_first(), "city")
 
@@ -78,6 +85,11 @@ def cities_above_average(current: DataFrame, cities: DataFrame) -> DataFrame:
     per_city = current.where(F.col(CITY).isNotNull()).groupBy(CITY).agg(
         F.sum(SCORE).alias("_sum"), F.count(SCORE).alias("_n")
     )
+    return above_average(per_city, cities)
+
+
+def above_average(per_city: DataFrame, cities: DataFrame) -> DataFrame:
+    """From each city's sum ``_sum`` and number ``_n`` of scores."""
     overall = per_city.agg(F.struct(F.sum("_sum").alias("sum"), F.sum("_n").alias("n")).alias("_all"))
     wide = "decimal(19,0)"
     above = per_city.withColumn("_all", overall.scalar()).where(
@@ -90,3 +102,13 @@ def cities_above_average(current: DataFrame, cities: DataFrame) -> DataFrame:
         .select("city", mean.alias("risque_moyen_ville"))
         .orderBy(F.col("risque_moyen_ville").desc_nulls_first(), "city")
     )
+
+
+QUESTIONS = {
+    "q1": hottest_cities,
+    "q2": wettest_cities,
+    "q3": riskiest_cities,
+    "q4": lambda current, cities: risk_by_day(current),
+    "q5": worst_day_by_city,
+    "q6": cities_above_average,
+}

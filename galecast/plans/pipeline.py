@@ -198,7 +198,7 @@ def build_gold(spark: SparkSession, lake: Lake, run_ts: str | None = None) -> in
 
 
 def load_warehouse(spark: SparkSession, lake: Lake, run_ts: str | None = None) -> dict[str, int]:
-    """Upsert the cities, insert the forecasts that are not stored yet, and bring their latest versions up to date.
+    """Upsert the cities, insert the forecasts that are not stored yet, and bring their latest versions and states up to date.
 
     Every Gold row is inserted, stored already, or rejected with its reason; a city that cannot be
     found is an error. What the load wrote shows with its entry in the ledger, the last step; a load that fails shows
@@ -215,8 +215,8 @@ def load_warehouse(spark: SparkSession, lake: Lake, run_ts: str | None = None) -
     counts = {"inserted": inserted, "rejected": rejected, "stored_before": gold.count() - inserted - rejected}
     if counts["stored_before"] < 0 or warehouse.missing_facts(spark, lake, gold, cities, run_ts, known.with_load(load, dates, parts)):
         raise ValueError(f"run {run_ts}: forecasts were lost on the way to the warehouse")
-    warehouse.refresh_latest(spark, lake, known, load, dates)
-    warehouse.finish(spark, lake, load, "load", run_ts, dates, parts, last_id)
+    months = warehouse.refresh_latest(spark, lake, known, load, dates)
+    warehouse.finish(spark, lake, load, "load", run_ts, dates, parts, last_id, months)
     commit(spark, lake, "load", run_ts, counts)
     log.info("run %s: %d forecasts inserted, %d rejected", run_ts, inserted, rejected)
     return counts

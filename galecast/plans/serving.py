@@ -127,7 +127,12 @@ def _riskiest_first(mean: str) -> list[Column]:
 
 def kpis(current: DataFrame, cities: DataFrame) -> DataFrame:
     """Five figures in one row: cities, highest temperature and rain, high-risk rows, riskiest city."""
-    per_city = with_city_name(_city_means(current), cities)
+    return kpi_totals(_city_means(current), cities)
+
+
+def kpi_totals(means: DataFrame, cities: DataFrame) -> DataFrame:
+    """The figures from one row a city."""
+    per_city = with_city_name(means, cities)
     totals = per_city.agg(
         F.count("city").alias("n_cities"),
         F.max("temperature_max").alias("temperature_max"),
@@ -161,8 +166,11 @@ def riskiest_city(current: DataFrame, cities: DataFrame) -> DataFrame:
 
 def map_rows(current: DataFrame, cities: DataFrame) -> DataFrame:
     """Each city's worst forecast with its place and colour."""
-    worst = _located(worst_day(current, CITY, SCORE, DAY), cities)
-    return worst.select(
+    return placed_on_map(worst_day(current, CITY, SCORE, DAY), cities)
+
+
+def placed_on_map(worst: DataFrame, cities: DataFrame) -> DataFrame:
+    return _located(worst, cities).select(
         "city", "latitude", "longitude", DAY, SCORE, "risk_level",
         level_colour(F.col("risk_level")).alias("colour"),
     )
@@ -170,10 +178,13 @@ def map_rows(current: DataFrame, cities: DataFrame) -> DataFrame:
 
 def top_cities(current: DataFrame, cities: DataFrame, n: int = 10) -> DataFrame:
     """The highest means, rounded half to even as the chart does (not as question 3 does)."""
-    means = current.groupBy(CITY).agg((F.rint(F.avg(SCORE) * 10) / 10).alias("risk_score"))
+    return top_means(current.groupBy(CITY).agg(F.avg(SCORE).alias("mean")), cities, n)
+
+
+def top_means(means: DataFrame, cities: DataFrame, n: int = 10) -> DataFrame:
     return (
         with_city_name(means, cities)
-        .select("city", "risk_score")
+        .select("city", (F.rint(F.col("mean") * 10) / 10).alias("risk_score"))
         .orderBy(F.desc("risk_score"), "city")
         .limit(n)
     )

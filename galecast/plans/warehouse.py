@@ -3,8 +3,8 @@
 Silver and Gold are Parquet partitioned by run; a stage that is run again replaces its run's
 partition when the job commits. A small table says which stages ended for which run.
 
-The warehouse is written by loads, numbered from 1, a number for each attempt. Facts and their latest versions lie by target date and load,
-the city dimension by part (hash of the name) and load. A load writes new folders only and records them in the ledger as its
+The warehouse is written by loads, numbered from 1, a number for each attempt. Facts and their latest versions lie by target date and load, states of
+the latest versions by month and load, the city dimension by part (hash of the name) and load. A load writes new folders only and records them in the ledger as its
 last step; readers open the folders that the ledger names, so a load that fails or has not ended shows nothing.
 """
 
@@ -35,6 +35,7 @@ from galecast.model import (
 from galecast.operators.merge import CITY_ATTRIBUTES, absent_facts, attach_ids, changing, orphans, upsert_cities
 from galecast.operators.ordering import keep_first, latest_run_rows, split_position
 from galecast.operators.quality import duplicated_keys, missing_counts, overlong_counts
+from galecast.plans import states
 from galecast.plans.current import merge_latest, read_days, write_days, written_days
 from galecast.sources.files import names_in, read_folders, read_table
 
@@ -57,6 +58,7 @@ class Lake:
         self.cities = f"{root}/entrepot/villes"
         self.facts = f"{root}/entrepot/previsions"
         self.latest = f"{root}/entrepot/derniers"
+        self.states = f"{root}/entrepot/etats"
         self.ledger = f"{root}/entrepot/journal"
         self.begun = f"{root}/entrepot/commences"
         self.rejects = f"{root}/entrepot/rejets"
@@ -131,12 +133,13 @@ def problems() -> Column:
 
 class Contents(NamedTuple):
     """What the ended loads left: the loads that make up each date, the one that holds its latest versions, the one that holds each part of
-    the dimension, and the last city id given."""
+    the dimension, the last city id given, and the load that holds the states of each month."""
 
     dates: dict[date, list[int]]
     latest: dict[date, int]
     parts: dict[int, int]
     last_id: int
+    months: dict[date, int] = {}
 
     def with_load(self, load: int, dates: Iterable[date], parts: Iterable[int]) -> Contents:
         """The same with a load that has not ended."""
@@ -146,7 +149,7 @@ class Contents(NamedTuple):
 
 def contents(spark: SparkSession, lake: Lake) -> Contents:
     """From the ledger, which has one row a load."""
-    out = Contents({}, {}, {}, 0)
+    out = Contents({}, {}, {}, 0, {})
     for row in sorted(read_table(spark, lake.ledger, LEDGER_SCHEMA).collect(), key=lambda row: row["load"]):
         load = row["load"]
         for day in row["dates"]:
@@ -155,6 +158,7 @@ def contents(spark: SparkSession, lake: Lake) -> Contents:
             else:
                 out.dates.setdefault(day, []).append(load)
                 out.latest[day] = load
+        out.months.update(dict.fromkeys(row["months"] or (), load))
         out = out._replace(parts=out.parts | dict.fromkeys(row["parts"], load), last_id=max(out.last_id, row["last_id"]))
     return out
 
@@ -167,9 +171,12 @@ def begin(spark: SparkSession, lake: Lake) -> int:
     return load
 
 
-def finish(spark: SparkSession, lake: Lake, load: int, kind: str, run_ts: str, dates: Iterable[date], parts: Iterable[int], last_id: int) -> None:
+def finish(
+    spark: SparkSession, lake: Lake, load: int, kind: str, run_ts: str, dates: Iterable[date], parts: Iterable[int], last_id: int,
+    months: Iterable[date] = (),
+) -> None:
     """Show what a load wrote."""
-    row = spark.createDataFrame([(kind, run_ts, list(dates), list(parts), last_id)], ", ".join(LEDGER_SCHEMA.split(", ")[:-1]))
+    row = spark.createDataFrame([(kind, run_ts, list(dates), list(parts), last_id, list(months))], ", ".join(LEDGER_SCHEMA.split(", ")[:-1]))
     row.coalesce(1).write.mode("overwrite").parquet(f"{lake.ledger}/load={load}")
 
 
@@ -265,10 +272,24 @@ def load_facts(spark: SparkSession, lake: Lake, gold: DataFrame, cities: DataFra
     return written_days(spark, lake.facts, DAY, days, load)
 
 
-def refresh_latest(spark: SparkSession, lake: Lake, known: Contents, load: int, dates: list[date]) -> None:
-    """The latest versions of the dates that a load wrote, from the stored ones and the load's own facts."""
+def figures(spark: SparkSession, lake: Lake, known: Contents | None = None) -> states.Figures:
+    """The latest versions with their states, which questions and panels read instead of versions."""
+    known = known or contents(spark, lake)
+    by_city, by_day = states.read_states(spark, lake.states, known.months, states.city_schema())
+    return states.Figures(by_city, by_day, latest_facts(spark, lake, known), known.latest, known.months)
+
+
+def refresh_latest(spark: SparkSession, lake: Lake, known: Contents, load: int, dates: list[date]) -> list[date]:
+    """The latest versions of the dates that a load wrote, from the stored ones and the load's own facts; then the states of their months.
+
+    The months written.
+    """
     own = read_days(spark, lake.facts, FACT_SCHEMA, DAY, [(day, load) for day in dates])
-    merge_latest(spark, lake.latest, FACT_SCHEMA, own, known.latest, load)
+    held = merge_latest(spark, lake.latest, FACT_SCHEMA, own, known.latest, load)
+    months = states.months_of(dates)
+    current = read_days(spark, lake.latest, FACT_SCHEMA, DAY, [(day, at) for day, at in held.items() if day.replace(day=1) in months])
+    states.merge_states(lake.states, current, months, known.months, load)
+    return sorted(months)
 
 
 def count_facts(spark: SparkSession, lake: Lake, load: int, dates: list[date]) -> int:
@@ -303,16 +324,17 @@ def merge_files(spark: SparkSession, lake: Lake, most: int = MOST_LOADS) -> list
 
 
 def remove_unused(spark: SparkSession, lake: Lake) -> int:
-    """Remove folders that the ledger does not name: merged dates, older parts of the dimension and latest versions, loads that failed.
+    """Remove folders that the ledger does not name: merged dates, older parts of the dimension, latest versions and states, loads that failed.
 
     For times when no load runs and no reader from before the last entry is left. The number of folders removed.
     """
     known = contents(spark, lake)
     kept = {f"{lake.facts}/{DAY}={day}/load={load}" for day, loads in known.dates.items() for load in loads}
     kept |= {f"{lake.latest}/{DAY}={day}/load={load}" for day, load in known.latest.items()}
+    kept |= {f"{lake.states}/{table}/{states.MONTH}={month}/load={load}" for table in ("ville", "jour") for month, load in known.months.items()}
     kept |= {f"{lake.cities}/part={part}/load={load}" for part, load in known.parts.items()}
     paths, removed = spark._jvm.org.apache.hadoop.fs, 0
-    for base in (lake.facts, lake.latest, lake.cities):
+    for base in (lake.facts, lake.latest, lake.cities, f"{lake.states}/ville", f"{lake.states}/jour"):
         for upper in names_in(spark, base):
             for lower in names_in(spark, f"{base}/{upper}") if "=" in upper else []:
                 folder = f"{base}/{upper}/{lower}"
