@@ -61,12 +61,20 @@ def codewords(n: int) -> np.ndarray:
     return best
 
 
-def grams(data: np.ndarray) -> np.ndarray:
-    """(bytes, orders): table row of the n-gram that ends at each byte; those that reach over the front start at it."""
+def grams(data: np.ndarray, starts: np.ndarray = np.zeros(1, np.int64)) -> np.ndarray:
+    """(bytes, orders): table row of the n-gram that ends at each byte; those that reach over the front of their text start at it.
+
+    starts: where the texts of data begin.
+    """
     data = _FOLD[data].astype(np.uint32)
     out, key = np.empty((len(data), len(ORDERS)), np.int32), np.zeros(len(data), np.uint32)
+    place = np.full(len(data), max(ORDERS), np.uint8)
+    for j in range(max(ORDERS) - 2, -1, -1):
+        place[starts[starts + j < len(data)] + j] = j
     for k in range(max(ORDERS)):
-        key[k:] = key[k:] + (data[: len(data) - k] + np.uint32(1)) * np.uint32((0x01000193, 0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)[k])
+        more = (data[: len(data) - k] + np.uint32(1)) * np.uint32((0x01000193, 0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)[k])
+        more[place[k:] < k] = 0
+        key[k:] += more
         if k + 1 in ORDERS:
             i = ORDERS.index(k + 1)
             hashed = (key ^ (key >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
@@ -144,7 +152,9 @@ def margins(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     low, high = offsets[:-1][some], offsets[1:][some]
     step = 1 << 18
     for a in range(0, len(data), step):
-        part = grams(data[max(0, a - max(ORDERS)) : a + step])[min(a, max(ORDERS)) :]
+        front = max(0, a - max(ORDERS))
+        begin = low[np.searchsorted(low, front) : np.searchsorted(low, a + step)] - front
+        part = grams(data[front : a + step], begin)[a - front :]
         value = model.table[part[:, 0]]
         for i in range(1, len(ORDERS)):
             value += model.table[part[:, i]]
