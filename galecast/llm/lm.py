@@ -2,75 +2,148 @@
 
 An n-gram that the corpus holds scores count(n-gram) / count(its context); otherwise BACKOFF times the score of the n-gram without
 its first word, down to count(word) / all words; a word that the corpus lacks scores as one in all words and one. The counts
-that a document is scored with leave its own n-grams out, or every n-gram would be known. Each chunk of documents sends its
-distinct n-grams and their counts to the partitions of the count tables (by hash), which sum them and join them back; the chunk
-takes the logarithms of its positions and sums them by document.
+that a document is scored with leave its own n-grams out, or every n-gram would be known.
+
+As relations: documents lie in blocks of a few MB; `grams` holds one row (gram, block, n) for each distinct n-gram of a block, all
+orders together; it is partitioned by the hash of the n-gram once, and the count table (gram, total), grouped in these partitions, is
+joined to it there. Only n-grams that two blocks hold go back to their blocks; of the others a block knows the count itself. A
+block takes the logarithms of its positions and sums them by document. An n-gram on every line is one row a block.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from galecast.llm.chunks import Chunk, Question, answer, apply, ask, bucket_bits, chunked
-from galecast.llm.text import mix, per_text, window_hashes
+from galecast.llm.shared import stored
+from galecast.llm.text import mix, passes, per_text, texts, window_hashes, word_hashes, words
 
 ORDER = 3
 BACKOFF = 0.4
 SCORES = "n_words long, log_score double, mean_log_score double, perplexity double, n_backed_off long"
-#: Bits of an n-gram's hash that tell n-grams apart.
-KEY_BITS = 60
+#: Bytes of text in a block of documents; a longer document is a block of its own.
+BLOCK_BYTES = 6 << 20
+#: Rows of n-grams in an Arrow batch.
+BATCH_ROWS = 1 << 18
+
+
+class Block(NamedTuple):
+    """Word hashes of some documents, and the number of words before each document."""
+
+    hashes: np.ndarray
+    bounds: np.ndarray
+
+
+def block_of(column: pa.ChunkedArray) -> Block:
+    data, offsets = texts(pa.concat_arrays([x.cast(pa.large_string()) for x in column.chunks]))
+    starts, ends, bounds = words(data, offsets)
+    return Block(word_hashes(data, starts, ends), bounds)
 
 
 def gram_keys(hashes: np.ndarray, n: int) -> np.ndarray:
     """A key for the n-gram that starts at each word; the order is part of it."""
-    key = mix(window_hashes(hashes, n) + np.uint64(n))
-    return key >> np.uint64(64 - KEY_BITS) << np.uint64(64 - KEY_BITS)
+    return mix(window_hashes(hashes, n) + np.uint64(n))
 
 
-def _positions(chunk: Chunk, n: int) -> np.ndarray:
+def _positions(block: Block, n: int) -> np.ndarray:
     """Where an n-gram of one document starts."""
-    doc = np.repeat(np.arange(len(chunk.bounds) - 1), np.diff(chunk.bounds))
+    doc = np.repeat(np.arange(len(block.bounds) - 1), np.diff(block.bounds))
     m = max(len(doc) - n + 1, 0)
     return np.flatnonzero(doc[:m] == doc[n - 1 : n - 1 + m])
 
 
-def gram_question(order: int):
-    def question(chunk: Chunk) -> Question:
-        hashes = chunk.hashes()
-        keys, counts = np.unique(np.concatenate([gram_keys(hashes, n)[_positions(chunk, n)] for n in range(1, order + 1)]), return_counts=True)
-        return Question(keys, counts.astype(np.uint64))
-
-    return question
-
-
-def total(values: np.ndarray, runs: np.ndarray) -> tuple[np.ndarray, None]:
-    return np.add.reduceat(values, runs), None
+def gram_counts(block: Block, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of a block up to an order, ascending, and how often it holds each."""
+    keys, counts = np.unique(np.concatenate([gram_keys(block.hashes, n)[_positions(block, n)] for n in range(1, order + 1)]), return_counts=True)
+    return keys, counts.astype(np.int64)
+
+
+def in_blocks(docs: DataFrame, size: int = BLOCK_BYTES) -> DataFrame:
+    """docs with the columns _block and _words (words of the text), stored."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            for part in passes(batch, limit=size):
+                data, offsets = texts(part.column("text"))
+                if held and held + len(data) > size:
+                    number, held = number + 1, 0
+                held += len(data)
+                found = pa.array(np.diff(words(data, offsets)[2]).astype(np.int64))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.full(part.num_rows, number)), found], names=[*part.schema.names, "_block", "_words"])
+
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "_block long, _words long"])
+    return stored(docs.mapInArrow(deal, schema), "blocks")
+
+
+def grams_of(blocks: DataFrame, order: int) -> DataFrame:
+    """gram, block, n: the distinct n-grams of each block. A block cut by the reader has a row of an n-gram for each piece."""
+
+    def rows(number: int, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts = gram_counts(block_of(pa.Table.from_batches(held).column("text")), order)
+        block = np.full(len(keys), number)
+        for at in range(0, len(keys), BATCH_ROWS):
+            cut = slice(at, at + BATCH_ROWS)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[cut].view(np.int64)), pa.array(block[cut]), pa.array(counts[cut])], names=["gram", "block", "n"])
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held = None, []
+        for batch in batches:
+            blocks_ = batch.column("_block").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(blocks_)) + 1).tolist(), len(blocks_)]
+            for low, high in zip(edges[:-1], edges[1:], strict=True):
+                if low == high:
+                    continue
+                if held and number != int(blocks_[low]):
+                    yield from rows(number, held)
+                    held = []
+                number = int(blocks_[low])
+                held.append(batch.slice(low, high - low))
+        if held:
+            yield from rows(number, held)
+
+    return blocks.select("_block", "text").mapInArrow(explode, "gram long not null, block long, n long not null")
+
+
+def told_back(grams: DataFrame) -> DataFrame:
+    """block, gram, total: the count in the whole corpus of each n-gram that has more than one row of grams.
+
+    Both sides of the join ask for all three columns (and need no test for null), so Spark reuses one exchange and explodes the n-grams once. No n-gram has
+    more rows than there are blocks, so none is hot.
+    """
+    grams = grams.repartition("gram")
+    counts = grams.groupBy("gram").agg(F.sum("n").alias("total"), F.count("block").alias("owners")).where("owners > 1")
+    return grams.join(counts.hint("merge"), "gram").where("total > n").select("block", "gram", "total")
 
 
-def _others(chunk: Chunk, hashes: np.ndarray, n: int, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def _others(block: Block, n: int, keys: np.ndarray, totals: np.ndarray) -> np.ndarray:
     """Count of the n-gram at each word in all other documents; 0 where it would reach over the document's end."""
-    at = _positions(chunk, n)
-    out = np.zeros(len(hashes), np.int64)
+    at = _positions(block, n)
+    out = np.zeros(len(block.hashes), np.int64)
     if len(at):
-        index = np.searchsorted(keys, gram_keys(hashes, n)[at])
-        doc = np.searchsorted(chunk.bounds, at, side="right").astype(np.int64)
-        pair, inverse, own = np.unique(doc * len(keys) + index, return_inverse=True, return_counts=True)
-        out[at] = counts[index] - own[inverse]
+        index = np.searchsorted(keys, gram_keys(block.hashes, n)[at])
+        doc = np.searchsorted(block.bounds, at, side="right").astype(np.int64)
+        _, inverse, own = np.unique(doc * len(keys) + index, return_inverse=True, return_counts=True)
+        out[at] = totals[index] - own[inverse]
     return out
 
 
-def scoring(order: int, backoff: float, all_words: int):
-    def use(number: int, chunk: Chunk, told: Question) -> pa.Table:
-        hashes, bounds, size = chunk.hashes(), chunk.bounds, np.diff(chunk.bounds)
-        n = len(hashes)
+def scoring(order: int, backoff: float, all_words: int, kept: list[str]):
+    def use(rows: pa.Table, told: pa.Table) -> pa.Table:
+        block = block_of(rows.column("text"))
+        bounds, size = block.bounds, np.diff(block.bounds)
+        n = len(block.hashes)
         log = np.zeros(n)
-        level = np.zeros(n, np.int64)
         if n:
-            keys = gram_question(order)(chunk).keys
-            counts = told.values.astype(np.int64)
-            others = [_others(chunk, hashes, k, keys, counts) for k in range(1, order + 1)]
+            keys, totals = gram_counts(block, order)
+            totals[np.searchsorted(keys, told.column("gram").to_numpy().view(np.uint64))] = told.column("total").to_numpy()
+            others = [_others(block, k, keys, totals) for k in range(1, order + 1)]
             doc = np.repeat(np.arange(len(size)), size)
             place = np.arange(n) - bounds[doc]
             rest = all_words - size[doc]
@@ -90,14 +163,13 @@ def scoring(order: int, backoff: float, all_words: int):
         mean = np.where(size > 0, sums / np.maximum(size, 1), np.nan)
         none = size == 0
         columns = [pa.array(size.astype(np.int64)), pa.array(sums), pa.array(mean, mask=none), pa.array(np.exp(-mean), mask=none), pa.array(per_text(backed, bounds).astype(np.int64))]
-        kept = [name for name in chunk.rows.schema.names if name != "text"]
         names = [x.split()[0] for x in SCORES.split(", ")]
-        return pa.Table.from_arrays([*(pa.chunked_array([chunk.rows.column(name)]) for name in kept), *columns], names=[*kept, *names])
+        return pa.Table.from_arrays([*(rows.column(name) for name in kept), *map(pa.chunked_array, zip(columns))], names=[*kept, *names])
 
     return use
 
 
-def scored(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF) -> DataFrame:
+def scored(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Every row of docs, its text replaced by the columns of SCORES.
 
     The n-gram at the front of a document, shorter than the order, is as long as it can be. log_score is the sum of natural
@@ -106,11 +178,15 @@ def scored(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF) -> Dat
     """
     added = [x.split()[0] for x in SCORES.split(", ")]
     docs = docs.select("text", *(name for name in docs.columns if name not in ("text", *added)))
-    chunks = chunked(docs, "grams")
-    bits, all_words = bucket_bits(chunks)
-    answers = answer(ask(chunks, gram_question(order), bits), total)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"), SCORES])
-    return apply(chunks, answers, scoring(order, backoff, all_words), schema)
+    kept = [name for name in docs.columns if name != "text"]
+    plain = docs.select("text", *(F.col(f"`{name}`").alias(f"kept_{i}") for i, name in enumerate(kept)))
+    blocks = in_blocks(plain, block_bytes)
+    all_words = blocks.agg(F.sum("_words")).first()[0] or 0
+    told = told_back(grams_of(blocks, order))
+    inner = [name for name in plain.columns if name != "text"]
+    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema if f.name != "text"), SCORES])
+    scores = blocks.select("_block", *plain.columns).groupBy("_block").cogroup(told.groupBy("block")).applyInArrow(scoring(order, backoff, all_words, inner), schema)
+    return scores.select(*(F.col(x).alias(name) for x, name in zip(inner, kept, strict=True)), *added)
 
 
 def scored_documents(docs: DataFrame) -> DataFrame:

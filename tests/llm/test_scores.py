@@ -99,6 +99,31 @@ def test_longer_context_counts_in_the_registered_order(spark):
     assert got[4]["n_backed_off"] == 1  # others hold "a b" and "b d", but not "a b d"
 
 
+def test_counts_do_not_depend_on_blocks(odd, spark):
+    rows = sorted((len(re.findall(WORD, r["text"] or "")), round(s, 4)) for r, (_, s) in zip(odd.collect(), backoff([r["text"] for r in odd.collect()], 3), strict=True))
+    for size in (1, 3000, 1 << 30):
+        got = sorted((r["n_words"], round(r["log_score"], 4)) for r in lm.scored(odd.select("doc_id", "text"), block_bytes=size).collect())
+        assert [n for n, _ in got] == [n for n, _ in rows]
+        assert np.allclose([s for _, s in got], [s for _, s in rows], atol=1e-3)
+
+
+def test_blocks_cut_by_the_reader_keep_their_counts(odd):
+    blocks = lm.in_blocks(odd.select("doc_id", "text"), 1 << 20)
+    count = lambda df: {r["gram"]: r["n"] for r in df.groupBy("gram").agg(F.sum("n").alias("n")).collect()}
+    whole, cut = count(lm.grams_of(blocks, 2)), count(lm.grams_of(blocks.repartition(7), 2))
+    assert whole == cut
+    told = lm.told_back(lm.grams_of(blocks, 2)).collect()
+    assert told and all(r["total"] == whole[r["gram"]] for r in told)
+
+
+def test_ngrams_are_exploded_once(odd):
+    told = lm.told_back(lm.grams_of(lm.in_blocks(odd.select("doc_id", "text")), 3))
+    told.collect()
+    plan = told._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("Initial Plan")]
+    assert "ReusedExchange" in final and final.count("MapInArrow") == 1
+
+
 def test_backoff_of_odd_rows(odd, empty):
     got = {r["doc_id"]: r for r in lm.scored_documents(odd).collect()}
     assert got[100]["log_score"] == 0 and got[101]["mean_log_score"] is None and got[102]["perplexity"] is None
