@@ -9,55 +9,76 @@ _WORDS = f"regexp_extract_all(coalesce(text, ''), '{WORD}')"
 _UNITS = ", ".join(f"'{unit}'" for unit in decontam.UNITS)
 
 
+def _typed(word: str) -> str:
+    return f"CASE WHEN regexp_matches({word}, '{decontam._NUMBER}') THEN chr(2) WHEN {word} IN ({_UNITS}) THEN chr(3) ELSE {word} END"
+
+
+def _windows(template: str) -> str:
+    return f"""CASE WHEN len({template}) = 0 THEN [] WHEN len({template}) < 5 THEN [array_to_string({template}, ' ')]
+        ELSE list_transform(range(1, len({template}) - 3), lambda i: array_to_string({template}[i:i + 4], ' ')) END"""
+
+
 def _template(table: str, key: str) -> str:
-    capital = decontam._INNER_CAPITAL
+    """k, the key, text, words (chr(1): a name, chr(4): another capitalised word), the three readings, their windows, and the words
+    with all capitalised ones but units as names."""
+    marked = f"regexp_replace(coalesce(text, ''), '{decontam._INNER_CAPITAL}', '\\1' || chr(1) || '\\2', 'g')"
+    marked = f"regexp_replace({marked}, '{decontam._OTHER_CAPITAL}', '\\1' || chr(4) || '\\2', 'g')"
+    first = "CASE WHEN starts_with(w, chr(1)) THEN chr(1) WHEN starts_with(w, chr(4)) THEN " + _typed("w[2:]") + " ELSE " + _typed("w") + " END"
+    bare = f"CASE WHEN starts_with(w, chr(1)) OR starts_with(w, chr(4)) THEN {_typed('w[2:]')} ELSE {_typed('w')} END"
     return f"""
-    SELECT *, CASE WHEN len(template) = 0 THEN [] WHEN len(template) < 5 THEN [array_to_string(template, ' ')]
-        ELSE list_transform(range(1, len(template) - 3), lambda i: array_to_string(template[i:i + 4], ' ')) END AS windows
-    FROM (SELECT *, list_transform(words, lambda w: CASE WHEN starts_with(w, chr(1)) THEN chr(1)
-        WHEN regexp_matches(w, '{decontam._NUMBER}') THEN chr(2) WHEN w IN ({_UNITS}) THEN chr(3) ELSE w END) AS template
-    FROM (SELECT DISTINCT {key}, coalesce(text, '') AS text, regexp_extract_all(translate(lower(regexp_replace(coalesce(text, ''),
-        '{capital}', '\\1' || chr(1) || '\\2', 'g')), '{decontam.PUNCTUATION}', ''), '{WORD}') AS words FROM {table}))"""
+    SELECT *, {_windows("template")} AS wt, {_windows("plain")} AS wp, {_windows("named")} AS wn
+    FROM (SELECT *, list_transform(words, lambda w: {first}) AS template, list_transform(words, lambda w: {bare}) AS plain,
+        list_transform(words, lambda w: CASE WHEN starts_with(w, chr(4)) THEN chr(1) ELSE {first} END) AS named,
+        list_transform(words, lambda w: CASE WHEN NOT starts_with(w, chr(4)) THEN w
+            WHEN ({_typed('w[2:]')}) = chr(3) THEN w[2:] ELSE chr(1) || w[2:] END) AS shown
+    FROM (SELECT row_number() OVER () AS k, {key}, text, regexp_extract_all(translate(lower({marked}), '{decontam.PUNCTUATION}', ''), '{WORD}') AS words
+    FROM (SELECT DISTINCT {key}, coalesce(text, '') AS text FROM {table})))"""
+
+
+def _spots(table: str) -> str:
+    """Windows of all readings by position; sure: of a reading that takes only names within sentences."""
+    return " UNION ".join(f"SELECT k, generate_subscripts({w}, 1) AS pos, unnest({w}) AS h, {sure} AS sure FROM {table}" for w, sure in (("wt", True), ("wp", True), ("wn", False)))
 
 
 OP3 = f"""
-WITH d AS ({_template("documents", "doc_id")}),
-i AS ({_template("benchmark", "item_id")}),
-held AS (SELECT DISTINCT doc_id, text, h FROM (SELECT doc_id, text, unnest(windows) AS h FROM d)),
-spots AS (
-    SELECT item_id, text, len(windows) AS n, generate_subscripts(windows, 1) AS pos, unnest(windows) AS h FROM i WHERE len(words) > 0
-    UNION
-    SELECT item_id, text, len(windows), 1, array_to_string(list_prepend(chr(1), template[2:5]), ' ') FROM i
-    WHERE len(words) > 0 AND regexp_matches(text, '{decontam._CAPITAL_FIRST}')),
-found AS (
-    SELECT doc_id, held.text AS text, item_id, spots.text AS item FROM held JOIN spots USING (h)
-    GROUP BY ALL HAVING count(DISTINCT pos) >= ceil(any_value(n) * {decontam.CONTAINED})),
-both_ AS (
-    SELECT found.doc_id, found.text, found.item_id, found.item, d.words AS dw, d.template AS dt, d.windows AS dh,
-        i.words AS iw, i.template AS it, i.windows AS ih
-    FROM found JOIN d ON d.doc_id IS NOT DISTINCT FROM found.doc_id AND d.text = found.text
-    JOIN i ON i.item_id IS NOT DISTINCT FROM found.item_id AND i.text = found.item),
-shifts AS (
-    SELECT doc_id, text, item_id, item, p - q AS shift, count(*) AS n
-    FROM (SELECT doc_id, text, item_id, item, unnest(ih) AS h, generate_subscripts(ih, 1) AS q FROM both_)
-    JOIN (SELECT DISTINCT doc_id, text, item_id, item, unnest(dh) AS h, generate_subscripts(dh, 1) AS p FROM both_) USING (doc_id, text, item_id, item, h)
-    GROUP BY ALL),
-best AS (SELECT doc_id, text, item_id, item, arg_max(shift, n * 1000000000 - shift) AS shift FROM shifts GROUP BY ALL),
-slots AS (
-    SELECT doc_id, text, item_id, item, iw[p] AS a, dw[p + shift] AS b
-    FROM (SELECT both_.*, coalesce(shift, 0) AS shift, unnest(range(1, len(iw) + 1)) AS p FROM both_ JOIN best USING (doc_id, text, item_id, item))
-    WHERE it[p] IN (chr(1), chr(2), chr(3)) AND p + shift >= 1 AND p + shift <= len(dw) AND dt[p + shift] = it[p]),
+WITH d AS MATERIALIZED ({_template("documents", "doc_id")}),
+i AS MATERIALIZED (SELECT * FROM ({_template("benchmark", "item_id")}) WHERE len(words) > 0),
+spots AS MATERIALIZED (
+    {_spots("i")}
+    UNION SELECT k, 1, array_to_string(list_prepend(chr(1), template[2:5]), ' '), true FROM i WHERE regexp_matches(text, '{decontam._CAPITAL_FIRST}')),
+held AS (SELECT DISTINCT k, h FROM (SELECT k, unnest(list_concat(list_concat(wt, wp), wn)) AS h FROM d)),
+found AS MATERIALIZED (
+    SELECT held.k AS dk, spots.k AS ik, any_value(ceil(len(i.wt) * CAST({decontam.CONTAINED} AS DOUBLE))) AS needed
+    FROM held JOIN spots USING (h) JOIN i ON i.k = spots.k
+    GROUP BY ALL HAVING count(DISTINCT pos) >= any_value(ceil(len(i.wt) * CAST({decontam.CONTAINED} AS DOUBLE)))),
+hit AS MATERIALIZED (SELECT * FROM d WHERE k IN (SELECT dk FROM found)),
+doc_spots AS MATERIALIZED ({_spots("hit")}),
+meets AS MATERIALIZED (
+    SELECT dk, ik, a.pos AS q, b.pos AS p, bool_or(a.sure AND b.sure) AS sure
+    FROM found JOIN doc_spots b ON b.k = dk JOIN spots a ON a.k = ik AND a.h = b.h GROUP BY ALL),
+shifts AS (SELECT dk, ik, p - q AS shift, count(*) AS n FROM meets GROUP BY ALL),
+best AS (SELECT dk, ik, arg_max(shift, n * 1000000000 - shift) AS shift FROM shifts GROUP BY ALL),
+told AS (SELECT dk, ik, count(DISTINCT q) FILTER (WHERE sure) AS n FROM meets GROUP BY ALL),
+places AS (
+    SELECT dk, ik, i.shown[p] AS a, hit.shown[p + shift] AS b, i.named[p] = chr(1) AND hit.named[p + shift] = chr(1) AS capital,
+        i.template[p] IN (chr(1), chr(2), chr(3)) AND hit.template[p + shift] = i.template[p] AS typed
+    FROM (SELECT dk, ik, shift, unnest(range(1, len(words) + 1)) AS p FROM best JOIN i ON i.k = ik)
+    JOIN i ON i.k = ik JOIN hit ON hit.k = dk WHERE p + shift >= 1 AND p + shift <= len(hit.words)),
+slots AS (SELECT dk, ik, a, b, typed FROM places WHERE typed OR (capital AND a <> b)),
 judged AS (
-    SELECT doc_id, text, item_id, item, coalesce(count(DISTINCT (a, b)) FILTER (WHERE a IS NOT NULL), 0) AS pairs,
-        count(DISTINCT a) AS lefts, count(a) AS n, coalesce(bool_and(a = b), true) AS exact
-    FROM both_ LEFT JOIN slots USING (doc_id, text, item_id, item) GROUP BY ALL),
+    SELECT dk, ik, count(DISTINCT (a, b)) - count(DISTINCT a) AS clash, count(*) AS n, bool_and(a = b) AS exact,
+        count(DISTINCT (a, b)) FILTER (WHERE typed) - count(DISTINCT a) FILTER (WHERE typed) AS typed_clash, count(*) FILTER (WHERE typed) AS typed_n
+    FROM slots GROUP BY ALL),
 kept AS (
-    SELECT doc_id, text, count(*) AS n_items, count(*) FILTER (WHERE NOT exact) AS n_changed,
-        array_to_string(list_sort(list(item_id)), ',') AS item_ids
-    FROM judged WHERE pairs - lefts <= {1 - decontam.CONTAINED} * n GROUP BY ALL)
+    SELECT d.doc_id, d.text, count(*) AS n_items, count(*) FILTER (WHERE NOT coalesce(exact, true)) AS n_changed,
+        array_to_string(list_sort(list(i.item_id)), ',') AS item_ids
+    FROM found JOIN told USING (dk, ik) LEFT JOIN judged USING (dk, ik) JOIN d ON d.k = dk JOIN i ON i.k = ik
+    WHERE coalesce(clash, 0) <= {1 - decontam.CONTAINED} * coalesce(judged.n, 0)
+        OR (told.n >= needed AND coalesce(typed_clash, 0) <= {1 - decontam.CONTAINED} * coalesce(typed_n, 0))
+    GROUP BY ALL)
 SELECT documents.doc_id, kept.n_items IS NOT NULL AS contaminated, coalesce(n_items, 0) AS n_items,
     coalesce(n_changed, 0) AS n_changed, coalesce(item_ids, '') AS item_ids
-FROM documents LEFT JOIN kept ON kept.doc_id = documents.doc_id AND kept.text = coalesce(documents.text, '')"""
+FROM documents LEFT JOIN kept ON kept.doc_id IS NOT DISTINCT FROM documents.doc_id AND kept.text = coalesce(documents.text, '')"""
 
 
 def _backoff(order: int) -> str:

@@ -4,12 +4,15 @@ import collections
 import hashlib
 import re
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
 
 from galecast.llm import decontam, simhash, substrings
+from galecast.llm.oracle import OP3
 from galecast.llm.text import WORD
+from oracle_check import compare
 
 WORDS = [f"w{i}" for i in range(400)]
 
@@ -156,9 +159,16 @@ MIXED = ITEM.replace("leaves Berlin", "leaves Madrid")
 
 
 def held(spark, texts, items):
+    """The verdicts by document, after they were compared with those of the SQL."""
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
-    return {r["doc_id"]: r for r in decontam.checked_documents(docs, bench).collect()}
+    got = decontam.checked_documents(docs, bench).cache()
+    tables = duckdb.connect()
+    for name, key, rows in (("documents", "doc_id", list(enumerate(texts))), ("benchmark", "item_id", items)):
+        tables.execute(f"CREATE TABLE {name} ({key} BIGINT, text VARCHAR)")
+        tables.executemany(f"INSERT INTO {name} VALUES (?, ?)", rows)
+    assert compare(got, tables, OP3) == ""
+    return {r["doc_id"]: r for r in got.collect()}
 
 
 def test_changed_slots_are_caught_and_clean_texts_are_not(spark):
