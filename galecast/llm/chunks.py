@@ -25,8 +25,8 @@ from galecast.llm.text import passes, texts, word_hashes, words
 #: Bytes of text in a chunk (a longer document is a chunk of its own), and words that meet in a bucket on average.
 CHUNK_BYTES = 6 << 20
 BUCKET_WORDS = 1 << 19
-#: Buckets are a power of two between these. Beyond, buckets grow; raise CHUNK_BYTES and executors' memory with the corpus.
-LEAST_BUCKETS, MOST_BUCKETS = 16, 4096
+#: Buckets are a power of two, this at least; their number follows the words, so no bucket grows with the corpus.
+LEAST_BUCKETS = 16
 
 
 def squeeze(values: np.ndarray) -> bytes:
@@ -98,7 +98,7 @@ def chunked(docs: DataFrame, name: str, size: int = CHUNK_BYTES) -> DataFrame:
 def bucket_bits(chunks: DataFrame) -> tuple[int, int]:
     """Bits of the key that choose the bucket, and the words of all chunks."""
     total = chunks.agg(F.sum("words")).first()[0] or 0
-    buckets = min(max(total // BUCKET_WORDS, LEAST_BUCKETS), MOST_BUCKETS)
+    buckets = max(total // BUCKET_WORDS, LEAST_BUCKETS)
     return int(buckets - 1).bit_length(), int(total)
 
 
@@ -116,9 +116,9 @@ ANSWERED = "chunk long, bucket int, keys binary, tags binary, numbers binary"
 
 def questions(chunk: int, asked: Question, bits: int) -> pa.Table:
     """One row for each bucket that the keys touch."""
-    edge = np.searchsorted(asked.keys >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
-    at = np.flatnonzero(np.diff(edge))
-    cut = lambda values, how: [how(values[edge[b] : edge[b + 1]]) for b in at]
+    at, first = np.unique(asked.keys >> np.uint64(64 - bits), return_index=True)
+    edge = [*first.tolist(), len(asked.keys)]
+    cut = lambda values, how: [how(values[a:b]) for a, b in zip(edge[:-1], edge[1:], strict=True)]
     tags = cut(asked.tags, squeeze) if asked.tags is not None else [None] * len(at)
     columns = [at.astype(np.int32), [chunk] * len(at), cut(asked.keys, squeeze_sorted), tags, cut(asked.values, squeeze)]
     kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
@@ -136,9 +136,8 @@ def ask(chunks: DataFrame, question: Callable[[Chunk], Question], bits: int) ->
     return chunks.select("chunk", "blob").mapInArrow(each, ASKED)
 
 
-def answer(asked: DataFrame, reduce: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray | None]]) -> DataFrame:
-    """Answers to each chunk. reduce(values, starts of runs of equal keys) gives a number for each run, and which runs to tell:
-    all (None), in the order asked and without their keys, or some, with their keys."""
+def answer(asked: DataFrame, reduce: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """Answers to each chunk. reduce(values, starts of runs of equal keys) gives a number for each run, and which runs to tell."""
 
     def meet(table: pa.Table) -> pa.Table:
         rows = table.to_pydict()
@@ -157,12 +156,12 @@ def answer(asked: DataFrame, reduce: Callable[[np.ndarray, np.ndarray], tuple[np
         run[order] = np.cumsum(fresh) - 1
         out = {name.split()[0]: [] for name in ANSWERED.split(", ")}
         for i, (a, b) in enumerate(zip(size[:-1], size[1:], strict=True)):
-            mine = np.arange(a, b) if tell is None else np.flatnonzero(tell[run[a:b]]) + a
+            mine = np.flatnonzero(tell[run[a:b]]) + a
             if len(mine):
                 out["chunk"].append(rows["chunk"][i])
                 out["bucket"].append(rows["bucket"][i])
-                out["keys"].append(None if tell is None else squeeze_sorted(key[mine]))
-                out["tags"].append(None if tell is None or tag is None else squeeze(tag[mine]))
+                out["keys"].append(squeeze_sorted(key[mine]))
+                out["tags"].append(None if tag is None else squeeze(tag[mine]))
                 out["numbers"].append(squeeze(number[run[mine]]))
         kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
         return pa.table({name: pa.array(x, kind) for (name, x), kind in zip(out.items(), kinds, strict=True)})
@@ -171,7 +170,7 @@ def answer(asked: DataFrame, reduce: Callable[[np.ndarray, np.ndarray], tuple[np
 
 
 def apply(chunks: DataFrame, answers: DataFrame, use: Callable[[int, Chunk, Question], pa.Table], schema: str) -> DataFrame:
-    """What `use` makes of each chunk and the answers to it (keys None where all were told). Every chunk is used."""
+    """What `use` makes of each chunk and the answers to it (keys None where there are none). Every chunk is used."""
 
     def each(left: pa.Table, right: pa.Table) -> pa.Table:
         right = right.sort_by("bucket").to_pydict()

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from galecast.llm import lm, quality, substrings, text
-from galecast.llm.chunks import expand, expand_sorted, squeeze, squeeze_sorted
+from galecast.llm.chunks import Question, expand, expand_sorted, questions, squeeze, squeeze_sorted
 from tests.llm.conftest import prose
 
 SAMPLES = ["", None, "a", "  a\tb\n", "ab cd ab", "x\x0b\x0cy\x1cz w", "ü 漢字", "end ", " start", "a b c d e f a b c d e f"]
@@ -82,3 +82,13 @@ def test_regular_words_do_not_collide(spark, bits):
     known = lm.scored_documents(docs.where("doc_id < 3")).select("log_score").collect()
     both = lm.scored_documents(docs.where("doc_id < 3").withColumn("text", F.regexp_replace("text", two, one))).select("log_score").collect()
     assert max(r[0] for r in known) < min(r[0] for r in both)
+
+
+def test_questions_are_whole_at_any_number_of_buckets():
+    keys = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 500, dtype=np.uint64) << np.uint64(1))
+    for bits in (4, 12, 30):
+        rows = questions(7, Question(keys, keys >> np.uint64(9)), bits).to_pydict()
+        assert rows["bucket"] == sorted(set((keys >> np.uint64(64 - bits)).tolist()))
+        assert (np.concatenate([expand_sorted(x) for x in rows["keys"]]) == keys).all()
+        assert (np.concatenate([expand(x) for x in rows["numbers"]]) == keys >> np.uint64(9)).all()
+    assert questions(7, Question(keys[:0], keys[:0]), 4).num_rows == 0
