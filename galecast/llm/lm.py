@@ -175,6 +175,7 @@ def scored(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, block_
     The n-gram at the front of a document, shorter than the order, is as long as it can be. log_score is the sum of natural
     logarithms over the words, mean_log_score its mean, perplexity exp(-mean); the last two are null for a text without words
     (null, empty). Repeated rows count as documents of their own, so a copy is well known. An empty table gives an empty result.
+    A text longer than block_bytes is a block of its own, read whole by one task with about 120 bytes of memory a word (2 GB for 100 MB of text).
     """
     added = [x.split()[0] for x in SCORES.split(", ")]
     docs = docs.select("text", *(name for name in docs.columns if name not in ("text", *added)))
