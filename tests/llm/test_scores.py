@@ -3,6 +3,7 @@
 import collections
 import math
 import re
+import time
 
 import numpy as np
 import pytest
@@ -124,6 +125,45 @@ def test_ngrams_are_exploded_once(odd):
     assert "ReusedExchange" in final and final.count("MapInArrow") == 1
 
 
+def shuffle_files(spark):
+    return {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+
+
+def test_exchanges_leave_the_disk_before_the_next(odd, spark):
+    texts = [r["text"] for r in odd.collect()]
+    before, setting = shuffle_files(spark), spark.conf.get(lm.CLEANUP)
+    got = lm.scored(odd.select("doc_id", "text"), block_bytes=3000, slices=3)
+    assert len(got.collect()) == len(texts)
+    end = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < end:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before and spark.conf.get(lm.CLEANUP) == setting
+
+
+def test_slices_do_not_change_scores(odd):
+    want = sorted((n, round(s, 4)) for n, s in backoff([r["text"] for r in odd.collect()], 4))
+    got = sorted((r["n_words"], round(r["log_score"], 4)) for r in lm.scored(odd.select("doc_id", "text"), 4, block_bytes=1, slices=3).collect())
+    assert [n for n, _ in got] == [n for n, _ in want]
+    assert np.allclose([s for _, s in got], [s for _, s in want], atol=1e-3)
+
+
+def test_only_ngrams_with_told_parts_are_sent(spark):
+    texts = ["a b c d", "a b c e", "b c x", "y z y z"]
+    blocks = lm.in_blocks(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4, "doc_id"), 1)
+    told = lm.stored(lm.told_back(lm.grams_of(blocks, 2, 2)), "told")
+    sent = lm.longer_grams(blocks, told, 3)
+    assert sent.select("gram").distinct().count() == 1 and sent.count() == 2  # "a b c"; the others hold a pair that no second block has
+    assert {r["total"] for r in lm.told_back(sent).collect()} == {2}
+
+
+def test_stored_ngrams_are_exchanged_once(odd):
+    grams = lm.stored(lm.grams_of(lm.in_blocks(odd.select("doc_id", "text"), 3000), 2), "grams")
+    told = lm.told_back(lm.in_slice(grams, "gram", 0, 3))
+    assert told.collect()
+    plan = told._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan[: plan.index("Initial Plan")]
+
+
 def test_backoff_of_odd_rows(odd, empty):
     got = {r["doc_id"]: r for r in lm.scored_documents(odd).collect()}
     assert got[100]["log_score"] == 0 and got[101]["mean_log_score"] is None and got[102]["perplexity"] is None
